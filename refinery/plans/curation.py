@@ -23,8 +23,11 @@ CUSTOMERS_KEY = "id"
 
 # --- sales ---------------------------------------------------------------------
 
-def clean_sales(raw: DataFrame, order_by=("seq",)) -> DataFrame:
-    """dedup -> key -> amount > 0 -> date -> text -> defaults -> quantity."""
+LATEST_FIRST = ("ingestion_timestamp", "seq")
+
+
+def clean_sales(raw: DataFrame, order_by=LATEST_FIRST) -> DataFrame:
+    """dedup (latest ingestion wins) -> key -> amount > 0 -> date -> text -> defaults -> quantity."""
     order = [c for c in order_by if c in raw.columns]
     df = cl.dedup(raw, SALES_KEY, order)
     df = cl.require_key(df, SALES_KEY)
@@ -62,8 +65,8 @@ def curate_sales(raw: DataFrame, customers: DataFrame | None, clock, source_date
 
 # --- customers -------------------------------------------------------------------
 
-def clean_customers(raw: DataFrame, as_of) -> DataFrame:
-    df = cl.dedup(raw, CUSTOMERS_KEY)
+def clean_customers(raw: DataFrame, as_of, order_by=LATEST_FIRST) -> DataFrame:
+    df = cl.dedup(raw, CUSTOMERS_KEY, [c for c in order_by if c in raw.columns])
     df = cl.require_key(df, CUSTOMERS_KEY)
     df = df.withColumns({"birth_date": fx.parse_date("birth_date"), "signup_date": fx.parse_date("signup_date")})
     df = df.withColumn("age", fx.age_years("birth_date", as_of))

@@ -276,3 +276,62 @@ add("dq_report", WITH_SALES + f", raw_customers AS ({RAW_CUSTOMERS}), dims AS ("
        ELSE {q(fixed.RECOMMENDATION_OK)} END AS recommendation
 FROM dims d JOIN (SELECT entity, avg(CASE WHEN score > 0 THEN CAST(score AS DOUBLE) END) AS m FROM dims GROUP BY entity) g
   ON d.entity = g.entity""")
+
+
+# --- storage-backed queries ------------------------------------------------------------
+
+SALES_OUT = """SELECT id, strftime(sale_date, '%Y-%m-%d') AS sale_date, amount, product, client_id, segment, region,
+  amount_ttc, total, total_ttc, year, month, day FROM enriched_sales"""
+
+# CSV has no null: an empty field (quoted or not) reads back as null, so '' lands as null.
+add("land_roundtrip", WITH_SALES + f""" SELECT NULLIF(id, '') AS id, NULLIF(sale_date, '') AS sale_date,
+  NULLIF(amount, '') AS amount, NULLIF(product, '') AS product, NULLIF(client_id, '') AS client_id,
+  CAST(seq AS VARCHAR) AS seq,
+  'sales' AS source_system, {q(CLOCK.replace('T', ' ')[:19])} AS ingestion_timestamp, {q(SOURCE_DATE)} AS ingest_date
+FROM raw_sales""")
+add("curated_roundtrip", WITH_BOTH + " " + SALES_OUT)
+add("catalog_scan", WITH_BOTH + " " + SALES_OUT)
+add("overwrite_partitions", WITH_BOTH + f""", b1 AS (
+  SELECT id, amount, total_ttc, {q(SOURCE_DATE)} AS _source_date, year, month, day FROM enriched_sales),
+b2 AS (SELECT id, amount, total_ttc, '2002-01-01' AS _source_date, year, month, day FROM enriched_sales
+       WHERE year = '1995' AND amount >= 50000)
+SELECT * FROM b1 WHERE NOT EXISTS (SELECT 1 FROM b2 WHERE b2.year = b1.year AND b2.month = b1.month AND b2.day = b1.day)
+UNION ALL SELECT * FROM b2""")
+add("compaction", WITH_CUSTOMERS + """ SELECT id, sha256(last_name) AS last_name, sha256(first_name) AS first_name,
+  sha256(email) AS email, sha256(phone) AS phone, sha256(CAST(birth_date AS VARCHAR)) AS birth_date,
+  strftime(signup_date, '%Y-%m-%d') AS signup_date, active, postcode, age, age_band, tenure_days, loyalty,
+  region, segment FROM curated_customers""")
+
+
+def _colour(col: str) -> str:
+    arms = " ".join(f"WHEN {col} = {q(k)} THEN {q(v)}" for k, v in fixed.SEVERITY_COLOURS.items())
+    return f"CASE {arms} ELSE {q(fixed.SEVERITY_COLOUR_OTHER)} END"
+
+
+DOC_DIMS = _dims_sql("documents", "(SELECT doc_id, text FROM documents)", ["doc_id", "text"], "text", None)
+add("alerts_from_quality", WITH_SALES + f", raw_customers AS ({RAW_CUSTOMERS}), dims AS ("
+    + _dims_sql("sales", "raw_sales", SALES_COLS, "id", "amount") + " UNION ALL "
+    + _dims_sql("customers", "raw_customers", CUSTOMER_COLS, "id", None) + " UNION ALL " + DOC_DIMS + "), "
+    + f"""g AS (SELECT entity, avg(CASE WHEN score > 0 THEN CAST(score AS DOUBLE) END) AS m FROM dims GROUP BY entity),
+gs AS (SELECT entity, {sround('m')} AS global_score,
+         CASE WHEN m < {fixed.GLOBAL_CRITICAL_BELOW} THEN 'CRITICAL' WHEN m < {fixed.GLOBAL_WARNING_BELOW} THEN 'WARNING'
+              ELSE 'OK' END AS global_status,
+         CASE WHEN m < {fixed.GLOBAL_CRITICAL_BELOW} THEN {q(fixed.RECOMMENDATION_CRITICAL)}
+              WHEN m < {fixed.GLOBAL_WARNING_BELOW} THEN {q(fixed.RECOMMENDATION_WARNING)}
+              ELSE {q(fixed.RECOMMENDATION_OK)} END AS recommendation FROM g),
+a AS (SELECT entity, 'raw' AS zone, 'DATA_QUALITY' AS type,
+        CASE WHEN status = 'FAIL' THEN 'CRITICAL' ELSE 'WARNING' END AS severity,
+        dimension || ' ' || status || ' score=' || CAST(CAST(score AS DOUBLE) AS VARCHAR) AS message
+      FROM dims WHERE status IN ('FAIL', 'WARNING')
+      UNION ALL
+      SELECT entity, 'raw', 'DATA_QUALITY_GLOBAL', global_status,
+        'global score ' || CAST(global_score AS VARCHAR) || ' - ' || recommendation FROM gs WHERE global_status <> 'OK')
+SELECT {q(CLOCK)} AS timestamp, type, entity, zone, severity, substr(message, 1, {fixed.ALERT_MESSAGE_MAX}) AS message,
+  {_colour('severity')} AS colour FROM a""")
+add("alert_log", f"""SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S') AS timestamp, 'events' AS dag_id,
+  'user_' || CAST(user_id AS VARCHAR) AS task_id, 'FAIL' AS status, substr(props, 1, {fixed.ALERT_MESSAGE_MAX}) AS error_message,
+  strftime(ts, '%Y-%m-%d') AS execution_date, CAST(event_id % 3 + 1 AS INTEGER) AS try_number,
+  strftime(ts, '%Y-%m-%d') AS alert_date FROM events WHERE event_type = 'error'""")
+add("alert_stream", """SELECT CASE WHEN event_type = 'error' THEN 'CRITICAL' WHEN event_type = 'signup' THEN 'INFO'
+  ELSE 'WARNING' END AS severity, 'user_' || CAST(user_id AS VARCHAR) AS entity, count(*) AS alerts
+FROM events GROUP BY 1, 2""")
