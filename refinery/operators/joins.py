@@ -1,17 +1,31 @@
 """Dimension enrichment: left outer equi-join with a deduplicated dimension.
 
-Strategy: by default no hint.  The dimension is first reduced to one row per
-key (an aggregation whose output is already hash-partitioned on the key, so
-the join reuses it and only the fact side shuffles).  AQE then measures the
-real size of the shuffled dimension and switches to a broadcast hash join
-only when it is under ``spark.sql.adaptive.autoBroadcastJoinThreshold`` -- a
-size bound checked at run time, never assumed.  A hot fact key (for example
-the ``UNKNOWN`` client default) is split by AQE's skew-join handling, which
-may split the left side of a left outer join.
-
-``strategy="merge"`` forces a sort-merge join (what the source pipeline did by
-switching broadcast off); ``strategy="broadcast"`` is accepted only together
-with ``max_dim_rows`` and verifies the bound with a count before hinting.
+Strategy (``strategy="auto"``): no hint.  The dimension is first reduced to
+one row per key (an aggregation whose output is already hash-partitioned on
+the key, so the join reuses it and only the fact side shuffles).  AQE then
+measures the real size of the shuffled dimension and switches to a
+broadcast hash join only when it is under
+``spark.sql.adaptive.autoBroadcastJoinThreshold``: a size bound checked at
+run time, never assumed.
+
+Skew.  A key holding a third of the fact rows would land in one reducer of
+a sort-merge join, so the fact side is split three ways before joining:
+
+* rows with a null key cannot match: they skip the join and get typed nulls;
+* rows whose key is *hot* (``hot_keys`` given by the caller, e.g. the
+  ``UNKNOWN`` default, or found with ``detect_hot_share``) join a broadcast
+  of the dimension rows of those keys only, at most one row per hot key, so
+  the broadcast has a proven size bound;
+* every other row takes the regular join.
+
+The three branches read the same upstream; when it ends in a shuffle (the
+dedup of the cleaning step) Spark reuses that exchange instead of
+recomputing it.
+
+``strategy="merge"`` forces a sort-merge join (what the source pipeline did
+by switching broadcast off); ``strategy="broadcast"`` is accepted only
+together with ``max_dim_rows`` and verifies the bound with a count before
+hinting.
 """
 
 from __future__ import annotations
@@ -24,37 +38,76 @@ from pyspark.sql import functions as F
 
 from refinery.operators.cleaning import dedup
 
+DIM_KEY = "_dim_key"
+
 
 def _missing(dim_cols: Sequence[str], fact: DataFrame) -> DataFrame:
     return fact.withColumns({c: F.lit(None).cast("string") for c in dim_cols})
 
 
+def hot_keys_frame(fact: DataFrame, key: str, share: float) -> DataFrame:
+    """Keys holding more than ``share`` of the rows of ``fact``: at most ``1/share`` rows.
+
+    One aggregation over the key column (map-side combined); the total is a
+    single number fetched to the driver.  The result is small by
+    construction and safe to broadcast.
+    """
+    counts = fact.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = fact.where(F.col(key).isNotNull()).count()
+    return counts.where(F.col("_n") > F.lit(total * float(share))).select(F.col(key).alias("_hot"))
+
+
 def enrich_left(fact: DataFrame, dim: DataFrame | None, left_on: str, right_on: str,
-                dim_cols: Sequence[str], strategy: str = "auto",
-                max_dim_rows: int | None = None) -> DataFrame:
+                dim_cols: Sequence[str], strategy: str = "auto", max_dim_rows: int | None = None,
+                hot_keys: Sequence | None = None, detect_hot_share: float | None = None) -> DataFrame:
     """``fact`` LEFT JOIN ``dim`` on ``fact[left_on] = dim[right_on]`` adding ``dim_cols``.
 
     ``dim=None`` (dimension not available) adds the columns as typed nulls.
+    The dimension is deduplicated on its key first, so the join cannot fan out.
     """
     dim_cols = list(dim_cols)
+    clash = [c for c in dim_cols if c in fact.columns]
+    base = fact.drop(*clash) if clash else fact
     if dim is None:
-        return _missing(dim_cols, fact)
-    side = dim.select(F.col(right_on).alias("_dim_key"), *dim_cols)
-    side = dedup(side, "_dim_key")
+        return _missing(dim_cols, base)
+    side = dedup(dim.select(F.col(right_on).alias(DIM_KEY), *dim_cols), DIM_KEY)
     if strategy == "merge":
         side = side.hint("merge")
     elif strategy == "broadcast":
         if max_dim_rows is None:
             raise ValueError("broadcast needs max_dim_rows: a broadcast side must have a checked size")
-        n = side.count()
-        if n <= max_dim_rows:
+        if side.count() <= max_dim_rows:
             side = F.broadcast(side)
     elif strategy != "auto":
         raise ValueError(f"unknown join strategy {strategy!r}")
-    clash = [c for c in dim_cols if c in fact.columns]
-    base = fact.drop(*clash) if clash else fact
-    joined = base.join(side, base[left_on] == side["_dim_key"], "left")
-    return joined.drop("_dim_key")
+
+    key = F.col(left_on)
+    out_cols = base.columns + dim_cols
+    no_key = _missing(dim_cols, base.where(key.isNull()))
+    keyed = base.where(key.isNotNull())
+
+    hot = None
+    if detect_hot_share:
+        hot = F.broadcast(hot_keys_frame(keyed, left_on, detect_hot_share))
+    elif hot_keys:
+        hot = list(hot_keys)
+    if hot is None:
+        regular = keyed.join(side, keyed[left_on] == side[DIM_KEY], "left").drop(DIM_KEY)
+        return regular.select(*out_cols).unionByName(no_key.select(*out_cols))
+
+    if isinstance(hot, list):
+        is_hot = key.isin(*hot)
+        hot_rows, cold_rows = keyed.where(is_hot), keyed.where(~is_hot)
+        hot_dim = side.where(F.col(DIM_KEY).isin(*hot))
+    else:
+        hot_rows = keyed.join(hot, key == hot["_hot"], "left_semi")
+        cold_rows = keyed.join(hot, key == hot["_hot"], "left_anti")
+        hot_dim = side.join(hot, F.col(DIM_KEY) == hot["_hot"], "left_semi")
+    # hot_dim holds at most one row per hot key (the dimension is deduplicated)
+    hot_part = hot_rows.join(F.broadcast(hot_dim), hot_rows[left_on] == hot_dim[DIM_KEY], "left").drop(DIM_KEY)
+    cold_part = cold_rows.join(side, cold_rows[left_on] == side[DIM_KEY], "left").drop(DIM_KEY)
+    return (cold_part.select(*out_cols).unionByName(hot_part.select(*out_cols))
+            .unionByName(no_key.select(*out_cols)))
 
 
 def read_dimension(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:

@@ -21,6 +21,12 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+def sql_over(df: DataFrame, view: str, sql: str) -> DataFrame:
+    """Run ``sql`` against ``df`` registered as temp view ``view`` (same Catalyst plan as the API)."""
+    register_view(df, view)
+    return df.sparkSession.sql(sql)
+
+
 def total(df: DataFrame, alias: str = "total_rows") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(alias))
 

@@ -53,7 +53,10 @@ def add_date_parts(df: DataFrame, date: str, prefix: str = "") -> DataFrame:
 
 
 def enrich_sales(clean: DataFrame, customers: DataFrame | None, strategy: str = "auto") -> DataFrame:
-    df = enrich_left(clean, customers, "client_id", CUSTOMERS_KEY, ["segment", "region"], strategy)
+    """Join segment/region of the client; sales of unknown clients (the default key,
+    a likely hot key) go through a bounded broadcast instead of one reducer."""
+    df = enrich_left(clean, customers, "client_id", CUSTOMERS_KEY, ["segment", "region"], strategy,
+                     hot_keys=[fixed.CLIENT_DEFAULT])
     df = add_amounts(df)
     return add_date_parts(df, "sale_date")
 

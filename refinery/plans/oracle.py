@@ -168,6 +168,8 @@ FROM enriched_sales GROUP BY region, segment
 ORDER BY revenue DESC, region ASC NULLS FIRST, segment ASC NULLS FIRST LIMIT 20""")
 add("sales_stamped", WITH_BOTH + f""" SELECT id, {q(CLOCK)} AS _last_transformed, {q(fixed.ETL_VERSION)} AS _etl_version,
   {q(SOURCE_DATE)} AS _source_date FROM enriched_sales""")
+add("sales_totals_sql", WITH_BOTH + """ SELECT count(*) AS total_rows, count(*) FILTER (WHERE id IS NULL) AS null_keys,
+  count(*) FILTER (WHERE region IS NULL) AS rows_without_region FROM enriched_sales""")
 add("stage_totals", WITH_SALES + """ SELECT (SELECT count(*) FROM raw_sales) AS rows_read,
   (SELECT count(*) FROM raw_sales WHERE id IS NULL) AS null_keys,
   (SELECT count(*) FROM sales_dedup) AS rows_after_dedup,

@@ -138,6 +138,14 @@ def sales_stamped(spark, sf):
     return df.select("id", "_last_transformed", "_etl_version", "_source_date")
 
 
+@register("sales_totals_sql")
+def sales_totals_sql(spark, sf):
+    """The sanity summary as SQL over a temp view: total rows and null keys in one scan."""
+    return summaries.sql_over(enriched_sales(spark, sf), "sales_curated_tmp",
+                              "SELECT COUNT(*) AS total_rows, COUNT_IF(id IS NULL) AS null_keys, "
+                              "COUNT_IF(region IS NULL) AS rows_without_region FROM sales_curated_tmp")
+
+
 @register("stage_totals")
 def stage_totals(spark, sf):
     keep = cl.key_present("id") & (fx.to_double("amount") > 0) & ~F.isnan(fx.to_double("amount"))

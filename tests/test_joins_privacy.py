@@ -41,3 +41,18 @@ def test_mask_hashes_present_columns_and_keeps_null(spark):
     assert len(out["email"]) == 64 and out["phone"] is None and out["age"] == 30
     again = privacy.mask(df, salt="s").first()
     assert again["email"] != out["email"]
+
+
+def test_hot_and_null_keys_bypass_the_shuffle_join(spark):
+    fact = spark.createDataFrame([("s1", "c1"), ("s2", "UNKNOWN"), ("s3", "UNKNOWN"), ("s4", None), ("s5", "c9")],
+                                 "sale string, client_id string")
+    dim = spark.createDataFrame([("c1", "A", "R1"), ("UNKNOWN", "U", "RU"), ("c9", "Z", "R9")],
+                                "id string, segment string, region string")
+    plain = enrich_left(fact, dim, "client_id", "id", ["segment", "region"])
+    listed = enrich_left(fact, dim, "client_id", "id", ["segment", "region"], hot_keys=["UNKNOWN"])
+    found = enrich_left(fact, dim, "client_id", "id", ["segment", "region"], detect_hot_share=0.3)
+    expect = {("s1", "c1", "A", "R1"), ("s2", "UNKNOWN", "U", "RU"), ("s3", "UNKNOWN", "U", "RU"),
+              ("s4", None, None, None), ("s5", "c9", "Z", "R9")}
+    for out in (plain, listed, found):
+        assert out.columns == ["sale", "client_id", "segment", "region"]
+        assert set(map(tuple, out.collect())) == expect and out.count() == 5
