@@ -73,3 +73,18 @@ def test_report_document_shape(spark, tmp):
     back = spark.read.json(f"{tmp}/reports")
     r = back.first()
     assert len(r["dimensions"]) == 4 and r["metadata"]["entity"] == "sales" and str(r["run_date"]) == "2024-01-01"
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.one_of(st.none(), st.sampled_from(["", " ", "\t", "a", "1"])),
+                          st.one_of(st.none(), st.sampled_from(["5", "-1", "x", "", "1e2"]))), max_size=20))
+def test_scores_stay_in_range(spark, rows):
+    df = spark.createDataFrame(rows, "id string, amount string")
+    for r in quality.run(df, "raw", "sales", "2024-01-01", "2024-01-01", key="id", amount="amount").collect():
+        assert 0.0 <= r["score"] <= 100.0
+        for v in (r["columns"] or {}).values():
+            assert 0.0 <= v <= 100.0

@@ -86,3 +86,11 @@ def test_alert_json_sinks_append(spark, tmp):
     sinks.append_daily_log(df, f"{tmp}/log")
     back = spark.read.schema("timestamp string, message string, alert_date string").json(f"{tmp}/log")
     assert back.count() == 2 and back.first()["alert_date"] == "2024-01-01"
+
+
+def test_rewriting_the_same_batch_is_idempotent(spark, tmp):
+    df = spark.createDataFrame([("1", "2024", "01"), ("2", "2024", "02")], "id string, year string, month string")
+    for _ in range(3):
+        sinks.write_curated(df, f"{tmp}/cur", ["year", "month"])
+    back = readers.read_curated(spark, f"{tmp}/cur", ["year", "month"])
+    assert sorted(map(tuple, back.collect())) == [("1", "2024", "01"), ("2", "2024", "02")]
