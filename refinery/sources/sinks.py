@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+MIN_TASK_BYTES_KEY = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+
+
 def write_curated(df: DataFrame, path: str, partition_cols: Sequence[str], rebalance: bool = True,
-                  mode: str = "overwrite") -> None:
+                  mode: str = "overwrite", min_task_bytes: str | None = "64k") -> None:
     """Partitioned Parquet (Snappy) with dynamic partition overwrite.
 
     Only partitions present in ``df`` are replaced; the rest survive, so a
@@ -17,10 +20,27 @@ def write_curated(df: DataFrame, path: str, partition_cols: Sequence[str], rebal
     partition columns through AQE's REBALANCE, which splits a hot partition
     value over several tasks and merges small ones, so each directory gets a
     few right-sized files instead of one file per task.
+
+    Every output file has a fixed cost, so a small batch spread over many
+    directories should still use many writer tasks: for this write AQE may
+    not merge shuffle partitions below ``min_task_bytes``.  Large batches
+    never reach that floor, so at scale it changes nothing; each partition
+    value still hashes to one task, so the file count does not grow.
     """
     out = df.hint("rebalance", *partition_cols) if rebalance and partition_cols else df
-    (out.write.mode(mode).option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
-        .partitionBy(*partition_cols).parquet(path))
+    conf = df.sparkSession.conf
+    previous = conf.get(MIN_TASK_BYTES_KEY, None)
+    if min_task_bytes:
+        conf.set(MIN_TASK_BYTES_KEY, min_task_bytes)
+    try:
+        (out.write.mode(mode).option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
+            .partitionBy(*partition_cols).parquet(path))
+    finally:
+        if min_task_bytes:
+            if previous is None:
+                conf.unset(MIN_TASK_BYTES_KEY)
+            else:
+                conf.set(MIN_TASK_BYTES_KEY, previous)
 
 
 def write_report(report: DataFrame, path: str) -> None:
