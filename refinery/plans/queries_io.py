@@ -120,10 +120,11 @@ def retention(spark, sf):
     write_sources(samples.raw_sales(spark, sf), f"{root}/sources/sales")
     landing.land(spark, f"{root}/sources/sales", f"{root}/raw", "sales", SOURCE_DATE, CLOCK, glob="*.csv")
     later = dt.datetime.now() + dt.timedelta(days=maintenance.fixed.RETENTION_DAYS + 1)
-    expired = maintenance.expired_files(spark, f"{root}/raw", later).select("length").collect()
+    before = maintenance.expired_files(spark, f"{root}/raw", later).agg(
+        F.count(F.lit(1)).alias("expired_files"), F.sum("length").alias("expired_bytes")).first()
     deleted = maintenance.purge(spark, f"{root}/raw", later, dry_run=False)
     left = maintenance.expired_files(spark, f"{root}/raw", later).count()
-    rows = [(len(expired), sum(r["length"] for r in expired), deleted, left)]
+    rows = [(before["expired_files"], before["expired_bytes"], deleted, left)]
     return spark.createDataFrame(rows, "expired_files long, expired_bytes long, deleted long, remaining long")
 
 
