@@ -131,6 +131,16 @@ def day_str(col) -> Column:
     return F.lpad(F.dayofmonth(_c(col)).cast("string"), 2, "0")
 
 
+def ntz_date_text(col) -> Column:
+    """``yyyy-MM-dd`` of a date or a zone-less timestamp, independent of the session time zone."""
+    return F.to_date(_c(col)).cast("string")
+
+
+def ntz_iso_text(col) -> Column:
+    """``yyyy-MM-ddTHH:mm:ss`` of a zone-less timestamp, independent of the session time zone."""
+    return F.regexp_replace(F.substring(_c(col).cast("timestamp_ntz").cast("string"), 1, 19), " ", "T")
+
+
 def timestamp_str(ts) -> str:
     """Clock value as the ISO text written to metadata columns."""
     if isinstance(ts, str):

@@ -35,7 +35,7 @@ def register(name: str):
 
 
 def _d(col: str):
-    return F.date_format(col, "yyyy-MM-dd").alias(col)
+    return F.col(col).cast("string").alias(col)
 
 
 # --- shared inputs ----------------------------------------------------------------

@@ -140,8 +140,8 @@ def _status_rows(spark, sf):
     ev = samples.error_events(spark, sf)
     return alerts.make_status(
         ev, F.lit("events"), F.concat(F.lit("user_"), F.col("user_id").cast("string")), F.lit("FAIL"),
-        error_message=F.col("props"), execution_date=F.date_format("ts", "yyyy-MM-dd"),
-        try_number=(F.col("event_id") % 3 + 1), timestamp=F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
+        error_message=F.col("props"), execution_date=fx.ntz_date_text("ts"),
+        try_number=(F.col("event_id") % 3 + 1), timestamp=fx.ntz_iso_text("ts"))
 
 
 @register("alert_log")
@@ -160,7 +160,7 @@ def event_alerts(spark, sf):
     sev = (F.when(F.col("event_type") == "error", "CRITICAL").when(F.col("event_type") == "signup", "INFO")
             .otherwise("WARNING"))
     return alerts.make(ev, F.upper("event_type"), F.concat(F.lit("user_"), F.col("user_id").cast("string")),
-                       F.lit("events"), F.col("props"), sev, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
+                       F.lit("events"), F.col("props"), sev, fx.ntz_iso_text("ts"))
 
 
 @register("alert_stream")
@@ -178,5 +178,3 @@ def daily_run(spark, sf):
     write_sources(samples.raw_customers(spark, sf), f"{root}/sources/customers")
     return jobs.run_day(spark, root, SOURCE_DATE, CLOCK, AS_OF)
 
-
-__all__ = ["fx"]

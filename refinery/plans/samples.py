@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from refinery.functions import columns as fx
+
 
 def _null():
     return F.lit(None).cast("string")
@@ -24,7 +26,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _sale_cols(k: Column, amount: Column, seq: int) -> list[Column]:
     return [
         F.when(k % 97 == 0, _null()).when(k % 89 == 0, F.lit("")).otherwise(k.cast("string")).alias("id"),
-        F.when(k % 67 == 0, F.lit("n/a")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("sale_date"),
+        F.when(k % 67 == 0, F.lit("n/a")).otherwise(fx.ntz_date_text("o_orderdate")).alias("sale_date"),
         amount.alias("amount"),
         F.when(k % 71 == 0, _null())
          .otherwise(F.concat(F.lit("  "), F.lower("o_orderpriority"), F.lit(" "))).alias("product"),
@@ -66,8 +68,8 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 11 == 0, F.lit("bad@x.co.uk"))
          .otherwise(F.concat(F.lit(" User"), k.cast("string"), F.lit("@Mail.com "))).alias("email"),
         F.concat(F.lit("+33 (6) "), k.cast("string")).alias("phone"),
-        F.when(k % 17 == 0, _null()).otherwise(F.date_format(birth, "yyyy-MM-dd")).alias("birth_date"),
-        F.date_format(signup, "yyyy-MM-dd").alias("signup_date"),
+        F.when(k % 17 == 0, _null()).otherwise(birth.cast("string")).alias("birth_date"),
+        signup.cast("string").alias("signup_date"),
         F.when(k % 13 == 0, _null()).otherwise(F.concat(F.lit(" "), F.lower(seg))).alias("segment"),
         F.concat(F.lower("r_name"), F.lit(" ")).alias("region"),
         F.when(k % 6 == 0, F.lit("true")).when(k % 6 == 1, F.lit("1")).when(k % 6 == 2, F.lit("oui"))

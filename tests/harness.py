@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import os
 import sys
 import time
 from collections import Counter
@@ -79,6 +80,8 @@ def main(argv):
     names = argv[1:]
     spark = build_session("local[8]", "harness", 8)
     spark.sparkContext.setLogLevel("ERROR")
+    # results must not depend on the session time zone (HARNESS_TZ=America/Sao_Paulo to check)
+    spark.conf.set("spark.sql.session.timeZone", os.environ.get("HARNESS_TZ", "UTC"))
     con = duck(sf_dir)
     qs, oracle = entry.queries(), entry.oracle_sql()
     bad = 0
