@@ -9,18 +9,17 @@ broadcast hash join only when it is under
 run time, never assumed.
 
 Skew.  A key holding a third of the fact rows would land in one reducer of
-a sort-merge join, so the fact side is split three ways before joining:
-
-* rows with a null key cannot match: they skip the join and get typed nulls;
-* rows whose key is *hot* (``hot_keys`` given by the caller, e.g. the
-  ``UNKNOWN`` default, or found with ``detect_hot_share``) join a broadcast
-  of the dimension rows of those keys only, at most one row per hot key, so
-  the broadcast has a proven size bound;
-* every other row takes the regular join.
-
-The three branches read the same upstream; when it ends in a shuffle (the
-dedup of the cleaning step) Spark reuses that exchange instead of
-recomputing it.
+a sort-merge join (null keys too: they all hash alike).  The join stays a
+single pass, with no union of branches and no re-computation of the upstream:
+
+* rows with a null key, and rows whose key is *hot* (``hot_keys`` given by
+  the caller, e.g. the ``UNKNOWN`` default, or found with
+  ``detect_hot_share``), join on a per-row spread key (a row hash) instead
+  of their own key, so they scatter evenly over the reducers;
+* hot rows take their dimension columns from a broadcast of the dimension
+  rows of the hot keys only, at most one row per hot key (a proven size
+  bound), joined map-side; any match of the spread key is overridden;
+* every other row joins on its own key.
 
 ``strategy="merge"`` forces a sort-merge join (what the source pipeline did
 by switching broadcast off); ``strategy="broadcast"`` is accepted only
@@ -83,31 +82,35 @@ def enrich_left(fact: DataFrame, dim: DataFrame | None, left_on: str, right_on:
 
     key = F.col(left_on)
     out_cols = base.columns + dim_cols
-    no_key = _missing(dim_cols, base.where(key.isNull()))
-    keyed = base.where(key.isNotNull())
+    key_type = dict(base.dtypes)[left_on]
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in base.columns])
 
-    hot = None
     if detect_hot_share:
-        hot = F.broadcast(hot_keys_frame(keyed, left_on, detect_hot_share))
+        found = F.broadcast(hot_keys_frame(base, left_on, detect_hot_share).withColumn("_is_hot", F.lit(True)))
+        flagged = base.join(found, key == found["_hot"], "left").drop("_hot")
+        is_hot = F.coalesce(F.col("_is_hot"), F.lit(False))
+        hot_dim = side.join(found, F.col(DIM_KEY) == found["_hot"], "left_semi")
     elif hot_keys:
-        hot = list(hot_keys)
-    if hot is None:
-        regular = keyed.join(side, keyed[left_on] == side[DIM_KEY], "left").drop(DIM_KEY)
-        return regular.select(*out_cols).unionByName(no_key.select(*out_cols))
-
-    if isinstance(hot, list):
-        is_hot = key.isin(*hot)
-        hot_rows, cold_rows = keyed.where(is_hot), keyed.where(~is_hot)
-        hot_dim = side.where(F.col(DIM_KEY).isin(*hot))
+        flagged = base.withColumn("_is_hot", key.isin(*list(hot_keys)))
+        is_hot = F.col("_is_hot")
+        hot_dim = side.where(F.col(DIM_KEY).isin(*list(hot_keys)))
+    else:
+        flagged, is_hot, hot_dim = base.withColumn("_is_hot", F.lit(False)), F.col("_is_hot"), None
+
+    hot_names = {c: f"_hot_{c}" for c in dim_cols}
+    if hot_dim is not None:
+        # at most one row per hot key: the dimension is deduplicated
+        small = hot_dim.select(F.col(DIM_KEY).alias("_hot_key"), *[F.col(c).alias(h) for c, h in hot_names.items()])
+        flagged = flagged.join(F.broadcast(small), key == small["_hot_key"], "left").drop("_hot_key")
     else:
-        hot_rows = keyed.join(hot, key == hot["_hot"], "left_semi")
-        cold_rows = keyed.join(hot, key == hot["_hot"], "left_anti")
-        hot_dim = side.join(hot, F.col(DIM_KEY) == hot["_hot"], "left_semi")
-    # hot_dim holds at most one row per hot key (the dimension is deduplicated)
-    hot_part = hot_rows.join(F.broadcast(hot_dim), hot_rows[left_on] == hot_dim[DIM_KEY], "left").drop(DIM_KEY)
-    cold_part = cold_rows.join(side, cold_rows[left_on] == side[DIM_KEY], "left").drop(DIM_KEY)
-    return (cold_part.select(*out_cols).unionByName(hot_part.select(*out_cols))
-            .unionByName(no_key.select(*out_cols)))
+        flagged = flagged.withColumns({h: F.lit(None).cast("string") for h in hot_names.values()})
+
+    spread = is_hot | key.isNull()
+    keyed = flagged.withColumn("_join_key", F.when(spread, row_hash.cast(key_type)).otherwise(key))
+    joined = keyed.join(side, keyed["_join_key"] == side[DIM_KEY], "left")
+    dims = {c: F.when(is_hot, F.col(hot_names[c])).when(key.isNull(), F.lit(None)).otherwise(F.col(c))
+            for c in dim_cols}
+    return joined.withColumns(dims).select(*out_cols)
 
 
 def read_dimension(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
