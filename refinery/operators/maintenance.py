@@ -5,10 +5,11 @@ File-system metadata (exists, size, rename, delete) goes through the Hadoop
 Data work (rewrite, verification) is Spark jobs:
 
 * the rewrite reads the curated table with partition values kept as
-  strings and writes it through ``REBALANCE(n, partition columns)``: AQE
-  splits a hot partition value across tasks and merges small ones, so every
-  directory gets a few right-sized files (``coalesce`` would leave up to n
-  files per directory and could never raise the count);
+  strings and writes it through ``REBALANCE(partition columns)`` with the
+  target file size as AQE's advisory size: AQE splits a large (or hot)
+  partition value across tasks and merges small ones, so every directory
+  gets a few right-sized files (``coalesce(n)`` would leave up to n files
+  per directory and could never raise the count);
 * verification compares row count *and* an order-free checksum
   (sum of 64-bit row hashes as a decimal), in one aggregation per side.
 """
@@ -23,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refinery.functions import fixed
+from refinery.session import session_conf
 from refinery.sources.readers import read_curated
 
 
@@ -98,9 +100,26 @@ def verify_same(before: DataFrame, after: DataFrame) -> dict:
 
 # --- compaction ----------------------------------------------------------------------
 
-def rewrite(df: DataFrame, out_path: str, partition_cols: Sequence[str], n_files: int) -> None:
-    out = df.hint("rebalance", int(n_files), *partition_cols) if partition_cols else df.repartition(int(n_files))
-    (out.write.mode("overwrite").option("compression", "snappy").partitionBy(*partition_cols).parquet(out_path))
+def rewrite(df: DataFrame, out_path: str, partition_cols: Sequence[str], n_files: int,
+            target_file_mb: int = 128) -> None:
+    """Rewrite with few, right-sized files.
+
+    Partitioned layouts go through ``REBALANCE(partition columns)`` with AQE's
+    advisory partition size set to the target file size: every directory is
+    written by one task, and a directory larger than the target is split
+    over several tasks (one file each).  A fixed task count would only
+    serialise the write here, since a partitioned table cannot have fewer
+    files than directories.  Unpartitioned tables are cut into ``n_files``.
+    """
+    if partition_cols:
+        out = df.hint("rebalance", *partition_cols)
+        settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{int(target_file_mb)}m",
+                    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"}
+    else:
+        out, settings = df.repartition(int(n_files)), {}
+    with session_conf(df.sparkSession, settings):
+        (out.write.mode("overwrite").option("compression", "snappy").partitionBy(*partition_cols)
+            .parquet(out_path))
 
 
 def compact(spark: SparkSession, path: str, out_path: str, layout: Layout,
@@ -114,7 +133,7 @@ def compact(spark: SparkSession, path: str, out_path: str, layout: Layout,
     n = target_files(before_mb, layout.target_file_mb, layout.default_files, forced_files)
     df = read_curated(spark, path, layout.partition_cols)
     files_before = len(df.inputFiles())
-    rewrite(df, out_path, layout.partition_cols, n)
+    rewrite(df, out_path, layout.partition_cols, n, layout.target_file_mb)
     after = read_curated(spark, out_path, layout.partition_cols)
     check = verify_same(df, after)
     if not check["same"]:

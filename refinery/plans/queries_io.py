@@ -107,7 +107,8 @@ def compaction(spark, sf):
 @register("compaction_swap")
 def compaction_swap(spark, sf):
     root = scratch_dir(spark, "swap")
-    sinks.write_curated(curated_sales(spark, sf).repartition(8), f"{root}/curated/sales",
+    # small files to compact: about two per day directory for sales, up to eight per customer directory
+    sinks.write_curated(curated_sales(spark, sf).repartition(2), f"{root}/curated/sales",
                         jobs.SALES_PARTITIONS, rebalance=False)
     sinks.write_curated(curated_customers_masked(spark, sf).repartition(8), f"{root}/curated/customers",
                         jobs.CUSTOMERS_PARTITIONS, rebalance=False)

@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -54,3 +55,23 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     if path.startswith("file:"):
         os.makedirs(path[len("file:"):], exist_ok=True)
     return path
+
+
+@contextmanager
+def session_conf(spark: SparkSession, settings: dict[str, str | None]):
+    """Set SQL settings for the statements run inside the block, then restore them."""
+    conf = spark.conf
+    previous = {k: conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            if v is not None:
+                conf.set(k, v)
+        yield
+    finally:
+        for k, v in previous.items():
+            if settings[k] is None:
+                continue
+            if v is None:
+                conf.unset(k)
+            else:
+                conf.set(k, v)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from refinery.session import session_conf
+
 
 MIN_TASK_BYTES_KEY = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
 
@@ -28,19 +30,9 @@ def write_curated(df: DataFrame, path: str, partition_cols: Sequence[str], rebal
     value still hashes to one task, so the file count does not grow.
     """
     out = df.hint("rebalance", *partition_cols) if rebalance and partition_cols else df
-    conf = df.sparkSession.conf
-    previous = conf.get(MIN_TASK_BYTES_KEY, None)
-    if min_task_bytes:
-        conf.set(MIN_TASK_BYTES_KEY, min_task_bytes)
-    try:
+    with session_conf(df.sparkSession, {MIN_TASK_BYTES_KEY: min_task_bytes}):
         (out.write.mode(mode).option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
             .partitionBy(*partition_cols).parquet(path))
-    finally:
-        if min_task_bytes:
-            if previous is None:
-                conf.unset(MIN_TASK_BYTES_KEY)
-            else:
-                conf.set(MIN_TASK_BYTES_KEY, previous)
 
 
 def write_report(report: DataFrame, path: str) -> None:
