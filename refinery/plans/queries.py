@@ -234,7 +234,8 @@ def _dims(spark, sf, zone="raw"):
 @register("dq_uniqueness")
 def dq_uniqueness(spark, sf):
     docs = samples.table(spark, sf, "documents").select("doc_id", "text")
-    d = _dims(spark, sf).unionByName(quality.run(docs, "raw", "documents", SOURCE_DATE, AS_OF, key="text"))
+    d = _dims(spark, sf).unionByName(quality.run(docs, "raw", "documents", SOURCE_DATE, AS_OF, key="text",
+                                                        wide_key=True))
     return d.where(F.col("dimension") == quality.fixed.DIM_UNIQUENESS).select(
         "entity", "status", "score", "total", "unique", "duplicates")
 

@@ -132,7 +132,8 @@ def retention(spark, sf):
 @register("alerts_from_quality")
 def alerts_from_quality(spark, sf):
     docs = samples.table(spark, sf, "documents").select("doc_id", "text")
-    dims = _dims(spark, sf).unionByName(quality.run(docs, "raw", "documents", SOURCE_DATE, AS_OF, key="text"))
+    dims = _dims(spark, sf).unionByName(quality.run(docs, "raw", "documents", SOURCE_DATE, AS_OF, key="text",
+                                                        wide_key=True))
     out = alerts.decorate(alerts.from_quality(quality.with_global(dims), CLOCK))
     return out.select("timestamp", "type", "entity", "zone", "severity", "message", "colour")
 
