@@ -36,7 +36,13 @@ def build_session(master: str | None = None, app_name: str = "refinery",
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder; created under the temp dir only when unset (tests)."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no SparkContext: use the session setting
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+        return configured
     current = sc.getCheckpointDir()
     if not current:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
