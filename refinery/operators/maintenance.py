@@ -215,13 +215,46 @@ def expired_files(spark: SparkSession, root: str, as_of: dt.datetime, days: int
     return files.where(F.col("modificationTime") < F.lit(cutoff))
 
 
+def purge_plan(spark: SparkSession, root: str, as_of: dt.datetime, days: int = fixed.RETENTION_DAYS,
+               glob: str = "*.csv") -> DataFrame:
+    """What to delete: ``(path, kind)`` with kind ``dir`` or ``file``.
+
+    A directory whose visible files are all expired matches is removed in
+    one call (one ingest date is one directory); expired files of other
+    directories are removed one by one.  Both listings and the grouping run
+    in Spark; only the (small) delete list reaches the driver.
+    """
+    def listing(pattern):
+        r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+        if pattern:
+            r = r.option("pathGlobFilter", pattern)
+        files = r.load(root).select("path", "modificationTime")
+        return files.withColumn("dir", F.regexp_extract("path", r"^(.*)/[^/]*$", 1))
+
+    cutoff = as_of - dt.timedelta(days=days)
+    expired = listing(glob).where(F.col("modificationTime") < F.lit(cutoff))
+    per_dir_all = listing(None).groupBy("dir").agg(F.count(F.lit(1)).alias("n_all"))
+    per_dir_exp = expired.groupBy("dir").agg(F.count(F.lit(1)).alias("n_exp"))
+    whole = (per_dir_exp.join(per_dir_all, "dir").where(F.col("n_exp") == F.col("n_all"))
+             .select("dir").where(F.col("dir") != F.lit(root.rstrip("/"))))
+    dirs = whole.select(F.col("dir").alias("path"), F.lit("dir").alias("kind"))
+    files = (expired.join(whole, "dir", "left_anti")
+             .select("path", F.lit("file").alias("kind")))
+    return dirs.unionByName(files)
+
+
 def purge(spark: SparkSession, root: str, as_of: dt.datetime, days: int = fixed.RETENTION_DAYS,
           glob: str = "*.csv", dry_run: bool = True) -> int:
-    """Delete expired files (dry run by default); missing root -> 0."""
+    """Delete expired files (dry run by default); returns the number of expired files.
+
+    Missing root -> 0.  Deletes whole directories where every visible file is
+    expired (see ``purge_plan``), single files elsewhere.
+    """
     if not exists(spark, root):
         return 0
-    paths = [r["path"] for r in expired_files(spark, root, as_of, days, glob).select("path").toLocalIterator()]
-    if not dry_run:
-        for p in paths:
-            delete(spark, p, recursive=False)
-    return len(paths)
+    n = expired_files(spark, root, as_of, days, glob).count()
+    if not dry_run and n:
+        # materialise the (small) delete list before touching the listed folders
+        for r in purge_plan(spark, root, as_of, days, glob).collect():
+            delete(spark, r["path"], recursive=r["kind"] == "dir")
+    return n

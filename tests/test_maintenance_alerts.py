@@ -113,3 +113,24 @@ def test_alert_stream_is_exactly_once(spark, tmp):
         f.write('{"timestamp": "t", "type": "T", "entity": "e", "zone": "z", "severity": "INFO", "message": "m"}')
     alert_feed.ingest_stream(spark, inc, f"{tmp}/table", f"{tmp}/ckpt", multiline=True)
     assert spark.read.parquet(f"{tmp}/table").count() == 4
+
+
+def test_purge_removes_fully_expired_directories_in_one_call(spark, tmp):
+    def make(name, age_days):
+        p = f"{tmp}/raw/{name}"
+        os.makedirs(os.path.dirname(p), exist_ok=True)
+        open(p, "w").write("x\n")
+        t = time.time() - age_days * 86400
+        os.utime(p, (t, t))
+    make("sales/ingest_date=2020-01-01/a.csv", 60)
+    make("sales/ingest_date=2020-01-01/b.csv", 60)
+    make("sales/ingest_date=2024-01-01/c.csv", 60)
+    make("sales/ingest_date=2024-01-01/d.csv", 1)
+    make("sales/ingest_date=2024-01-01/e.txt", 60)
+    now = dt.datetime.now()
+    plan = {(r["path"].split("/raw/")[1], r["kind"]) for r in
+            maintenance.purge_plan(spark, f"{tmp}/raw", now).collect()}
+    assert plan == {("sales/ingest_date=2020-01-01", "dir"), ("sales/ingest_date=2024-01-01/c.csv", "file")}
+    assert maintenance.purge(spark, f"{tmp}/raw", now, dry_run=False) == 3
+    assert not os.path.exists(f"{tmp}/raw/sales/ingest_date=2020-01-01")
+    assert sorted(os.listdir(f"{tmp}/raw/sales/ingest_date=2024-01-01")) == ["d.csv", "e.txt"]
