@@ -80,3 +80,8 @@ def from_quality(dims: DataFrame, timestamp: str) -> DataFrame:
 def counts(alerts: DataFrame) -> DataFrame:
     """Number of alerts per severity and entity."""
     return alerts.groupBy("severity", "entity").agg(F.count(F.lit(1)).alias("alerts"))
+
+
+def payload(alerts_df: DataFrame, alias: str = "payload") -> DataFrame:
+    """One JSON text per alert (all columns), as a delivery channel would send it."""
+    return alerts_df.select(F.to_json(F.struct(*[F.col(c) for c in alerts_df.columns])).alias(alias))

@@ -134,3 +134,11 @@ def test_purge_removes_fully_expired_directories_in_one_call(spark, tmp):
     assert maintenance.purge(spark, f"{tmp}/raw", now, dry_run=False) == 3
     assert not os.path.exists(f"{tmp}/raw/sales/ingest_date=2020-01-01")
     assert sorted(os.listdir(f"{tmp}/raw/sales/ingest_date=2024-01-01")) == ["d.csv", "e.txt"]
+
+
+def test_alert_payload_is_json(spark):
+    import json
+    df = spark.createDataFrame([("t", "T", "e", "z", "INFO", 'say "hi"')], alerts.ALERT_SCHEMA)
+    doc = json.loads(alerts.payload(df).first()["payload"])
+    assert doc == {"timestamp": "t", "type": "T", "entity": "e", "zone": "z", "severity": "INFO",
+                   "message": 'say "hi"'}
