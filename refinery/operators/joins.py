@@ -106,13 +106,37 @@ def enrich_left(fact: DataFrame, dim: DataFrame | None, left_on: str, right_on:
         flagged = flagged.withColumns({h: F.lit(None).cast("string") for h in hot_names.values()})
 
     spread = is_hot | key.isNull()
-    keyed = flagged.withColumn("_join_key", F.when(spread, row_hash.cast(key_type)).otherwise(key))
-    joined = keyed.join(side, keyed["_join_key"] == side[DIM_KEY], "left")
-    dims = {c: F.when(is_hot, F.col(hot_names[c])).when(key.isNull(), F.lit(None)).otherwise(F.col(c))
-            for c in dim_cols}
+    spread_key, dim_key = _spread_key(row_hash, key, key_type), side[DIM_KEY]
+    if spread_key is None:  # other key types: join on the text form of the key
+        spread_key, key_text = row_hash.cast("string"), key.cast("string")
+        keyed = flagged.withColumn("_join_key", F.when(spread, spread_key).otherwise(key_text))
+        dim_key = side[DIM_KEY].cast("string")
+    else:
+        keyed = flagged.withColumn("_join_key", F.when(spread, spread_key).otherwise(key))
+    joined = keyed.join(side, keyed["_join_key"] == dim_key, "left")
+    dims = {}
+    for c in dim_cols:
+        own = F.when(key.isNull(), F.lit(None)).otherwise(F.col(c))
+        dims[c] = F.when(is_hot, F.col(hot_names[c])).otherwise(own) if hot_dim is not None else own
     return joined.withColumns(dims).select(*out_cols)
 
 
+# largest value per narrow integer key type, to fold the 64-bit row hash into range
+_INTEGRAL_MAX = {"tinyint": 127, "smallint": 32767, "int": 2147483647}
+
+
+def _spread_key(row_hash, key, key_type: str):
+    """A per-row join key of the key's own type (it may equal a real key; the
+    caller overrides such matches), or ``None`` when the type has no such form."""
+    if key_type == "string":
+        return row_hash.cast("string")
+    if key_type == "bigint":
+        return row_hash
+    if key_type in _INTEGRAL_MAX:
+        return F.pmod(row_hash, F.lit(_INTEGRAL_MAX[key_type])).cast(key_type)
+    return None
+
+
 def read_dimension(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
     """The dimension at ``path``, or ``None`` when the path does not exist.
 

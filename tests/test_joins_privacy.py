@@ -56,3 +56,20 @@ def test_hot_and_null_keys_bypass_the_shuffle_join(spark):
     for out in (plain, listed, found):
         assert out.columns == ["sale", "client_id", "segment", "region"]
         assert set(map(tuple, out.collect())) == expect and out.count() == 5
+
+
+def test_enrich_left_with_int_and_date_keys_keeps_dim_types(spark):
+    import datetime as dt
+    fact = spark.createDataFrame([("s1", 7), ("s2", None), ("s3", 9), ("s4", 9)], "sale string, k int")
+    dim = spark.createDataFrame([(7, 1.5), (9, 2.5)], "k int, rate double")
+    for kw in ({}, {"hot_keys": [9]}, {"detect_hot_share": 0.3}):
+        out = enrich_left(fact, dim, "k", "k", ["rate"], **kw)
+        assert dict(out.dtypes)["rate"] == "double"
+        assert sorted(map(tuple, out.collect()), key=repr) == sorted(
+            [("s1", 7, 1.5), ("s2", None, None), ("s3", 9, 2.5), ("s4", 9, 2.5)], key=repr)
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    fact_d = spark.createDataFrame([("s1", d1), ("s2", None), ("s3", d2)], "sale string, d date")
+    dim_d = spark.createDataFrame([(d1, "A"), (d2, "B")], "d date, tag string")
+    out = enrich_left(fact_d, dim_d, "d", "d", ["tag"], hot_keys=[d2])
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(
+        [("s1", d1, "A"), ("s2", None, None), ("s3", d2, "B")], key=repr)
