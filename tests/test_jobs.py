@@ -45,3 +45,10 @@ def test_run_day_end_to_end(spark, tmp):
     reports = spark.read.json(f"{tmp}/reports")
     assert reports.count() == 4
     assert spark.read.json(f"{tmp}/alerts").first()["severity"] == "INFO"
+
+
+def test_check_quality_on_missing_input_writes_empty_report(spark, tmp):
+    out = jobs.check_quality(spark, tmp, "curated", "sales", "2024-02-02", "2024-02-02", "2024-02-02T06:00:00")
+    assert out.count() == 0
+    rep = spark.read.json(f"{tmp}/reports").first()
+    assert rep["global_assessment"]["global_score"] == 0.0 and rep["global_assessment"]["global_status"] == "CRITICAL"
