@@ -1,20 +1,23 @@
 """Session helpers: a builder for scripts and a shared scratch folder.
 
-Scratch data (landing round trips, compaction copies, stream checkpoints)
-lives under the folder the cluster names in ``spark.checkpoint.dir`` so it
-is visible to every executor and survives executor loss.  Only when that
-setting is absent (local tests) do we create one ourselves.
+Scratch data (landing round trips, compaction copies, stream checkpoints,
+written intermediate tables) lives under the folder the cluster names in
+``spark.checkpoint.dir``, so it is visible to every executor and survives
+executor loss.  Where that setting is missing (tests), a folder inside the
+SQL warehouse is used, which executors share as well; the executors' own disks
+are never used.  Folders made by this process are removed when it ends.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
+import atexit
 import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+_made: list[str] = []
+
 
 def build_session(master: str | None = None, app_name: str = "refinery",
                   shuffle_partitions: int | None = None) -> SparkSession:
@@ -34,35 +37,65 @@ def build_session(master: str | None = None, app_name: str = "refinery",
     return b.getOrCreate()
 
 
-def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; created under the temp dir only when unset (tests)."""
+def _context(spark: SparkSession):
     try:
-        sc = spark.sparkContext
-    except Exception:  # a Spark Connect session has no SparkContext: use the session setting
+        return spark.sparkContext
+    except Exception:  # a Spark Connect session has no SparkContext
+        return None
+
+
+def checkpoint_root(spark: SparkSession) -> str:
+    """The shared checkpoint folder; inside the SQL warehouse only where the setting is missing (tests)."""
+    sc = _context(spark)
+    if sc is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if not configured:
             raise RuntimeError("spark.checkpoint.dir must name a shared folder")
         return configured
-    current = sc.getCheckpointDir()
-    if not current:
+    if not sc.getCheckpointDir():
         configured = sc.getConf().get("spark.checkpoint.dir", None)
-        if configured:
-            sc.setCheckpointDir(configured)
-        else:
-            sc.setCheckpointDir(tempfile.mkdtemp(prefix="refinery-ckpt-"))
-        current = sc.getCheckpointDir()
-    return current
+        sc.setCheckpointDir(configured or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch")
+    return sc.getCheckpointDir()
+
+
+def hadoop_fs(spark: SparkSession, path: str):
+    """(FileSystem, Path) of a path, through Spark's own Hadoop configuration."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), jpath
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for one run."""
-    root = checkpoint_root(spark)
-    path = f"{root.rstrip('/')}/refinery/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("file:"):
-        os.makedirs(path[len("file:"):], exist_ok=True)
+    """A fresh sub-folder of the shared checkpoint folder for one run; removed when the process ends."""
+    path = f"{checkpoint_root(spark).rstrip('/')}/refinery/{name}-{uuid.uuid4().hex[:12]}"
+    if _context(spark) is not None:
+        fs, jpath = hadoop_fs(spark, path)
+        fs.mkdirs(jpath)
+        if not _made:
+            atexit.register(_remove_made)
+        _made.append(path)
     return path
 
 
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete one folder that :func:`scratch_dir` made."""
+    if path not in _made:
+        raise ValueError(f"not a scratch folder of this process: {path}")
+    fs, jpath = hadoop_fs(spark, path)
+    fs.delete(jpath, True)
+    _made.remove(path)
+
+
+def _remove_made() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is None or _context(spark) is None:
+        return
+    for path in list(_made):
+        try:
+            remove_dir(spark, path)
+        except Exception:  # the JVM may have ended already; nothing depends on the removal
+            return
+
+
 @contextmanager
 def session_conf(spark: SparkSession, settings: dict[str, str | None]):
     """Set SQL settings for the statements run inside the block, then restore them."""
