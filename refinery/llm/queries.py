@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from refinery.llm import bpe, simhash
+from refinery.llm import bpe, decontam, simhash, urlfilter, warc
 from refinery.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,3 +34,63 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.decode(ids, "doc_id", vocab).select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (document, benchmark item) whose passage lies within an edit budget of 5 % of the item."""
+    return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written to WARC archives and read back."""
+    manifest = warc.write(warc.plan(table(spark, sf_dir, "pages")))
+    return warc.summaries(warc.read(manifest, payload=False)).withColumnRenamed("id", "page_id")
+
+
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"),
+             ("allow", "org", "/fr/")]
+
+
+@query
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL: the rules, then the list of canonical URLs found on hosts named as spam."""
+    pages = table(spark, sf_dir, "pages")
+    host, path = urlfilter.host_of(F.col("url")), urlfilter.path_of(F.col("url"))
+    listed = pages.where(host.contains("spam")).select(urlfilter.canonical(host, path).alias("url"))
+    return urlfilter.judge(pages, listed, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+ORACLE["op8_url_filters"] = r"""
+WITH parts AS (
+  SELECT page_id,
+         translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)([^?#]*)', 1, 's'),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)([^?#]*)', 2, 's') AS path
+  FROM pages),
+keyed AS (
+  SELECT *, regexp_replace(host, '^(www|m)\.', '') || regexp_replace(path, '/+$', '') AS key FROM parts),
+judged AS (
+  SELECT *, CASE WHEN (host = 'example.net' OR host LIKE '%.example.net') AND path LIKE '/en/%' THEN 'example.net/en/'
+                 WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/de/%' THEN 'example.com/de/'
+                 WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/fr/%' THEN 'org/fr/'
+                 WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/%' THEN 'net/' END AS rule
+  FROM keyed)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block'
+            WHEN rule IS NOT NULL THEN 'allow'
+            WHEN key IN (SELECT key FROM keyed WHERE contains(host, 'spam')) THEN 'block'
+            ELSE 'allow' END AS verdict
+FROM judged
+"""
+
+ORACLE["op5_warc"] = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, p.payload_digest,
+       CASE WHEN first IS NOT NULL AND first IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first IS DISTINCT FROM page_id THEN first END AS refers_to
+FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest AND payload_bytes >= 100
+"""
