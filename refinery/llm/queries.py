@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from refinery.llm import bpe, decontam, simhash, urlfilter, warc
+from refinery.llm import bpe, decontam, secret_scan, simhash, urlfilter, warc
 from refinery.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,65 @@ SELECT page_id, payload_bytes, p.payload_digest,
        CASE WHEN first IS DISTINCT FROM page_id THEN first END AS refers_to
 FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest AND payload_bytes >= 100
 """
+
+
+@query
+def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of every kind of secret in every whole document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rules = secret_scan.BASE + secret_scan.FURTHER
+    found = secret_scan.scan(docs, "text", rules)
+    kinds = F.array(*[F.lit(r.kind) for r in rules])
+    text = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(
+        ":", F.get(kinds, x["kind"]), x["start"].cast("string"), x["end"].cast("string"))), ",")
+    count = lambda k: F.size(F.filter("found", lambda x: x["kind"] == k)).cast("long")
+    base = F.filter("found", lambda x: x["kind"] < len(secret_scan.BASE))
+    return found.select("doc_id", *[count(i).alias(f"n_{r.kind}") for i, r in enumerate(secret_scan.BASE)],
+                        F.sha2(text(base), 256).alias("base_sha256"), text(F.col("found")).alias("spans"))
+
+
+ORACLE["op1_secret_scans"] = r"""
+WITH rules(kind, pattern, grp, least, no) AS (VALUES
+  ('assign', '((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 6, 0),
+  ('access', 'AKIA[A-Z0-9]+', 0, 20, 1),
+  ('hex', '[0-9a-f]+', 0, 24, 2),
+  ('pem', '-----BEGIN [A-Z ]*PRIVATE KEY-----', 0, 1, 3),
+  ('github', 'gh[opsu]_[A-Za-z0-9]+', 0, 40, 4),
+  ('slack', 'xox[abprs]-[A-Za-z0-9-]+', 0, 15, 5),
+  ('jwt', 'eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+', 0, 20, 6)),
+docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+cut AS (
+  SELECT r, kind, no, least,
+         CASE kind
+           WHEN 'assign' THEN regexp_split_to_array(text, '((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)')
+           WHEN 'access' THEN regexp_split_to_array(text, 'AKIA[A-Z0-9]+')
+           WHEN 'hex' THEN regexp_split_to_array(text, '[0-9a-f]+')
+           WHEN 'pem' THEN regexp_split_to_array(text, '-----BEGIN [A-Z ]*PRIVATE KEY-----')
+           WHEN 'github' THEN regexp_split_to_array(text, 'gh[opsu]_[A-Za-z0-9]+')
+           WHEN 'slack' THEN regexp_split_to_array(text, 'xox[abprs]-[A-Za-z0-9-]+')
+           ELSE regexp_split_to_array(text, 'eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+') END AS gaps,
+         CASE kind
+           WHEN 'assign' THEN regexp_extract_all(text, '((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)')
+           WHEN 'access' THEN regexp_extract_all(text, 'AKIA[A-Z0-9]+')
+           WHEN 'hex' THEN regexp_extract_all(text, '[0-9a-f]+')
+           WHEN 'pem' THEN regexp_extract_all(text, '-----BEGIN [A-Z ]*PRIVATE KEY-----')
+           WHEN 'github' THEN regexp_extract_all(text, 'gh[opsu]_[A-Za-z0-9]+')
+           WHEN 'slack' THEN regexp_extract_all(text, 'xox[abprs]-[A-Za-z0-9-]+')
+           ELSE regexp_extract_all(text, 'eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+') END AS hits,
+         CASE kind WHEN 'assign' THEN regexp_extract_all(text, '((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2) END AS vals
+  FROM docs, rules),
+each AS (
+  SELECT r, kind, no, least, i, length(gaps[i]) AS gap, length(hits[i]) AS len, length(coalesce(vals[i], hits[i])) AS val
+  FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM cut)),
+placed AS (
+  SELECT r, kind, no, least, val, sum(gap + len) OVER (PARTITION BY r, no ORDER BY i) AS e, len FROM each),
+kept AS (SELECT r, kind, no, CAST(e - len AS BIGINT) AS s, CAST(e AS BIGINT) AS e FROM placed WHERE val >= least),
+told AS (
+  SELECT r, count(*) FILTER (no = 0) AS n_assign, count(*) FILTER (no = 1) AS n_access, count(*) FILTER (no = 2) AS n_hex,
+         coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, no) FILTER (no < 3), '') AS base,
+         string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, no) AS spans
+  FROM kept GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN told USING (r)
+"""
