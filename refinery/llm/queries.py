@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from refinery.llm import bpe, decontam, secret_scan, simhash, urlfilter, warc
+from refinery.llm import bpe, decontam, secret_scan, simhash, toxicity, urlfilter, warc
 from refinery.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,3 +156,13 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM docs LEFT JOIN told USING (r)
 """
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every whole document by a network trained on the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    net = toxicity.train(*toxicity.training_sample(docs, table(spark, sf_dir, "labels")))
+    return toxicity.score(docs, net).select(
+        "doc_id", (toxicity.bucket(F.col("doc_id")) == 0).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
