@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from refinery.llm import bpe, decontam, secret_scan, simhash, toxicity, urlfilter, warc
+from refinery.llm import bpe, cws, decontam, secret_scan, simhash, toxicity, urlfilter, warc
 from refinery.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -166,3 +166,9 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, net).select(
         "doc_id", (toxicity.bucket(F.col("doc_id")) == 0).alias("held_out"), "score",
         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+@query
+def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weighted-sampling fingerprints of every whole document and of its edited text."""
+    return cws.compare_with_next(table(spark, sf_dir, "documents"))
