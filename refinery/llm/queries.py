@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from refinery.llm import bpe, cws, decontam, secret_scan, simhash, toxicity, urlfilter, warc
+from refinery.llm import bpe, cws, decontam, paragraphs, secret_scan, simhash, toxicity, urlfilter, warc
 from refinery.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -172,3 +172,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weighted-sampling fingerprints of every whole document and of its edited text."""
     return cws.compare_with_next(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every paragraph of the documents that repeats elsewhere, exactly or nearly, with its class and the one kept."""
+    found = paragraphs.duplicates(table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("kept_id", "kept_doc_id")
