@@ -10,6 +10,7 @@ shuffled: the only rows that leave a task are matches.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import ahocorasick
@@ -109,7 +110,7 @@ def _matcher(items: tuple[str, ...], rate: float) -> Matcher:
     return Matcher(list(items), rate)
 
 
-def item_blocks(items: DataFrame, item_id: str, item_text: str, block_chars: int) -> list[dict[str, list]]:
+def item_blocks(items: DataFrame, item_id: str, item_text: str, block_chars: int) -> Iterator[dict[str, list]]:
     """Items by normalised text, in blocks of about ``block_chars`` characters; the driver holds one at a time."""
     rows = items.select(F.col(item_id).alias("id"), F.col(item_text).alias("text")).where("text is not null")
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
@@ -159,11 +160,18 @@ def matches(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     return out.select(F.col("id").alias(id_col), F.col("item").alias("item_id"), "distance")
 
 
-def clean(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
-    """``docs`` without the documents that match an item; rows with a null id stay (see :func:`matches`).
+def keep_clean(df: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id",
+               item_text: str = "text", rate: float = 0.05, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows of ``df`` that match no item (see :func:`matches`), all columns as they are, without a shuffle."""
+    at_text = df.columns.index(text_col)
+    for block in item_blocks(items, item_id, item_text, block_chars):
+        sent = df.sparkSession.sparkContext.broadcast(tuple(block))
 
-    The ids of matching documents are few beside the documents, and Spark decides from their size whether the
-    anti join broadcasts them.
-    """
-    dirty = matches(docs.where("doc_id is not null"), items, "doc_id", "text", **how).select("doc_id").distinct()
-    return docs.join(dirty, "doc_id", "left_anti").select(*docs.columns)
+        def run(batches, sent=sent):
+            matcher = _matcher(sent.value, rate) if sent.value else None
+            for batch in batches:
+                ok = [not (matcher and t.as_py() and matcher.find(t.as_py())) for t in batch.column(at_text)]
+                yield batch.filter(pa.array(ok, pa.bool_()))
+
+        df = df.mapInArrow(run, df.schema)
+    return df

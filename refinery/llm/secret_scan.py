@@ -138,14 +138,14 @@ def postings(texts: DataFrame, grams: Sequence[str]) -> DataFrame:
 
 
 def candidates(spark: SparkSession, texts: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """``key`` and ``mask``: the rules (bit i: rule i) whose trigram query the text's postings satisfy."""
+    """``key`` and ``_mask``: the rules (bit i: rule i) whose trigram query the text's postings satisfy."""
     asked = [(i, alt) for i, r in enumerate(rules) for alt in trigram_query(r.pattern) or []]
     grams = sorted({g for _, alt in asked for g in alt})
     terms = spark.createDataFrame([(n, grams.index(g), len(alt), 1 << i) for n, (i, alt) in enumerate(asked) for g in alt],
                                   "alt int, gram int, size int, bit long")  # bounded by the rules
     held = (postings(texts, grams).join(F.broadcast(terms), "gram")
             .groupBy("key", "alt", "size", "bit").agg(F.count("*").alias("n")).where("n = size"))
-    return written(held.groupBy("key").agg(F.bit_or("bit").alias("mask")), "secret-candidates")
+    return written(held.groupBy("key").agg(F.bit_or("bit").alias("_mask")), "secret-candidates")
 
 
 SPANS = "array<struct<start:int,kind:int,end:int>>"
@@ -186,7 +186,7 @@ def scan(df: DataFrame, text_col: str = "text", rules: Sequence[Rule] = BASE + F
     if not forced:
         return rows.select(*named, sorts(full).alias("found"))
     at = candidates(spark, rows.select("_text"), rules).withColumnRenamed("key", "_key")
-    some = [F.when(F.col("mask").bitwiseAND(F.lit(1 << i)) != 0, _spans(r, i)).otherwise(none)
+    some = [F.when(F.col("_mask").bitwiseAND(F.lit(1 << i)) != 0, _spans(r, i)).otherwise(none)
             for i, r in enumerate(rules) if i in forced]
     hits = rows.join(at, "_key").select(*named, sorts(full + some).alias("found"))
     rest = rows.select(*named, "_key", sorts(full).alias("found")).join(at, "_key", "left_anti").select(*named, "found")

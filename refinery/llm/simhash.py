@@ -140,3 +140,22 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     lowest = written(member.groupBy("root").agg(F.min("first").alias("component_id")), f"{name}-lowest")
     named = written(member.join(lowest, "root").select("fp", "component_id"), f"{name}-named")
     return fps.join(named, "fp").select(F.col("_id").alias(id_col), "fp", "component_id")
+
+
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 2,
+             name: str = "simhash") -> DataFrame:
+    """The rows of ``df`` without those that another row of their component (the one of smallest id) stands for.
+
+    Repeated rows of a kept id leave one row; rows with a null id stay, as nothing could name them.  The ids to
+    go are joined to the rows; Spark broadcasts them while they are few.
+    """
+    found = near_duplicates(df, id_col, text_col, words, radius, name).where(F.col(id_col).isNotNull())
+    found = written(found.select(F.col(id_col).alias("_gone"), "component_id"), f"{name}-found")
+    gone = written(found.where("_gone <> component_id").select("_gone").distinct(), f"{name}-gone")
+    left = df.join(gone, df[id_col] == gone["_gone"], "left_anti")
+    twice = written(found.where("_gone = component_id").groupBy("_gone").agg(F.count("*").alias("n"))
+                    .where("n > 1").select("_gone"), f"{name}-twice")
+    if twice.isEmpty():
+        return left
+    once = left.join(twice, left[id_col] == twice["_gone"], "left_anti")
+    return once.unionByName(left.join(twice, left[id_col] == twice["_gone"], "left_semi").dropDuplicates([id_col]))

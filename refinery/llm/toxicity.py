@@ -361,3 +361,19 @@ def score(df: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "
 
     kind = source.schema["id"].dataType.simpleString()
     return source.mapInArrow(run, f"id {kind}, score double").select(F.col("id").alias(id_col), "score")
+
+
+def keep_clean(df: DataFrame, net: Network, text_col: str = "text", limit: float = 0.5) -> DataFrame:
+    """The rows of ``df`` whose whole text scores below ``limit``, all columns as they are, without a shuffle."""
+    sent = df.sparkSession.sparkContext.broadcast(pickle.dumps(net))
+    at_text = df.columns.index(text_col)
+
+    def run(batches):
+        model, memory, rows = _loaded(sent.value), {}, fresh_rows()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                found = scores(model, [t or "" for t in part.column(at_text).to_pylist()], memory, rows)
+                yield part.filter(pa.array(found < limit))
+
+    return df.mapInArrow(run, df.schema)
