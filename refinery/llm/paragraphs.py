@@ -23,6 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from refinery.llm import bits
 from refinery.llm.common import connected_components, written
 
 SHINGLE = 5
@@ -90,15 +91,6 @@ def band_keys(paragraphs: list[list[str]], bands: int, rows: int, memory: dict[s
     return keys.view(np.int64)
 
 
-def _cells(keys: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """(word of the filter, its four bits) of each key."""
-    h = keys.view(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-    bits = np.zeros(h.shape, np.uint64)
-    for i in range(4):
-        bits |= np.uint64(1) << ((h >> np.uint64(6 * i)) & np.uint64(63))
-    return ((h >> np.uint64(32)) % np.uint64(words)).astype(np.int64), bits
-
-
 def _keys(source: DataFrame, bands: int, rows: int, least: int) -> DataFrame:
     def run(batches):
         memory: dict[str, int] = {}
@@ -111,20 +103,6 @@ def _keys(source: DataFrame, bands: int, rows: int, least: int) -> DataFrame:
     return source.mapInArrow(run, "key bigint")
 
 
-def _filter(shared: DataFrame, words: int) -> np.ndarray:
-    """The Bloom filter of the column ``key``, one word per block, put together from at most ``words`` rows."""
-    def run(batches):
-        for batch in batches:
-            at, bits = _cells(batch.column(0).to_numpy(), words)
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(bits.view(np.int64))], ["at", "bits"])
-
-    table = np.zeros(words, np.int64)
-    cells = shared.select("key").mapInArrow(run, "at bigint, bits bigint").groupBy("at").agg(F.bit_or("bits").alias("bits"))
-    for batch in cells.toArrow().to_batches():
-        table[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
-    return table
-
-
 MEMBER = pa.schema([("doc", pa.int64()), ("no", pa.int32()), ("words", pa.int32()), ("uid", pa.int64()),
                     ("body", pa.string()), ("keys", pa.list_(pa.int64()))])
 
@@ -144,8 +122,7 @@ def _passing(source: DataFrame, table: np.ndarray, bands: int, rows: int, least:
                 if not found:
                     continue
                 keys = band_keys(found, bands, rows, memory)
-                cell, bits = _cells(keys, len(sent.value))
-                ok = np.flatnonzero(((sent.value[cell].view(np.uint64) & bits) == bits).any(axis=1))
+                ok = np.flatnonzero(bits.passes(sent.value, keys).any(axis=1))
                 out = []
                 for i in ok.tolist():
                     body = " ".join(found[i])
@@ -231,8 +208,7 @@ def duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
         "doc is not null and text is not null")
     shared = written(_keys(source, bands, rows, least).groupBy("key").agg(F.count("*").alias("n"))
                      .where("n > 1").select("key"), f"{name}-shared")
-    size = int(min(MOST_WORDS, max(64, 1 << (max(1, shared.count()) // 4).bit_length())))
-    passed = written(_passing(source, _filter(shared, size), bands, rows, least), f"{name}-passed")
+    passed = written(_passing(source, bits.build(shared, MOST_WORDS), bands, rows, least), f"{name}-passed")
     variants = written(passed.groupBy("uid").agg(F.min("body").alias("body"), F.min("keys").alias("keys")),
                        f"{name}-variants")
     roots = connected_components(links(variants, threshold, name), name)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from refinery.llm import bpe, cws, decontam, paragraphs, secret_scan, simhash, toxicity, urlfilter, warc
+from refinery.llm import bpe, cws, decontam, paragraphs, secret_scan, simhash, substrings, toxicity, urlfilter, warc
 from refinery.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -179,3 +179,11 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every paragraph of the documents that repeats elsewhere, exactly or nearly, with its class and the one kept."""
     found = paragraphs.duplicates(table(spark, sf_dir, "documents"))
     return found.withColumnRenamed("kept_id", "kept_doc_id")
+
+
+@query
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every whole document keeps once 50-byte strings of documents with smaller ids are removed."""
+    found = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
