@@ -131,30 +131,30 @@ def _key(text: Column) -> Column:
 
 
 def postings(texts: DataFrame, grams: Sequence[str]) -> DataFrame:
-    """The inverted index over the column ``_text``: distinct ``gram`` (its number) and ``key``."""
-    low = texts.select(_key(F.col("_text")).alias("key"), F.lower("_text").alias("low"))
+    """The inverted index over the column ``__text``: distinct ``gram`` (its number) and ``key``."""
+    low = texts.select(_key(F.col("__text")).alias("key"), F.lower("__text").alias("low"))
     held = F.array_compact(F.array(*[F.when(F.col("low").contains(g), F.lit(i)) for i, g in enumerate(grams)]))
     return low.select("key", F.explode(held).alias("gram")).distinct()
 
 
 def candidates(spark: SparkSession, texts: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """``key`` and ``_mask``: the rules (bit i: rule i) whose trigram query the text's postings satisfy."""
+    """``key`` and ``__mask``: the rules (bit i: rule i) whose trigram query the text's postings satisfy."""
     asked = [(i, alt) for i, r in enumerate(rules) for alt in trigram_query(r.pattern) or []]
     grams = sorted({g for _, alt in asked for g in alt})
     terms = spark.createDataFrame([(n, grams.index(g), len(alt), 1 << i) for n, (i, alt) in enumerate(asked) for g in alt],
                                   "alt int, gram int, size int, bit long")  # bounded by the rules
     held = (postings(texts, grams).join(F.broadcast(terms), "gram")
             .groupBy("key", "alt", "size", "bit").agg(F.count("*").alias("n")).where("n = size"))
-    return written(held.groupBy("key").agg(F.bit_or("bit").alias("_mask")), "secret-candidates")
+    return written(held.groupBy("key").agg(F.bit_or("bit").alias("__mask")), "secret-candidates")
 
 
 SPANS = "array<struct<start:int,kind:int,end:int>>"
 
 
 def _spans(rule: Rule, number: int) -> Column:
-    """Spans of one rule in ``_text``: from the lengths of the matches and of what lies between them."""
-    between, match = F.split(F.col("_text"), rule.pattern, -1), F.regexp_extract_all("_text", F.lit(rule.pattern), F.lit(0))
-    value = F.regexp_extract_all("_text", F.lit(rule.pattern), F.lit(rule.group))
+    """Spans of one rule in ``__text``: from the lengths of the matches and of what lies between them."""
+    between, match = F.split(F.col("__text"), rule.pattern, -1), F.regexp_extract_all("__text", F.lit(rule.pattern), F.lit(0))
+    value = F.regexp_extract_all("__text", F.lit(rule.pattern), F.lit(rule.group))
     steps = F.zip_with(F.zip_with(F.slice(between, 1, F.size(match)), match, lambda gap, one: F.struct(
         F.char_length(gap).alias("gap"), F.char_length(one).alias("len"))), value,
         lambda x, v: F.struct(x["gap"].alias("gap"), x["len"].alias("len"), F.char_length(v).alias("val")))
@@ -165,7 +165,7 @@ def _spans(rule: Rule, number: int) -> Column:
         one = F.array(F.struct((acc["at"] + x["gap"]).cast("int").alias("start"), F.lit(number).alias("kind"), end.alias("end")))
         return F.struct(end.alias("at"), F.when(x["val"] >= rule.least, F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
 
-    return F.when(F.col("_text").rlike(rule.pattern), F.aggregate(steps, start, step, lambda acc: acc["out"])
+    return F.when(F.col("__text").rlike(rule.pattern), F.aggregate(steps, start, step, lambda acc: acc["out"])
                   ).otherwise(F.array().cast(SPANS))
 
 
@@ -177,19 +177,19 @@ def scan(df: DataFrame, text_col: str = "text", rules: Sequence[Rule] = BASE + F
     ``found`` is replaced.
     """
     spark, named = df.sparkSession, [c for c in df.columns if c != "found"]
-    rows = df.select(*[F.col(f"`{c}`") for c in named], F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    rows = rows.withColumn("_key", _key(F.col("_text")))
+    rows = df.select(*[F.col(f"`{c}`") for c in named], F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
+    rows = rows.withColumn("__key", _key(F.col("__text")))
     forced = {i for i, r in enumerate(rules) if trigram_query(r.pattern)}
     none = F.array().cast(SPANS)
     sorts = lambda parts: F.array_sort(F.concat(*parts)) if parts else none
     full = [_spans(r, i) for i, r in enumerate(rules) if i not in forced]
     if not forced:
         return rows.select(*named, sorts(full).alias("found"))
-    at = candidates(spark, rows.select("_text"), rules).withColumnRenamed("key", "_key")
-    some = [F.when(F.col("_mask").bitwiseAND(F.lit(1 << i)) != 0, _spans(r, i)).otherwise(none)
+    at = candidates(spark, rows.select("__text"), rules).withColumnRenamed("key", "__key")
+    some = [F.when(F.col("__mask").bitwiseAND(F.lit(1 << i)) != 0, _spans(r, i)).otherwise(none)
             for i, r in enumerate(rules) if i in forced]
-    hits = rows.join(at, "_key").select(*named, sorts(full + some).alias("found"))
-    rest = rows.select(*named, "_key", sorts(full).alias("found")).join(at, "_key", "left_anti").select(*named, "found")
+    hits = rows.join(at, "__key").select(*named, sorts(full + some).alias("found"))
+    rest = rows.select(*named, "__key", sorts(full).alias("found")).join(at, "__key", "left_anti").select(*named, "found")
     return hits.unionByName(rest)
 
 
