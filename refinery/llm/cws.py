@@ -7,38 +7,28 @@ and ``ln a = ln c - r * (t - b + 1)``; the sample is the word of the smallest ``
 ``a`` is a function of the word and ``t`` alone, so two documents have the same
 minimum exactly where they drew the same (word, t), and the share of equal
 samples estimates the sum of the smaller weights over the sum of the larger.
-
-The Gamma variates are read from a table of ``GAMMA_STEPS`` quantiles, which
-spares three logarithms for each sample of each word.
 """
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SAMPLES = 32
-GAMMA_STEPS = 4096
 #: hexadecimal digits that stand for one sample
 DIGITS = 8
 #: rows of one range of ids, and the most ranges (the driver holds one row of each)
 RANGE_ROWS, MOST_RANGES = 200, 50_000
 
 
-def gamma_quantiles(steps: int = GAMMA_STEPS) -> np.ndarray:
-    """Quantiles of Gamma(2, 1) at the middles of ``steps`` equal parts of [0, 1), by bisection of its distribution."""
-    share = (np.arange(steps) + 0.5) / steps
-    low, high = np.zeros(steps), np.full(steps, 64.0)
-    for _ in range(80):
-        mid = (low + high) / 2
-        below = 1 - np.exp(-mid) * (1 + mid) < share
-        low, high = np.where(below, mid, low), np.where(below, high, mid)
-    return (low + high) / 2
+def uniform(term: str, number: int, high: bool) -> str:
+    """SQL of a uniform variate in (0, 1): one half of a hash of ``term`` and ``number``."""
+    return f"(((shiftrightunsigned(xxhash64({term}, {number}), {32 if high else 0}) & 4294967295) + 0.5D) / 4294967296D)"
 
 
-def _table(values: np.ndarray) -> Column:
-    return F.expr("array(" + ",".join(f"{float(v)!r}D" for v in values) + ")")
+def gamma(term: str, number: int) -> str:
+    """SQL of a Gamma(2, 1) variate: the sum of two exponential ones."""
+    return f"(-ln({uniform(term, number, False)} * {uniform(term, number, True)}))"
 
 
 def terms(rows: DataFrame, keys: list[str], text_col: str) -> DataFrame:
@@ -55,16 +45,11 @@ def signatures(rows: DataFrame, keys: list[str], text_col: str, samples: int = S
     ``keys`` must tell the rows apart.  Where ``rows`` is already partitioned by some of them, nothing is
     shuffled.  A text without words (null texts must be made empty before) has a fingerprint of zeros.
     """
-    gamma, top = gamma_quantiles(), GAMMA_STEPS - 1
-    shift = top.bit_length()
-    found = terms(rows, keys, text_col).withColumn("_r", _table(gamma)).withColumn("_c", _table(np.log(gamma)))
-    r, c = f"get(_r, cast(h{{0}} & {top} AS int))", f"get(_c, cast(shiftrightunsigned(h{{0}}, {shift}) & {top} AS int))"
-    b = "shiftrightunsigned(h{0}, 32) / 4294967296D"
-
     def smallest(i: int) -> Column:
-        at = lambda x: x.format(i).replace(f"h{i}", f"xxhash64(term, {i})")
-        return F.expr(f"min(if(term is null, null, {at(c)} - {at(r)} * (floor(lnw / {at(r)} + {at(b)}) - {at(b)} + 1)))").alias(f"a{i}")
+        r, c, b = gamma("term", 3 * i), gamma("term", 3 * i + 1), uniform("term", 3 * i + 2, False)
+        return F.expr(f"min(if(term is null, null, ln({c}) - {r} * (floor(lnw / {r} + {b}) - {b} + 1)))").alias(f"a{i}")
 
+    found = terms(rows, keys, text_col)
     drawn = found.groupBy(*keys).agg(*[smallest(i) for i in range(samples)])
     digits = [F.expr(f"if(a{i} is null, '{'0' * DIGITS}', lpad(lower(hex(xxhash64(a{i}) & 4294967295)), {DIGITS}, '0'))")
               for i in range(samples)]

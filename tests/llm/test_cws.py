@@ -16,9 +16,10 @@ def jaccard(a, b):
     return sum(min(a[k], b[k]) for k in a & b) / top if top else 1.0
 
 
-def test_gamma_table():
-    q = cws.gamma_quantiles(1000)
-    assert (np.diff(q) > 0).all() and abs(q.mean() - 2) < 0.02 and abs(q.var() - 2) < 0.1
+def test_gamma_variates(spark):
+    r = spark.range(20000).selectExpr(f"{cws.gamma('id', 5)} AS g", f"{cws.uniform('id', 6, False)} AS u").toPandas()
+    assert abs(r.g.mean() - 2) < 0.05 and abs(r.g.var() - 2) < 0.15 and abs(r.u.mean() - 0.5) < 0.01
+    assert abs((r.g < 1).mean() - (1 - 2 / np.e)) < 0.01
 
 
 def test_against_plain_edits(spark, monkeypatch):
