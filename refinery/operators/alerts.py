@@ -44,16 +44,17 @@ def make_status(df: DataFrame, dag_id, task_id, status, error_message=None, exec
 
 
 def decorate(df: DataFrame) -> DataFrame:
-    """Colour per severity (grey when unknown) and message cut at 500 characters.
+    """Colour per severity (grey when unknown) and ``display``, the text cut at 500 characters for a chat.
 
-    Status rows (with ``status``) get red for FAIL and orange otherwise.
+    Status rows (with ``status``) get red for FAIL and orange otherwise.  The
+    stored text (``message``, ``error_message``) stays whole.
     """
     if "status" in df.columns:
         colour = F.when(F.col("status") == "FAIL", F.lit(fixed.STATUS_COLOUR_FAIL)).otherwise(
             F.lit(fixed.STATUS_COLOUR_OTHER))
-        return df.withColumns({"colour": colour, "error_message": fx.truncate("error_message")})
+        return df.withColumns({"colour": colour, "display": fx.truncate("error_message")})
     colour = fx.lookup("severity", fixed.SEVERITY_COLOURS, fixed.SEVERITY_COLOUR_OTHER)
-    return df.withColumns({"colour": colour, "message": fx.truncate("message")})
+    return df.withColumns({"colour": colour, "display": fx.truncate("message")})
 
 
 def from_quality(dims: DataFrame, timestamp: str) -> DataFrame:

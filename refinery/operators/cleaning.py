@@ -57,11 +57,6 @@ def dedup(df: DataFrame, keys, order_by=(), with_counts: bool = False) -> DataFr
     return out.select(*cols).select(*[f"`{c}`" for c in df.columns] + ([GROUP_ROWS] if with_counts else []))
 
 
-def drop_exact_duplicates(df: DataFrame) -> DataFrame:
-    """Identical rows collapse to one (hash aggregate on all columns)."""
-    return df.dropDuplicates()
-
-
 def key_present(key) -> Column:
     c = F.col(key)
     return c.isNotNull() & (c != "")

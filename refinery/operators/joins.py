@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refinery.operators.cleaning import dedup
+from refinery.sources.readers import read_curated
 
 DIM_KEY = "_dim_key"
 
@@ -47,29 +48,34 @@ def _missing(dim_cols: Sequence[str], fact: DataFrame) -> DataFrame:
 def hot_keys_frame(fact: DataFrame, key: str, share: float) -> DataFrame:
     """Keys holding more than ``share`` of the rows of ``fact``: at most ``1/share`` rows.
 
-    One aggregation over the key column (map-side combined); the total is a
-    single number fetched to the driver.  The result is small by
+    One lazy aggregation over the key column, map-side combined, that counts
+    each key and, as its grand total, all rows.  The result is small by
     construction and safe to broadcast.
     """
-    counts = fact.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = fact.where(F.col(key).isNotNull()).count()
-    return counts.where(F.col("_n") > F.lit(total * float(share))).select(F.col(key).alias("_hot"))
+    counts = (fact.where(F.col(key).isNotNull()).select(F.col(key).alias("_hot")).rollup("_hot")
+              .agg(F.count(F.lit(1)).alias("_n"), F.grouping("_hot").alias("_all")))
+    total = counts.where("_all = 1").agg(F.max("_n"))
+    return counts.where((F.col("_all") == 0) & (F.col("_n") > total.scalar() * F.lit(float(share)))).select("_hot")
 
 
 def enrich_left(fact: DataFrame, dim: DataFrame | None, left_on: str, right_on: str,
                 dim_cols: Sequence[str], strategy: str = "auto", max_dim_rows: int | None = None,
-                hot_keys: Sequence | None = None, detect_hot_share: float | None = None) -> DataFrame:
+                hot_keys: Sequence | None = None, detect_hot_share: float | None = None,
+                dim_order: Sequence[str] = ()) -> DataFrame:
     """``fact`` LEFT JOIN ``dim`` on ``fact[left_on] = dim[right_on]`` adding ``dim_cols``.
 
     ``dim=None`` (dimension not available) adds the columns as typed nulls.
-    The dimension is deduplicated on its key first, so the join cannot fan out.
+    The dimension is deduplicated on its key first, so the join cannot fan out;
+    the greatest row by ``dim_order`` (e.g. its ingestion time) wins.
     """
     dim_cols = list(dim_cols)
     clash = [c for c in dim_cols if c in fact.columns]
     base = fact.drop(*clash) if clash else fact
     if dim is None:
         return _missing(dim_cols, base)
-    side = dedup(dim.select(F.col(right_on).alias(DIM_KEY), *dim_cols), DIM_KEY)
+    order = [c for c in dim_order if c in dim.columns]
+    side = dim.select(F.col(right_on).alias(DIM_KEY), *dim_cols, *[F.col(c).alias(f"_order_{c}") for c in order])
+    side = dedup(side, DIM_KEY, [f"_order_{c}" for c in order]).select(DIM_KEY, *dim_cols)
     if strategy == "merge":
         side = side.hint("merge")
     elif strategy == "broadcast":
@@ -86,7 +92,11 @@ def enrich_left(fact: DataFrame, dim: DataFrame | None, left_on: str, right_on:
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in base.columns])
 
     if detect_hot_share:
-        found = F.broadcast(hot_keys_frame(base, left_on, detect_hot_share).withColumn("_is_hot", F.lit(True)))
+        found = hot_keys_frame(base, left_on, detect_hot_share)
+        if hot_keys:
+            listed = base.sparkSession.createDataFrame([(k,) for k in hot_keys], found.schema)
+            found = found.unionByName(listed).distinct()
+        found = F.broadcast(found.withColumn("_is_hot", F.lit(True)))
         flagged = base.join(found, key == found["_hot"], "left").drop("_hot")
         is_hot = F.coalesce(F.col("_is_hot"), F.lit(False))
         hot_dim = side.join(found, F.col(DIM_KEY) == found["_hot"], "left_semi")
@@ -137,13 +147,14 @@ def _spread_key(row_hash, key, key_type: str):
     return None
 
 
-def read_dimension(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
-    """The dimension at ``path``, or ``None`` when the path does not exist.
+def read_dimension(spark: SparkSession, path: str, partition_cols: Sequence[str] = ()) -> DataFrame | None:
+    """The Parquet dimension at ``path``, or ``None`` when the path does not exist.
 
-    Only a missing path is tolerated; any other failure propagates.
+    Partition values keep their text (``04`` stays ``04``).  Only a missing
+    path is tolerated; any other failure propagates.
     """
     try:
-        return spark.read.format(fmt).load(path)
+        return read_curated(spark, path, partition_cols)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             return None

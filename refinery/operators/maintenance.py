@@ -20,11 +20,13 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refinery.functions import fixed
-from refinery.session import session_conf
+from refinery.session import session_conf, ship_package
+from refinery.sources.files import remove_file
 from refinery.sources.readers import read_curated
 
 
@@ -71,6 +73,12 @@ def rename(spark: SparkSession, src: str, dst: str) -> bool:
     return bool(fs.rename(p, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(dst)))
 
 
+def file_count(spark: SparkSession, path: str, glob: str = "*.parquet") -> int:
+    """Number of files under ``path``; counted in Spark, no name reaches the driver's Python."""
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+            .load(path).select("length").count())
+
+
 def target_files(size: float, target_file_mb: int, default: int, forced: int | None = None) -> int:
     """Forced value wins; else max(1, int(size / target)); unknown size -> default."""
     if forced:
@@ -83,9 +91,14 @@ def target_files(size: float, target_file_mb: int, default: int, forced: int | N
 # --- integrity ---------------------------------------------------------------------
 
 def fingerprint(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """One row: row count and order-free checksum (sum of xxhash64 as decimal)."""
+    """One row: row count and order-free checksum (sum of xxhash64 as decimal).
+
+    The hash skips nulls, so every column goes in with its null flag: a value
+    that moves to another column across a null changes the checksum.
+    """
     cols = list(cols or sorted(df.columns))
-    h = F.xxhash64(*[F.col(f"`{c}`") for c in cols]).cast("decimal(38,0)")
+    parts = [x for c in cols for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    h = F.xxhash64(*parts).cast("decimal(38,0)")
     return df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(h), F.lit(0)).cast("string").alias("checksum"))
 
 
@@ -101,25 +114,32 @@ def verify_same(before: DataFrame, after: DataFrame) -> dict:
 # --- compaction ----------------------------------------------------------------------
 
 def rewrite(df: DataFrame, out_path: str, partition_cols: Sequence[str], n_files: int,
-            target_file_mb: int = 128) -> None:
+            target_file_mb: int = 128, forced: bool = False) -> None:
     """Rewrite with few, right-sized files.
 
     Partitioned layouts go through ``REBALANCE(partition columns)`` with AQE's
     advisory partition size set to the target file size: every directory is
     written by one task, and a directory larger than the target is split
-    over several tasks (one file each).  A fixed task count would only
-    serialise the write here, since a partitioned table cannot have fewer
-    files than directories.  Unpartitioned tables are cut into ``n_files``.
+    over several tasks (one file each).  With ``forced``, ``n_files`` is shared
+    out over the directories: rows of a directory are dealt by a hash into
+    ``n_files / directories`` parts (at least one), each a file of its own.
+    Unpartitioned tables are cut into ``n_files``.
     """
-    if partition_cols:
+    settings: dict[str, str | None] = {}
+    if partition_cols and forced:
+        dirs = max(1, df.select(*partition_cols).distinct().count())
+        parts = max(1, round(n_files / dirs))
+        row = F.xxhash64(*[x for c in df.columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())])
+        out = df.repartition(dirs * parts, *partition_cols, F.pmod(row, F.lit(parts)))
+    elif partition_cols:
         out = df.hint("rebalance", *partition_cols)
         settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{int(target_file_mb)}m",
                     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"}
     else:
-        out, settings = df.repartition(int(n_files)), {}
+        out = df.repartition(int(n_files))
     with session_conf(df.sparkSession, settings):
-        (out.write.mode("overwrite").option("compression", "snappy").partitionBy(*partition_cols)
-            .parquet(out_path))
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "snappy")
+            .partitionBy(*partition_cols).parquet(out_path))
 
 
 def compact(spark: SparkSession, path: str, out_path: str, layout: Layout,
@@ -132,8 +152,8 @@ def compact(spark: SparkSession, path: str, out_path: str, layout: Layout,
     before_mb = size_mb(spark, path)
     n = target_files(before_mb, layout.target_file_mb, layout.default_files, forced_files)
     df = read_curated(spark, path, layout.partition_cols)
-    files_before = len(df.inputFiles())
-    rewrite(df, out_path, layout.partition_cols, n, layout.target_file_mb)
+    files_before = file_count(spark, path)
+    rewrite(df, out_path, layout.partition_cols, n, layout.target_file_mb, bool(forced_files))
     after = read_curated(spark, out_path, layout.partition_cols)
     check = verify_same(df, after)
     if not check["same"]:
@@ -141,7 +161,7 @@ def compact(spark: SparkSession, path: str, out_path: str, layout: Layout,
     after_mb = size_mb(spark, out_path)
     reduction = round(100 * (1 - after_mb / before_mb), 2) if before_mb > 0 else 0.0
     return {"path": path, "target_files": n, "files_before": files_before,
-            "files_after": len(after.inputFiles()), "rows": check["rows_after"],
+            "files_after": file_count(spark, out_path), "rows": check["rows_after"],
             "size_mb_before": before_mb, "size_mb_after": after_mb, "reduction_pct": reduction}
 
 
@@ -177,14 +197,19 @@ def compact_all(spark: SparkSession, curated_root: str, layouts: dict[str, Layou
                 forced_files: int | None = None, cleanup_backups: bool = False) -> DataFrame:
     """Compact every entity; failures are collected, the others still run.
 
-    Returns one status row per entity.  Backups are removed only when every
-    entity succeeded and ``cleanup_backups`` is set.
+    Returns one status row per entity.  Where a crash between the two renames
+    left a backup without its table, the backup is moved back first.  Backups
+    are removed only when every entity was compacted and ``cleanup_backups`` is
+    set: an entity that was skipped or failed keeps all of them.
     """
     rows, errors = [], []
     root = curated_root.rstrip("/")
     for entity, layout in layouts.items():
         cur, tmp, bak = f"{root}/{entity}", f"{root}/{entity}_compact_tmp", f"{root}/{entity}_backup"
+        if not exists(spark, cur) and exists(spark, bak):
+            rename(spark, bak, cur)
         if not exists(spark, cur):
+            errors.append(entity)
             rows.append((entity, "SKIPPED", None, None, None, "path not found"))
             continue
         try:
@@ -193,7 +218,7 @@ def compact_all(spark: SparkSession, curated_root: str, layouts: dict[str, Layou
             rows.append((entity, "OK", rep["rows"], rep["files_before"], rep["files_after"], None))
         except Exception as e:  # keep going, report at the end
             errors.append(entity)
-            rows.append((entity, "FAILED", None, None, None, str(e)[:500]))
+            rows.append((entity, "FAILED", None, None, None, str(e)))
     if cleanup_backups and not errors:
         drop_backups(spark, [f"{root}/{e}_backup" for e in layouts], dry_run=False)
     return spark.createDataFrame(rows, "entity string, status string, rows long, files_before int, "
@@ -215,46 +240,33 @@ def expired_files(spark: SparkSession, root: str, as_of: dt.datetime, days: int
     return files.where(F.col("modificationTime") < F.lit(cutoff))
 
 
-def purge_plan(spark: SparkSession, root: str, as_of: dt.datetime, days: int = fixed.RETENTION_DAYS,
-               glob: str = "*.csv") -> DataFrame:
-    """What to delete: ``(path, kind)`` with kind ``dir`` or ``file``.
+def delete_files(files: DataFrame) -> DataFrame:
+    """Delete the files of the column ``path``, on the executors; returns ``path`` and ``deleted``.
 
-    A directory whose visible files are all expired matches is removed in
-    one call (one ingest date is one directory); expired files of other
-    directories are removed one by one.  Both listings and the grouping run
-    in Spark; only the (small) delete list reaches the driver.
+    Only files go, never folders.  A file that is gone already (a task that is
+    run again) is not an error.
     """
-    def listing(pattern):
-        r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-        if pattern:
-            r = r.option("pathGlobFilter", pattern)
-        files = r.load(root).select("path", "modificationTime")
-        return files.withColumn("dir", F.regexp_extract("path", r"^(.*)/[^/]*$", 1))
+    spark = files.sparkSession
+    ship_package(spark)
 
-    cutoff = as_of - dt.timedelta(days=days)
-    expired = listing(glob).where(F.col("modificationTime") < F.lit(cutoff))
-    per_dir_all = listing(None).groupBy("dir").agg(F.count(F.lit(1)).alias("n_all"))
-    per_dir_exp = expired.groupBy("dir").agg(F.count(F.lit(1)).alias("n_exp"))
-    whole = (per_dir_exp.join(per_dir_all, "dir").where(F.col("n_exp") == F.col("n_all"))
-             .select("dir").where(F.col("dir") != F.lit(root.rstrip("/"))))
-    dirs = whole.select(F.col("dir").alias("path"), F.lit("dir").alias("kind"))
-    files = (expired.join(whole, "dir", "left_anti")
-             .select("path", F.lit("file").alias("kind")))
-    return dirs.unionByName(files)
+    def run(batches):
+        for batch in batches:
+            paths = batch.column(0).to_pylist()
+            yield pa.RecordBatch.from_pydict({"path": paths, "deleted": [remove_file(p) for p in paths]})
+
+    dealt = files.select("path").repartition(spark.sparkContext.defaultParallelism)
+    return dealt.mapInArrow(run, "path string, deleted boolean")
 
 
 def purge(spark: SparkSession, root: str, as_of: dt.datetime, days: int = fixed.RETENTION_DAYS,
           glob: str = "*.csv", dry_run: bool = True) -> int:
     """Delete expired files (dry run by default); returns the number of expired files.
 
-    Missing root -> 0.  Deletes whole directories where every visible file is
-    expired (see ``purge_plan``), single files elsewhere.
+    Missing root -> 0.  One listing decides: exactly the files that it holds
+    and that are older than the limit are deleted, each by itself, so files
+    that land meanwhile and all folders stay.
     """
     if not exists(spark, root):
         return 0
-    n = expired_files(spark, root, as_of, days, glob).count()
-    if not dry_run and n:
-        # materialise the (small) delete list before touching the listed folders
-        for r in purge_plan(spark, root, as_of, days, glob).collect():
-            delete(spark, r["path"], recursive=r["kind"] == "dir")
-    return n
+    files = expired_files(spark, root, as_of, days, glob)
+    return files.count() if dry_run else delete_files(files).count()

@@ -39,8 +39,9 @@ def profile(df: DataFrame, key: str | None = None, amount: str | None = None,
             wide_key: bool = False) -> DataFrame:
     """Single-row profile: rows, non-blank count per column, valid amounts, distinct keys.
 
-    ``wide_key`` (long texts as key): distinct keys come from ``exact_distinct``
-    instead of shuffling every distinct value inside the profile aggregation.
+    One scan and one aggregation.  With ``wide_key`` (long texts as key) the
+    distinct keys are counted by their SHA-256 digest, so 32 bytes a row cross
+    the network instead of the text, and copies are combined before they do.
     """
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, c in enumerate(df.columns):
@@ -49,43 +50,12 @@ def profile(df: DataFrame, key: str | None = None, amount: str | None = None,
         valid = fx.is_valid_amount(amount) if amount in df.columns else F.lit(True)
         aggs.append(F.count_if(valid).alias("_valid"))
     if key is not None and key in df.columns:
-        if wide_key:
-            return _merge_rows(df.agg(*aggs), exact_distinct(df, key))
         k = F.col(key)
-        aggs.append((F.count_distinct(k) + F.max(F.when(k.isNull(), 1).otherwise(0))).alias("_unique"))
+        counted = F.unhex(F.sha2(k.cast("binary"), 256)) if wide_key else k
+        aggs.append((F.count_distinct(counted) + F.max(F.when(k.isNull(), 1).otherwise(0))).alias("_unique"))
     return df.agg(*aggs)
 
 
-def exact_distinct(df: DataFrame, col: str) -> DataFrame:
-    """One row, ``_unique``: exact number of distinct values of a wide column
-    (null counted as one value).
-
-    Shuffling whole texts to count them is the expensive part, so the
-    values are first grouped by a 64-bit hash (16 bytes per row cross the
-    network).  A hash group with a single row is certainly one distinct
-    value; only rows of multi-row hash groups (true duplicates or the rare
-    collision) are compared by value, after a semi-join on the hash (AQE
-    broadcasts the hash list when it is small).  The result is exact and
-    the plan is lazy: three one-row partial counts summed.
-    """
-    c = F.col(col)
-    keyed = df.select(c.alias("_v")).where(F.col("_v").isNotNull()).withColumn("_h", F.xxhash64("_v"))
-    groups = keyed.groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
-    single = groups.agg(F.count_if(F.col("_n") == 1).alias("_k"))
-    multi = groups.where(F.col("_n") > 1).select("_h")
-    shared = keyed.join(multi, "_h", "left_semi").select("_h", "_v").distinct().agg(F.count(F.lit(1)).alias("_k"))
-    null = df.agg(F.max(F.when(c.isNull(), 1).otherwise(0)).cast("bigint").alias("_k"))
-    return single.unionByName(shared).unionByName(null).agg(F.sum("_k").cast("bigint").alias("_unique"))
-
-
-def _merge_rows(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Put the columns of two one-row DataFrames side by side (union + max; no cross join)."""
-    cols_a, cols_b = a.dtypes, b.dtypes
-    pad_a = a.select(*[F.col(n) for n, _ in cols_a], *[F.lit(None).cast(t).alias(n) for n, t in cols_b])
-    pad_b = b.select(*[F.lit(None).cast(t).alias(n) for n, t in cols_a], *[F.col(n) for n, _ in cols_b])
-    return pad_a.unionByName(pad_b).agg(*[F.max(n).alias(n) for n, _ in cols_a + cols_b])
-
-
 def _pct(part: Column, whole: Column) -> Column:
     return part / whole * F.lit(100.0)
 

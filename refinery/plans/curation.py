@@ -19,6 +19,9 @@ from refinery.operators.joins import enrich_left
 
 SALES_KEY = "id"
 CUSTOMERS_KEY = "id"
+#: a client with more than this share of the sales is joined map-side (at most 1 / HOT_SHARE clients)
+HOT_SHARE = 0.05
+DIM_ORDER = ("_source_date", "_last_transformed")
 
 
 # --- sales ---------------------------------------------------------------------
@@ -53,10 +56,11 @@ def add_date_parts(df: DataFrame, date: str, prefix: str = "") -> DataFrame:
 
 
 def enrich_sales(clean: DataFrame, customers: DataFrame | None, strategy: str = "auto") -> DataFrame:
-    """Join segment/region of the client; sales of unknown clients (the default key,
-    a likely hot key) go through a bounded broadcast instead of one reducer."""
+    """Join segment/region of the client; sales of unknown clients (the default key) and of
+    any client with more than ``HOT_SHARE`` of the sales go through a bounded broadcast
+    instead of one reducer.  Of several rows of a client the latest counts."""
     df = enrich_left(clean, customers, "client_id", CUSTOMERS_KEY, ["segment", "region"], strategy,
-                     hot_keys=[fixed.CLIENT_DEFAULT])
+                     hot_keys=[fixed.CLIENT_DEFAULT], detect_hot_share=HOT_SHARE, dim_order=DIM_ORDER)
     df = add_amounts(df)
     return add_date_parts(df, "sale_date")
 

@@ -4,7 +4,7 @@ compaction, daily run).
 Paths are ``<root>/sources/<entity>/*.csv`` (landing input),
 ``<root>/raw/<entity>/ingest_date=<d>/`` (raw zone),
 ``<root>/curated/<entity>/<partitions>/`` (curated zone),
-``<root>/reports/`` and ``<root>/alerts/``.
+``<root>/summaries/<entity>``, ``<root>/reports/`` and ``<root>/alerts/``.
 
 Stage metrics come from ``DataFrame.observe`` (collected while the write
 runs) instead of separate ``count()`` actions that would re-read the input.
@@ -13,11 +13,12 @@ runs) instead of separate ``count()`` actions that would re-read the input.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from refinery.operators import alerts, maintenance, quality
+from refinery.operators import alerts, maintenance, quality, summaries
 from refinery.operators.joins import read_dimension
 from refinery.operators.privacy import mask
 from refinery.plans import curation as cur
@@ -34,12 +35,32 @@ def _observed(df: DataFrame, name: str, key: str) -> tuple[DataFrame, Observatio
                       F.count_if(F.col(key).isNull()).alias("null_keys")), obs
 
 
+def _of_batch(df: DataFrame, date: str) -> DataFrame:
+    """The curated rows that this source date wrote (the summaries of a day don't read older rows' values)."""
+    return df.where(F.col("_source_date") == date)
+
+
+def _line(entity: str, name: str, df: DataFrame, *keys: str) -> DataFrame:
+    """A summary as rows of (entity, summary, key, key2, value); its value is the last column."""
+    names = [F.col(k).cast("string") for k in keys] + [F.lit(None).cast("string")] * (2 - len(keys))
+    return df.select(F.lit(entity).alias("entity"), F.lit(name).alias("summary"), names[0].alias("key"),
+                     names[1].alias("key2"), F.col(df.columns[-1]).cast("double").alias("value"))
+
+
+def _write_summary(parts: list[DataFrame], path: str) -> None:
+    reduce(DataFrame.unionByName, parts).coalesce(1).write.mode("overwrite").parquet(path)  # a few dozen rows
+
+
 def build_customers(spark: SparkSession, root: str, date: str, as_of, clock) -> dict:
     """Raw customers of ``date`` -> cleaned, enriched, masked, partitioned by region/segment."""
     raw = readers.read_raw(spark, f"{root}/raw", "customers", date).drop(PARTITION)
     df = cur.curate_customers(raw, as_of, clock, date)
     df, obs = _observed(df, "customers", cur.CUSTOMERS_KEY)
     sinks.write_curated(mask(df), f"{root}/curated/customers", CUSTOMERS_PARTITIONS)
+    back = _of_batch(readers.read_curated(spark, f"{root}/curated/customers", CUSTOMERS_PARTITIONS), date)
+    parts = [_line("customers", "total", summaries.total(back)), _line("customers", "raw_null_keys", summaries.null_keys(raw, cur.CUSTOMERS_KEY))]
+    parts += [_line("customers", f"by_{c}", summaries.count_by(back, c), c) for c in ("segment", "loyalty", "age_band", "active")]
+    _write_summary(parts, f"{root}/summaries/customers")
     return dict(obs.get)
 
 
@@ -49,12 +70,15 @@ def build_sales(spark: SparkSession, root: str, date: str, clock, strategy: str
     A missing customers table leaves segment/region null (the job goes on).
     """
     raw = readers.read_raw(spark, f"{root}/raw", "sales", date).drop(PARTITION)
-    dim = read_dimension(spark, f"{root}/curated/customers")
-    if dim is not None:
-        dim = dim.select(cur.CUSTOMERS_KEY, "segment", "region")
+    dim = read_dimension(spark, f"{root}/curated/customers", CUSTOMERS_PARTITIONS)
     df = cur.curate_sales(raw, dim, clock, date, strategy)
     df, obs = _observed(df, "sales", cur.SALES_KEY)
     sinks.write_curated(df, f"{root}/curated/sales", SALES_PARTITIONS)
+    back = _of_batch(readers.read_curated(spark, f"{root}/curated/sales", SALES_PARTITIONS), date)
+    parts = [_line("sales", "total", summaries.total(back)), _line("sales", "raw_null_keys", summaries.null_keys(raw, cur.SALES_KEY)),
+             _line("sales", "by_month", summaries.by_month(back), "year", "month"),
+             _line("sales", "revenue_by_region", summaries.revenue_by(back, "region"), "region")]
+    _write_summary(parts, f"{root}/summaries/sales")
     return dict(obs.get)
 
 
@@ -71,10 +95,13 @@ def check_quality(spark: SparkSession, root: str, zone: str, entity: str, date:
     df = readers.load_zone(spark, zone, zone_root, entity, date if zone == "raw" else None, PARTITIONS[entity])
     if PARTITION in df.columns:
         df = df.drop(PARTITION)
-    dims = quality.run(df, zone, entity, date, as_of, **QUALITY_OPTIONS.get(entity, {})).cache()
+    if zone == "curated" and "_source_date" in df.columns:
+        df = _of_batch(df, date)
+    dims = quality.run(df, zone, entity, date, as_of, **QUALITY_OPTIONS.get(entity, {}))
+    rows = dims.collect()  # one row per dimension
+    dims = spark.createDataFrame(rows, dims.schema)
     sinks.write_report(quality.report(dims, clock), f"{root}/reports")
-    out = quality.with_global(dims)
-    return out
+    return quality.with_global(dims)
 
 
 def compact_all(spark: SparkSession, root: str, forced_files: int | None = None,

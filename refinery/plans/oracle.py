@@ -9,14 +9,29 @@ in DuckDB through a decimal cast.
 
 from __future__ import annotations
 
-from refinery.functions import fixed
-from refinery.functions.columns import BLANK_PATTERN, NUMBER_PATTERN
+from types import SimpleNamespace
+
 from refinery.plans.queries import AS_OF, CLOCK, SOURCE_DATE, TIMELINESS_AS_OF
 
 ORACLE: dict[str, str] = {}
 
-RE_NUM = NUMBER_PATTERN
-RE_BLANK = BLANK_PATTERN.replace("(?U)", "")
+#: the rules' values, written out here once more so that a wrong one in the package can't pass on both sides
+fixed = SimpleNamespace(
+    VAT_RATE=1.2, DAYS_PER_YEAR=365.25, MIN_AGE=18, MAX_AGE=120,
+    AGE_BANDS=[(26, "18-25"), (36, "26-35"), (51, "36-50"), (66, "51-65")], AGE_BAND_OTHER="65+",
+    LOYALTY_LEVELS=[(1095, "GOLD"), (365, "SILVER")], LOYALTY_OTHER="BRONZE",
+    TRUE_WORDS=["true", "1", "oui", "yes"], FALSE_WORDS=["false", "0", "non", "no"],
+    EMAIL_PATTERN=r"^[\w.+-]+@[\w-]+\.[a-z]{2,}$", PHONE_DROP_PATTERN=r"[^\d+]",
+    PRODUCT_DEFAULT="INCONNU", CLIENT_DEFAULT="UNKNOWN", SEGMENT_DEFAULT="STANDARD", REGION_DEFAULT="INCONNU", ETL_VERSION="1.0",
+    DIM_COMPLETENESS="Complétude", DIM_UNIQUENESS="Unicité", DIM_VALIDITY="Validité", DIM_TIMELINESS="Actualité",
+    COMPLETENESS_PASS=95.0, VALIDITY_PASS=98.0, TIMELINESS_MAX_AGE_DAYS=1, TIMELINESS_LATE_SCORE=50.0,
+    VALIDITY_CHECK_LABEL="montants valides et positifs", GLOBAL_CRITICAL_BELOW=70.0, GLOBAL_WARNING_BELOW=85.0,
+    RECOMMENDATION_CRITICAL="❌ CRÍTICO - Investir na qualidade", RECOMMENDATION_WARNING="⚠️  A MELHORAR",
+    RECOMMENDATION_OK="✅ BOM - Pronto",
+    SEVERITY_COLOURS={"CRITICAL": "#FF0000", "WARNING": "#FFA500", "INFO": "#0000FF"}, SEVERITY_COLOUR_OTHER="#808080",
+    STATUS_COLOUR_FAIL="#FF0000", STATUS_COLOUR_OTHER="#FFA500", ALERT_MESSAGE_MAX=500)
+RE_NUM = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+RE_BLANK = r"^\s*$"
 
 
 def q(s: str) -> str:
@@ -43,7 +58,7 @@ def _sale(amount: str, seq: int) -> str:
   CASE WHEN {k} % 67 = 0 THEN 'n/a' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS sale_date,
   {amount} AS amount,
   CASE WHEN {k} % 71 = 0 THEN NULL ELSE '  ' || lower(o_orderpriority) || ' ' END AS product,
-  ' ' || CAST(o_custkey AS VARCHAR) || ' ' AS client_id,
+  CASE WHEN {k} % 29 = 0 THEN NULL WHEN {k} % 3 = 0 THEN ' 7 ' ELSE ' ' || CAST(o_custkey AS VARCHAR) || ' ' END AS client_id,
   {seq} AS seq"""
 
 
@@ -61,21 +76,25 @@ CLEAN_SALES = f"""SELECT id, CAST(try_strptime(sale_date, '%Y-%m-%d') AS DATE) A
 FROM (SELECT *, {to_double('amount')} AS amt FROM sales_dedup WHERE id IS NOT NULL AND id <> '')
 WHERE amt IS NOT NULL AND NOT isnan(amt) AND amt > 0"""
 
-RAW_CUSTOMERS = f"""SELECT CAST(c_custkey AS VARCHAR) AS id,
-  ' ' || lower(c_name) || ' ' AS last_name,
+_CUSTOMERS = """SELECT CAST(c_custkey AS VARCHAR) AS id,
+  {lead} || lower(c_name) || ' ' AS last_name,
   ' ' || CASE WHEN c_custkey % 2 = 0 THEN lower(c_mktsegment) ELSE c_mktsegment END || ' ' AS first_name,
   CASE WHEN c_custkey % 11 = 0 THEN 'bad@x.co.uk' ELSE ' User' || CAST(c_custkey AS VARCHAR) || '@Mail.com ' END AS email,
   '+33 (6) ' || CAST(c_custkey AS VARCHAR) AS phone,
   CASE WHEN c_custkey % 17 = 0 THEN NULL
        ELSE strftime(DATE '1870-01-01' + CAST((c_custkey * 7919) % 52000 AS INTEGER), '%Y-%m-%d') END AS birth_date,
   strftime(DATE '1995-01-01' + CAST((c_custkey * 31) % 2500 AS INTEGER), '%Y-%m-%d') AS signup_date,
-  CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE ' ' || lower(c_mktsegment) END AS segment,
+  {segment} AS segment,
   lower(r_name) || ' ' AS region,
   CASE c_custkey % 6 WHEN 0 THEN 'true' WHEN 1 THEN '1' WHEN 2 THEN 'oui' WHEN 3 THEN 'no' WHEN 4 THEN '0'
        ELSE NULL END AS active,
   ' ' || lpad(CAST(c_nationkey * 1000 + c_custkey % 1000 AS VARCHAR), 5, '0') || ' ' AS postcode
 FROM customer LEFT JOIN (SELECT n_nationkey, r_name FROM nation JOIN region ON n_regionkey = r_regionkey) g
-  ON c_nationkey = n_nationkey"""
+  ON c_nationkey = n_nationkey {where}"""
+
+RAW_CUSTOMERS = (
+    _CUSTOMERS.format(lead="' '", segment="CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE ' ' || lower(c_mktsegment) END", where="")
+    + " UNION ALL " + _CUSTOMERS.format(lead="' z'", segment="' vip'", where="WHERE c_custkey % 23 = 0"))
 
 CUSTOMERS_ORDER = ["last_name", "first_name", "email", "phone", "birth_date", "signup_date", "segment",
                    "region", "active", "postcode"]
@@ -280,17 +299,37 @@ FROM dims d JOIN (SELECT entity, avg(CASE WHEN score > 0 THEN CAST(score AS DOUB
   ON d.entity = g.entity""")
 
 
+# the same over the landed rows, where '' has become null and the lineage columns (never blank) count as columns
+LANDED_SALES = """SELECT NULLIF(id, '') AS id, sale_date, amount, product, client_id, CAST(seq AS VARCHAR) AS seq,
+  'x' AS source_system, 'x' AS ingestion_timestamp, 'x' AS file_name FROM raw_sales"""
+LANDED_CUSTOMERS = "SELECT *, 'x' AS source_system, 'x' AS ingestion_timestamp, 'x' AS file_name FROM raw_customers"
+LINEAGE = ["source_system", "ingestion_timestamp", "file_name"]
+add("daily_reports", WITH_SALES + f", raw_customers AS ({RAW_CUSTOMERS}), ls AS ({LANDED_SALES}), lc AS ({LANDED_CUSTOMERS}), dims AS ("
+    + _dims_sql("sales", "ls", SALES_COLS + LINEAGE, "id", "amount") + " UNION ALL "
+    + _dims_sql("customers", "lc", CUSTOMER_COLS + LINEAGE, "id", None) + ")"
+    + f""" SELECT 'raw' AS zone, d.entity, {q(SOURCE_DATE)} AS run_date, {sround('g.m')} AS global_score, d.dimension, d.status
+FROM dims d JOIN (SELECT entity, avg(CASE WHEN score > 0 THEN CAST(score AS DOUBLE) END) AS m FROM dims GROUP BY entity) g
+  ON d.entity = g.entity""")
+
+
 # --- storage-backed queries ------------------------------------------------------------
 
 SALES_OUT = """SELECT id, strftime(sale_date, '%Y-%m-%d') AS sale_date, amount, product, client_id, segment, region,
   amount_ttc, total, total_ttc, year, month, day FROM enriched_sales"""
 
 # CSV has no null: an empty field (quoted or not) reads back as null, so '' lands as null.
+LANDED_AT = q(CLOCK.replace("T", " ")[:19])
 add("land_roundtrip", WITH_SALES + f""" SELECT NULLIF(id, '') AS id, NULLIF(sale_date, '') AS sale_date,
   NULLIF(amount, '') AS amount, NULLIF(product, '') AS product, NULLIF(client_id, '') AS client_id,
-  CAST(seq AS VARCHAR) AS seq,
-  'sales' AS source_system, {q(CLOCK.replace('T', ' ')[:19])} AS ingestion_timestamp, {q(SOURCE_DATE)} AS ingest_date
+  CAST(seq AS VARCHAR) AS seq, 'sales' AS source_system, {LANDED_AT} AS ingestion_timestamp,
+  'sales_' || CAST(coalesce(length(amount), 0) AS VARCHAR) || '.csv' AS file_name, {q(SOURCE_DATE)} AS ingest_date
 FROM raw_sales""")
+add("land_mixed_headers", """SELECT CAST(o_orderkey AS VARCHAR) AS id, printf('%.2f', o_totalprice) AS amount,
+  CASE WHEN o_orderkey % 3 = 2 THEN o_orderpriority END AS note,
+  CASE o_orderkey % 3 WHEN 0 THEN 'sales_a' WHEN 1 THEN 'sales_b' ELSE 'sales_c' END AS file_name FROM orders""")
+add("land_quoted_text", r"""SELECT CAST(doc_id AS VARCHAR) AS id, 'say "hi", \n\ ' || text || ' "' AS text FROM documents""")
+add("land_customers", f"WITH raw_customers AS ({RAW_CUSTOMERS}) " + f"""SELECT *, 'customers' AS source_system,
+  {LANDED_AT} AS ingestion_timestamp, 'customers_all.csv' AS file_name, {q(SOURCE_DATE)} AS ingest_date FROM raw_customers""")
 add("curated_roundtrip", WITH_BOTH + " " + SALES_OUT)
 add("catalog_scan", WITH_BOTH + " " + SALES_OUT)
 add("overwrite_partitions", WITH_BOTH + f""", b1 AS (
@@ -299,10 +338,38 @@ b2 AS (SELECT id, amount, total_ttc, '2002-01-01' AS _source_date, year, month,
        WHERE year = '1995' AND amount >= 50000)
 SELECT * FROM b1 WHERE NOT EXISTS (SELECT 1 FROM b2 WHERE b2.year = b1.year AND b2.month = b1.month AND b2.day = b1.day)
 UNION ALL SELECT * FROM b2""")
-add("compaction", WITH_CUSTOMERS + """ SELECT id, sha256(last_name) AS last_name, sha256(first_name) AS first_name,
+CUSTOMERS_OUT = """ SELECT id, sha256(last_name) AS last_name, sha256(first_name) AS first_name,
   sha256(email) AS email, sha256(phone) AS phone, sha256(CAST(birth_date AS VARCHAR)) AS birth_date,
   strftime(signup_date, '%Y-%m-%d') AS signup_date, active, postcode, age, age_band, tenure_days, loyalty,
-  region, segment FROM curated_customers""")
+  region, segment FROM curated_customers"""
+for _name in ("compaction", "catalog_customers", "daily_customers"):
+    add(_name, WITH_CUSTOMERS + CUSTOMERS_OUT)
+
+WITH_ALL = WITH_BOTH + f", curated_customers AS ({CURATED_CUSTOMERS})"
+add("compaction_swap", WITH_ALL + """ SELECT entity, id, value, 'OK' AS status, count(*) OVER (PARTITION BY entity) AS rows_checked,
+  0 AS backups
+FROM (SELECT 'sales' AS entity, id, CAST(total_ttc AS VARCHAR) AS value FROM enriched_sales
+      UNION ALL SELECT 'customers', id, sha256(email) FROM curated_customers) t""")
+add("retention", WITH_SALES + f""" SELECT NULLIF(id, '') AS id, NULLIF(amount, '') AS amount, CAST(seq AS VARCHAR) AS seq,
+  {q(SOURCE_DATE)} AS ingest_date, true AS purged FROM raw_sales""")
+
+
+def _count_lines(entity: str, src: str, name: str, key: str, key2: str = "NULL") -> str:
+    by = key if key2 == "NULL" else f"{key}, {key2}"
+    return (f"SELECT {q(entity)}, {q(name)}, CAST({key} AS VARCHAR), CAST({key2} AS VARCHAR), CAST(count(*) AS DOUBLE) "
+            f"FROM {src} GROUP BY {by}")
+
+
+add("daily_sales", WITH_ALL + """ SELECT 'sales' AS entity, 'row' AS summary, id AS key, concat_ws('|', segment, region) AS key2,
+  total_ttc AS value FROM enriched_sales
+UNION ALL SELECT 'sales', 'total', NULL, NULL, CAST(count(*) AS DOUBLE) FROM enriched_sales
+UNION ALL SELECT 'sales', 'raw_null_keys', NULL, NULL, CAST(count(*) FILTER (WHERE NULLIF(id, '') IS NULL) AS DOUBLE) FROM raw_sales
+UNION ALL SELECT 'customers', 'total', NULL, NULL, CAST(count(*) AS DOUBLE) FROM curated_customers
+UNION ALL SELECT 'customers', 'raw_null_keys', NULL, NULL, CAST(count(*) FILTER (WHERE id IS NULL) AS DOUBLE) FROM raw_customers
+UNION ALL """ + " UNION ALL ".join([
+    _count_lines("sales", "enriched_sales", "by_month", "year", "month"),
+    f"SELECT 'sales', 'revenue_by_region', region, NULL, {sround(money_sum('total_ttc'))} FROM enriched_sales GROUP BY region",
+    *[_count_lines("customers", "curated_customers", f"by_{c}", c) for c in ("segment", "loyalty", "age_band", "active")]]))
 
 
 def _colour(col: str) -> str:
@@ -328,12 +395,15 @@ a AS (SELECT entity, 'raw' AS zone, 'DATA_QUALITY' AS type,
       UNION ALL
       SELECT entity, 'raw', 'DATA_QUALITY_GLOBAL', global_status,
         'global score ' || CAST(global_score AS VARCHAR) || ' - ' || recommendation FROM gs WHERE global_status <> 'OK')
-SELECT {q(CLOCK)} AS timestamp, type, entity, zone, severity, substr(message, 1, {fixed.ALERT_MESSAGE_MAX}) AS message,
-  {_colour('severity')} AS colour FROM a""")
-add("alert_log", f"""SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S') AS timestamp, 'events' AS dag_id,
-  'user_' || CAST(user_id AS VARCHAR) AS task_id, 'FAIL' AS status, substr(props, 1, {fixed.ALERT_MESSAGE_MAX}) AS error_message,
-  strftime(ts, '%Y-%m-%d') AS execution_date, CAST(event_id % 3 + 1 AS INTEGER) AS try_number,
-  strftime(ts, '%Y-%m-%d') AS alert_date FROM events WHERE event_type = 'error'""")
+SELECT {q(CLOCK)} AS timestamp, type, entity, zone, severity, message,
+  {_colour('severity')} AS colour, substr(message, 1, {fixed.ALERT_MESSAGE_MAX}) AS display FROM a""")
+add("alert_log", f"""SELECT *, CASE WHEN status = 'FAIL' THEN {q(fixed.STATUS_COLOUR_FAIL)} ELSE {q(fixed.STATUS_COLOUR_OTHER)} END AS colour,
+  substr(error_message, 1, {fixed.ALERT_MESSAGE_MAX}) AS display
+FROM (SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S') AS timestamp, 'events' AS dag_id, 'user_' || CAST(user_id AS VARCHAR) AS task_id,
+        CASE event_type WHEN 'error' THEN 'FAIL' WHEN 'signup' THEN 'SUCCESS' ELSE 'WARNING' END AS status,
+        CASE event_type WHEN 'error' THEN repeat(props, 70) WHEN 'signup' THEN NULL ELSE props END AS error_message,
+        strftime(ts, '%Y-%m-%d') AS execution_date, CAST(event_id % 3 + 1 AS INTEGER) AS try_number,
+        strftime(ts, '%Y-%m-%d') AS alert_date FROM events) e""")
 add("alert_stream", """SELECT CASE WHEN event_type = 'error' THEN 'CRITICAL' WHEN event_type = 'signup' THEN 'INFO'
   ELSE 'WARNING' END AS severity, 'user_' || CAST(user_id AS VARCHAR) AS entity, count(*) AS alerts
 FROM events GROUP BY 1, 2""")

@@ -9,7 +9,6 @@ Every run writes under a fresh folder of the shared checkpoint directory
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 from pyspark.sql import functions as F
 
@@ -19,7 +18,7 @@ from refinery.operators.privacy import mask
 from refinery.plans import curation as cur
 from refinery.plans import jobs, samples
 from refinery.plans.queries import AS_OF, CLOCK, SOURCE_DATE, _d, _dims, customer_dim, register
-from refinery.session import scratch_dir
+from refinery.session import hadoop_fs, scratch_dir
 from refinery.sources import catalog, landing, readers, sinks
 from refinery.streaming import alert_feed
 
@@ -29,10 +28,20 @@ CUSTOMER_DATA_COLS = ["id", "last_name", "first_name", "email", "phone", "birth_
                       "postcode", "age", "age_band", "tenure_days", "loyalty", "region", "segment"]
 
 
-def write_sources(df, folder: str) -> None:
-    """Write a sample as header CSV files (spaces kept, null vs empty string kept)."""
-    (df.write.mode("overwrite").option("header", "true").option("ignoreLeadingWhiteSpace", "false")
-       .option("ignoreTrailingWhiteSpace", "false").csv(folder))
+def write_sources(df, folder: str, prefix: str = "rows", by: str | None = None) -> None:
+    """Write a sample as header CSV files with plain names (``<prefix>_<value of by>_<number>.csv``).
+
+    Spaces, quotes and line breaks are kept.  Only file names pass through the driver.
+    """
+    spark = df.sparkSession
+    made = f"{folder}/_made"
+    w = df.write.mode("overwrite").options(**landing.CSV_WRITE)
+    (w.partitionBy(by) if by else w).csv(made)
+    fs, root = hadoop_fs(spark, made)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    for n, one in enumerate(fs.globStatus(path(root, "*/part-*.csv" if by else "part-*.csv"))):
+        value = one.getPath().getParent().getName().split("=")[-1] if by else "all"
+        fs.rename(one.getPath(), path(folder, f"{prefix}_{value}_{n}.csv"))
 
 
 def curated_sales(spark, sf):
@@ -51,14 +60,55 @@ def _customers_out(df):
     return df.select(*[_d(c) if c == "signup_date" else c for c in CUSTOMER_DATA_COLS])
 
 
+def _source_name():
+    """The file name without its running number."""
+    return F.regexp_replace("file_name", r"_\d+\.csv$", ".csv").alias("file_name")
+
+
 @register("land_roundtrip")
 def land_roundtrip(spark, sf):
     root = scratch_dir(spark, "land")
-    write_sources(samples.raw_sales(spark, sf), f"{root}/sources/sales")
-    landing.land(spark, f"{root}/sources/sales", f"{root}/raw", "sales", SOURCE_DATE, CLOCK, glob="*.csv")
+    raw = samples.raw_sales(spark, sf).withColumn("kind", F.coalesce(F.length("amount"), F.lit(0)))
+    write_sources(raw, f"{root}/sources/sales", "sales", "kind")
+    landing.land(spark, f"{root}/sources/sales", f"{root}/raw", "sales", SOURCE_DATE, CLOCK)
     back = readers.read_raw(spark, f"{root}/raw", "sales", SOURCE_DATE)
     return back.select("id", "sale_date", "amount", "product", "client_id", "seq", "source_system",
-                       "ingestion_timestamp", landing.PARTITION)
+                       "ingestion_timestamp", _source_name(), landing.PARTITION)
+
+
+@register("land_mixed_headers")
+def land_mixed_headers(spark, sf):
+    """Files of one folder with reordered and further columns, one excluded file, and another entity's."""
+    root = scratch_dir(spark, "mixed")
+    o = samples.table(spark, sf, "orders")
+    k, folder = F.col("o_orderkey"), f"{root}/sources"
+    ident, amount = k.cast("string").alias("id"), F.format_string("%.2f", "o_totalprice").alias("amount")
+    write_sources(o.where(k % 3 == 0).select(ident, amount), folder, "sales_a")
+    write_sources(o.where(k % 3 == 1).select(amount, ident), folder, "sales_b")
+    write_sources(o.where(k % 3 == 2).select(F.col("o_orderpriority").alias("note"), ident, amount), folder, "sales_c")
+    write_sources(o.select(F.lit("foo").alias("foo"), F.lit("bar").alias("bar")), folder, "sales_enrichi")
+    write_sources(samples.raw_customers(spark, sf), folder, "customers")
+    found = landing.land(spark, folder, f"{root}/raw", "sales", SOURCE_DATE, CLOCK)
+    return found.select("id", "amount", "note", F.substring("file_name", 1, 7).alias("file_name"))
+
+
+@register("land_quoted_text")
+def land_quoted_text(spark, sf):
+    """Whole document texts (line breaks, quotes, backslashes) through source files and the raw zone."""
+    root = scratch_dir(spark, "quoted")
+    docs = samples.table(spark, sf, "documents")
+    text = F.concat(F.lit('say "hi", \\n\\ '), F.col("text"), F.lit(' "'))
+    write_sources(docs.select(F.col("doc_id").cast("string").alias("id"), text.alias("text")), f"{root}/sources", "docs")
+    landing.land(spark, f"{root}/sources", f"{root}/raw", "docs", SOURCE_DATE, CLOCK)
+    return readers.read_raw(spark, f"{root}/raw", "docs", SOURCE_DATE, ["id", "text", *landing.LINEAGE]).select("id", "text")
+
+
+@register("land_customers")
+def land_customers(spark, sf):
+    root = scratch_dir(spark, "land_customers")
+    write_sources(samples.raw_customers(spark, sf), f"{root}/sources", "customers")
+    landing.land(spark, f"{root}/sources", f"{root}/raw", "customers", SOURCE_DATE, CLOCK)
+    return readers.load_zone(spark, "raw", f"{root}/raw", "customers", SOURCE_DATE).withColumn("file_name", _source_name())
 
 
 @register("curated_roundtrip")
@@ -81,15 +131,24 @@ def overwrite_partitions(spark, sf):
     return back.select("id", "amount", "total_ttc", "_source_date", "year", "month", "day")
 
 
-@register("catalog_scan")
-def catalog_scan(spark, sf):
+def _registered(spark, name, df, partition_cols):
+    """The table ``name`` registered over a first folder (no rows), then over one with ``df``."""
     root = scratch_dir(spark, "catalog")
-    df = curated_sales(spark, sf)
-    sinks.write_curated(df, f"{root}/sales", jobs.SALES_PARTITIONS)
+    sinks.write_curated(df.limit(0), f"{root}/old", partition_cols)
+    sinks.write_curated(df, f"{root}/new", partition_cols)
     catalog.ensure_database(spark, "refinery_lake", "curated zone", f"{root}/refinery_lake.db")
-    name = f"sales_{uuid.uuid4().hex[:8]}"
-    table = catalog.register(spark, "refinery_lake", name, df, jobs.SALES_PARTITIONS, f"{root}/sales")
-    return _sales_out(table)
+    catalog.register(spark, "refinery_lake", name, df, partition_cols, f"{root}/old")
+    return catalog.register(spark, "refinery_lake", name, df, partition_cols, f"{root}/new")
+
+
+@register("catalog_scan")
+def catalog_scan(spark, sf):
+    return _sales_out(_registered(spark, "sales", curated_sales(spark, sf), jobs.SALES_PARTITIONS))
+
+
+@register("catalog_customers")
+def catalog_customers(spark, sf):
+    return _customers_out(_registered(spark, "customers", curated_customers_masked(spark, sf), jobs.CUSTOMERS_PARTITIONS))
 
 
 @register("compaction")
@@ -112,21 +171,46 @@ def compaction_swap(spark, sf):
                         jobs.SALES_PARTITIONS, rebalance=False)
     sinks.write_curated(curated_customers_masked(spark, sf).repartition(8), f"{root}/curated/customers",
                         jobs.CUSTOMERS_PARTITIONS, rebalance=False)
-    return jobs.compact_all(spark, root, cleanup_backups=True)
+    status = jobs.compact_all(spark, root, cleanup_backups=True).select("entity", "status", F.col("rows").alias("rows_checked"))
+    sales = readers.read_curated(spark, f"{root}/curated/sales", jobs.SALES_PARTITIONS)
+    customers = readers.read_curated(spark, f"{root}/curated/customers", jobs.CUSTOMERS_PARTITIONS)
+    rows = (sales.select(F.lit("sales").alias("entity"), "id", F.col("total_ttc").cast("string").alias("value"))
+            .unionByName(customers.select(F.lit("customers").alias("entity"), "id", F.col("email").alias("value"))))
+    backups = sum(maintenance.exists(spark, f"{root}/curated/{e}_backup") for e in ("sales", "customers"))
+    return rows.join(F.broadcast(status), "entity").withColumn("backups", F.lit(backups))  # two status rows
+
+
+def _age(spark, folder: str, days: int, pattern: str = "*") -> None:
+    """Set the modification time of the files of ``folder`` back by ``days``."""
+    fs, root = hadoop_fs(spark, folder)
+    then = int((dt.datetime.now() - dt.timedelta(days=days)).timestamp() * 1000)
+    for one in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(root, pattern)):
+        if one.isFile():
+            fs.setTimes(one.getPath(), then, -1)
 
 
 @register("retention")
 def retention(spark, sf):
+    """What is left of a raw zone with old files beside, above and below fresh ones, after a real purge."""
     root = scratch_dir(spark, "retention")
-    write_sources(samples.raw_sales(spark, sf), f"{root}/sources/sales")
-    landing.land(spark, f"{root}/sources/sales", f"{root}/raw", "sales", SOURCE_DATE, CLOCK, glob="*.csv")
-    later = dt.datetime.now() + dt.timedelta(days=maintenance.fixed.RETENTION_DAYS + 1)
-    before = maintenance.expired_files(spark, f"{root}/raw", later).agg(
-        F.count(F.lit(1)).alias("expired_files"), F.sum("length").alias("expired_bytes")).first()
-    deleted = maintenance.purge(spark, f"{root}/raw", later, dry_run=False)
-    left = maintenance.expired_files(spark, f"{root}/raw", later).count()
-    rows = [(before["expired_files"], before["expired_bytes"], deleted, left)]
-    return spark.createDataFrame(rows, "expired_files long, expired_bytes long, deleted long, remaining long")
+    raw, entity = samples.raw_sales(spark, sf), f"{root}/raw/sales"
+    write_sources(raw, f"{root}/sources", "sales")
+    for date in ("2001-01-01", SOURCE_DATE):
+        landing.land(spark, f"{root}/sources", f"{root}/raw", "sales", date, CLOCK)
+    write_sources(raw.limit(5), f"{root}/raw", "stray")
+    write_sources(raw.limit(5), entity, "stray")
+    write_sources(raw.limit(5), f"{entity}/{landing.PARTITION}={SOURCE_DATE}", "stray")
+    limit = maintenance.fixed.RETENTION_DAYS
+    for folder, pattern in ((f"{entity}/{landing.PARTITION}=2001-01-01", "*"), (f"{root}/raw", "stray*"), (entity, "stray*"),
+                            (f"{entity}/{landing.PARTITION}={SOURCE_DATE}", "stray*")):
+        _age(spark, folder, limit + 1, pattern)
+    _age(spark, f"{entity}/{landing.PARTITION}={SOURCE_DATE}", limit - 1, "part-*")
+    now = dt.datetime.now()
+    expired = maintenance.purge(spark, f"{root}/raw", now)
+    maintenance.purge(spark, f"{root}/raw", now, dry_run=False)
+    left = readers.read_raw(spark, f"{root}/raw", "sales")
+    return left.select("id", "amount", "seq", landing.PARTITION).withColumn(
+        "purged", F.lit(expired > 0 and maintenance.purge(spark, f"{root}/raw", now) == 0))
 
 
 @register("alerts_from_quality")
@@ -135,26 +219,25 @@ def alerts_from_quality(spark, sf):
     dims = _dims(spark, sf).unionByName(quality.run(docs, "raw", "documents", SOURCE_DATE, AS_OF, key="text",
                                                         wide_key=True))
     out = alerts.decorate(alerts.from_quality(quality.with_global(dims), CLOCK))
-    return out.select("timestamp", "type", "entity", "zone", "severity", "message", "colour")
+    return out.select("timestamp", "type", "entity", "zone", "severity", "message", "colour", "display")
 
 
 def _status_rows(spark, sf):
-    ev = samples.error_events(spark, sf)
     return alerts.make_status(
-        ev, F.lit("events"), F.concat(F.lit("user_"), F.col("user_id").cast("string")), F.lit("FAIL"),
-        error_message=F.col("props"), execution_date=fx.ntz_date_text("ts"),
+        samples.status_events(spark, sf), F.lit("events"), F.concat(F.lit("user_"), F.col("user_id").cast("string")),
+        F.col("status"), error_message=F.col("error_message"), execution_date=fx.ntz_date_text("ts"),
         try_number=(F.col("event_id") % 3 + 1), timestamp=fx.ntz_iso_text("ts"))
 
 
 @register("alert_log")
 def alert_log(spark, sf):
+    """Status rows of all events, stored whole, read back and decorated."""
     path = scratch_dir(spark, "alert_log")
-    rows = alerts.decorate(_status_rows(spark, sf)).drop("colour")
-    sinks.append_daily_log(rows, path)
+    sinks.append_daily_log(_status_rows(spark, sf), path)
     back = spark.read.schema(alerts.STATUS_SCHEMA + ", alert_date string").json(path)
-    return back.select("timestamp", "dag_id", "task_id", "status", "error_message",
-                       F.col("context.execution_date").alias("execution_date"),
-                       F.col("context.try_number").alias("try_number"), "alert_date")
+    return alerts.decorate(back).select(
+        "timestamp", "dag_id", "task_id", "status", "error_message", F.col("context.execution_date").alias("execution_date"),
+        F.col("context.try_number").alias("try_number"), "alert_date", "colour", "display")
 
 
 def event_alerts(spark, sf):
@@ -173,10 +256,51 @@ def alert_stream(spark, sf):
     return alerts.counts(spark.read.parquet(f"{root}/table"))
 
 
+def _landed(spark, sf) -> str:
+    """A root with both entities landed."""
+    root = scratch_dir(spark, "daily")
+    write_sources(samples.raw_sales(spark, sf), f"{root}/sources/sales", "sales")
+    write_sources(samples.raw_customers(spark, sf), f"{root}/sources/customers", "customers")
+    for entity in ("sales", "customers"):
+        landing.land(spark, f"{root}/sources/{entity}", f"{root}/raw", entity, SOURCE_DATE, CLOCK)
+    return root
+
+
+@register("daily_customers")
+def daily_customers(spark, sf):
+    """The curated customers that the customers job writes."""
+    root = _landed(spark, sf)
+    jobs.build_customers(spark, root, SOURCE_DATE, AS_OF, CLOCK)
+    return _customers_out(readers.read_curated(spark, f"{root}/curated/customers", jobs.CUSTOMERS_PARTITIONS))
+
+
+@register("daily_sales")
+def daily_sales(spark, sf):
+    """The curated sales and the summaries that both jobs write: one row per sale and per summary line."""
+    root = _landed(spark, sf)
+    jobs.build_customers(spark, root, SOURCE_DATE, AS_OF, CLOCK)
+    jobs.build_sales(spark, root, SOURCE_DATE, CLOCK)
+    sales = readers.read_curated(spark, f"{root}/curated/sales", jobs.SALES_PARTITIONS).select(
+        F.lit("sales").alias("entity"), F.lit("row").alias("summary"), F.col("id").alias("key"),
+        F.concat_ws("|", "segment", "region").alias("key2"), F.col("total_ttc").alias("value"))
+    return sales.unionByName(spark.read.parquet(f"{root}/summaries/customers", f"{root}/summaries/sales"))
+
+
+@register("daily_reports")
+def daily_reports(spark, sf):
+    """The raw-zone quality reports that the quality job writes, one row per dimension."""
+    root = _landed(spark, sf)
+    for entity in ("sales", "customers"):
+        jobs.check_quality(spark, root, "raw", entity, SOURCE_DATE, AS_OF, CLOCK)
+    found = spark.read.json(f"{root}/reports")
+    return found.select("zone", "entity", F.col("run_date").cast("string").alias("run_date"),
+                        F.col("global_assessment.global_score").alias("global_score"), F.explode("dimensions").alias("d")).select(
+        "zone", "entity", "run_date", "global_score", F.col("d.dimension").alias("dimension"), F.col("d.status").alias("status"))
+
+
 @register("daily_run")
 def daily_run(spark, sf):
     root = scratch_dir(spark, "daily")
-    write_sources(samples.raw_sales(spark, sf), f"{root}/sources/sales")
-    write_sources(samples.raw_customers(spark, sf), f"{root}/sources/customers")
+    write_sources(samples.raw_sales(spark, sf), f"{root}/sources/sales", "sales")
+    write_sources(samples.raw_customers(spark, sf), f"{root}/sources/customers", "customers")
     return jobs.run_day(spark, root, SOURCE_DATE, CLOCK, AS_OF)
-

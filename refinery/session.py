@@ -11,8 +11,11 @@ are never used.  Folders made by this process are removed when it ends.
 from __future__ import annotations
 
 import atexit
+import io
 import uuid
+import zipfile
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -96,6 +99,27 @@ def _remove_made() -> None:
             return
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application.
+
+    Tasks import it there; an application that is submitted with the package on
+    every machine (or with ``--py-files``) loses nothing by it.
+    """
+    sc = _context(spark)
+    if sc is None or any(f.startswith("refinery-") for f in sc._python_includes):
+        return
+    packed = io.BytesIO()
+    root = Path(__file__).parent
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f"refinery/{f.relative_to(root)}")
+    fs, path = hadoop_fs(spark, f"{scratch_dir(spark, 'package')}/refinery-{uuid.uuid4().hex[:8]}.zip")
+    out = fs.create(path)
+    out.write(packed.getvalue())
+    out.close()
+    sc.addPyFile(path.toString())
+
+
 @contextmanager
 def session_conf(spark: SparkSession, settings: dict[str, str | None]):
     """Set SQL settings for the statements run inside the block, then restore them."""

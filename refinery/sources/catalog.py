@@ -45,9 +45,23 @@ def table_ddl(db: str, table: str, schema_df: DataFrame, partition_cols: Sequenc
     return ddl
 
 
+def _external(spark: SparkSession, db: str, table: str) -> bool:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED `{db}`.`{table}`").where("col_name = 'Type'").select("data_type").collect()
+    return bool(rows) and rows[0]["data_type"].upper() == "EXTERNAL"
+
+
 def register(spark: SparkSession, db: str, table: str, schema_df: DataFrame, partition_cols: Sequence[str],
              location: str, comments: Mapping[str, str] | None = None) -> DataFrame:
-    """Register an external table over ``location`` and discover its partitions."""
+    """Register an external table over ``location`` and discover its partitions.
+
+    An external table of the same name is replaced, so the name always stands
+    for this location and schema (its old files stay where they are).  A managed
+    table of that name raises, because dropping it would delete its data.
+    """
+    if spark.catalog.tableExists(f"{db}.{table}"):
+        if not _external(spark, db, table):
+            raise ValueError(f"{db}.{table} is a managed table; it is not replaced by an external one")
+        spark.sql(f"DROP TABLE `{db}`.`{table}`")
     spark.sql(table_ddl(db, table, schema_df, partition_cols, location, comments))
     if partition_cols:
         spark.sql(f"MSCK REPAIR TABLE `{db}`.`{table}`")

@@ -7,10 +7,14 @@ of one date replaces only that date (dynamic partition overwrite).
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from refinery.functions import columns as fx
+from refinery.session import hadoop_fs
 
 LINEAGE = ["source_system", "ingestion_timestamp", "file_name"]
 PARTITION = "ingest_date"
@@ -38,35 +42,75 @@ def with_lineage(df: DataFrame, source_system: str, clock, file_name: Column | s
     })
 
 
-def list_files(spark: SparkSession, folder: str, glob: str = "*.csv", exclude: str | None = "_enrichi",
-               recursive: bool = False) -> DataFrame:
-    """File listing (path, modificationTime, length) without reading content."""
-    r = spark.read.format("binaryFile").option("pathGlobFilter", glob)
-    if recursive:
-        r = r.option("recursiveFileLookup", "true")
-    files = r.load(folder).select("path", "modificationTime", "length")
-    if exclude:
-        files = files.where(~F.col("path").contains(exclude))
-    return files
-
-
-def read_sources(spark: SparkSession, folder: str, glob: str = "*.csv", exclude: str | None = "_enrichi",
-                 schema=None) -> DataFrame | None:
-    """All matching CSV files of ``folder`` as one DataFrame (header kept, columns by header),
-    or ``None`` when no file matches."""
-    r = spark.read.option("header", "true").option("pathGlobFilter", glob)
-    if schema is not None:
-        r = r.schema(schema).option("enforceSchema", "false")
+#: a quoted field may hold line breaks, and a quote inside one is doubled; the same on both sides of the raw zone
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
+CSV_WRITE = {"header": "true", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false",
+             "ignoreTrailingWhiteSpace": "false"}
+
+
+def _first_record(spark: SparkSession, fs, path) -> list[str] | None:
+    """The column names of one CSV file (``None`` when it is empty)."""
+    io = spark._jvm.java.io
+    reader = io.BufferedReader(io.InputStreamReader(fs.open(path), "UTF-8"))
     try:
-        df = r.csv(folder)
-    except Exception as e:  # no file at all: Spark cannot infer a schema / path missing
-        msg = str(e)
-        if "UNABLE_TO_INFER_SCHEMA" in msg or "PATH_NOT_FOUND" in msg or "Path does not exist" in msg:
-            return None
-        raise
-    if exclude:
-        df = df.where(~F.col("_metadata.file_name").contains(exclude))
-    return df
+        text = reader.readLine()
+        while text is not None and text.count('"') % 2:  # a line break inside a quoted name
+            more = reader.readLine()
+            if more is None:
+                break
+            text += "\n" + more
+    finally:
+        reader.close()
+    return next(csv.reader([text.removeprefix("\ufeff")]), None) if text else None
+
+
+def source_groups(spark: SparkSession, folder: str, glob: str = "*.csv",
+                  exclude: str | None = "_enrichi") -> dict[tuple[str, ...], list[str]]:
+    """Files of ``folder`` by their own header, in the order of their names; excluded and empty ones are left out.
+
+    Only file names and first lines reach the driver.
+    """
+    fs, root = hadoop_fs(spark, folder)
+    if not fs.exists(root):
+        return {}
+    groups: dict[tuple[str, ...], list[str]] = {}
+    paths = [s.getPath() for s in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(root, glob)) if s.isFile()]
+    for path in sorted(paths, key=lambda p: p.getName()):
+        name = path.getName()
+        if name.startswith(("_", ".")) or (exclude and exclude in name):
+            continue
+        header = _first_record(spark, fs, path)
+        if header:
+            groups.setdefault(tuple(header), []).append(path.toString())
+    return groups
+
+
+def _frames(spark: SparkSession, folder: str, glob: str, exclude: str | None) -> list[DataFrame]:
+    frames = []
+    for header, paths in source_groups(spark, folder, glob, exclude).items():
+        # of columns with the same name the last one counts, as for a reader that maps names to values
+        names = [h if h not in header[i + 1:] else f"_repeated_{i}" for i, h in enumerate(header)]
+        fields = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        strict = "false" if list(header) == names else "true"
+        df = spark.read.schema(fields).options(**CSV_OPTIONS).option("enforceSchema", strict).csv(paths)
+        frames.append(df.drop(*[n for n in names if n not in header]))
+    return frames
+
+
+def _together(frames: list[DataFrame]) -> DataFrame | None:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else None
+
+
+def read_sources(spark: SparkSession, folder: str, glob: str = "*.csv",
+                 exclude: str | None = "_enrichi") -> DataFrame | None:
+    """All matching CSV files of ``folder`` as one DataFrame, or ``None`` when no file matches.
+
+    Each file is read by its own header, whatever the order of its columns;
+    a column that a file lacks is null for its rows.  Quoted line breaks,
+    doubled quotes and backslashes are kept.  ``multiLine`` makes each file
+    one task: split very large sources into several files.
+    """
+    return _together(_frames(spark, folder, glob, exclude))
 
 
 def land(spark: SparkSession, source_folder: str, raw_root: str, entity: str, date: str, clock,
@@ -77,30 +121,27 @@ def land(spark: SparkSession, source_folder: str, raw_root: str, entity: str, da
     Header-only files contribute no rows.  Rerunning a date overwrites that
     date's partition only.
     """
-    src = read_sources(spark, source_folder, glob or f"{entity}*.csv", exclude)
-    if src is None:
+    out = _together([with_lineage(f, entity, clock) for f in _frames(spark, source_folder, glob or f"{entity}*.csv", exclude)])
+    if out is None:
         return None
-    out = with_lineage(src, entity, clock).withColumn(PARTITION, F.lit(date))
+    lineage = [F.col(f"`{c}`") for c in out.columns if c not in LINEAGE] + [F.col(c) for c in LINEAGE]
+    out = out.select(*lineage).withColumn(PARTITION, F.lit(date))
     target = f"{raw_root.rstrip('/')}/{entity}"
     w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION)
-    if fmt == "csv":  # the CSV writer trims values unless told not to; raw data must stay as landed
-        w = (w.option("header", "true").option("ignoreLeadingWhiteSpace", "false")
-              .option("ignoreTrailingWhiteSpace", "false"))
+    if fmt == "csv":
+        w = w.options(**CSV_WRITE)
     w.format(fmt).save(target)
     return read_raw_landed(spark, target, date, fmt, columns=[c for c in out.columns if c != PARTITION])
 
 
 def read_raw_landed(spark: SparkSession, entity_root: str, date: str | None, fmt: str = "csv",
                     columns=None) -> DataFrame:
-    """Raw rows of one entity, all strings, pruned to ``date`` when given."""
-    r = spark.read.option("header", "true")
+    """Raw rows of one entity, all strings (the date too), pruned to ``date`` when given."""
+    r = spark.read.options(**CSV_OPTIONS)
     if columns is not None:
-        r = r.schema(", ".join(f"`{c}` string" for c in columns)).option("enforceSchema", "false")
+        fields = [T.StructField(c, T.StringType()) for c in [*columns, PARTITION]]
+        r = r.schema(T.StructType(fields)).option("enforceSchema", "false")
     df = r.format(fmt).load(entity_root)
     if date is not None:
         df = df.where(F.col(PARTITION) == date)
     return df
-
-
-def today_text(clock) -> str:
-    return fx.timestamp_str(clock)[:10]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from refinery.sources.landing import LINEAGE, PARTITION
+from refinery.sources.landing import CSV_OPTIONS, LINEAGE, PARTITION
 
 # landed (raw-zone) column lists per entity, all strings
 RAW_COLUMNS = {
@@ -25,18 +25,18 @@ def raw_schema(columns: Sequence[str]) -> T.StructType:
 
 
 def read_raw(spark: SparkSession, raw_root: str, entity: str, date: str | None = None,
-             columns: Sequence[str] | None = None, multiline: bool = False) -> DataFrame:
+             columns: Sequence[str] | None = None, multiline: bool = True) -> DataFrame:
     """Raw CSV rows of ``entity`` (explicit all-string schema, header checked by name).
 
     A file whose header does not match the schema fails the read instead of
-    being misread by position.  ``multiline`` is opt-in: it makes every
-    file a single unsplittable task, so use it only when quoted fields hold
-    newlines.  ``date`` is a partition filter (directory pruning).
+    being misread by position.  Quoting is that of the landing writer.
+    ``multiline`` (a quoted field may hold line breaks) makes every file a
+    single task; turn it off only for text known to hold none.  ``date`` is a
+    partition filter (directory pruning).
     """
     cols = list(columns or RAW_COLUMNS[entity])
-    r = (spark.read.schema(raw_schema(cols)).option("header", "true").option("enforceSchema", "false"))
-    if multiline:
-        r = r.option("multiLine", "true")
+    r = (spark.read.schema(raw_schema(cols)).options(**CSV_OPTIONS).option("enforceSchema", "false")
+         .option("multiLine", str(multiline).lower()))
     df = r.csv(f"{raw_root.rstrip('/')}/{entity}")
     if date is not None:
         df = df.where(F.col(PARTITION) == date)

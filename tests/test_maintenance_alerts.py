@@ -90,10 +90,10 @@ def test_alert_rows_and_decoration(spark):
     df = spark.createDataFrame([("x" * 700, None)], "msg string, sev string")
     a = alerts.decorate(alerts.make(df, F.lit("T"), F.lit("e"), F.lit("raw"), F.col("msg"), F.col("sev"),
                                     F.lit("2024-01-01T00:00:00"))).first()
-    assert a["severity"] == "WARNING" and a["colour"] == "#FFA500" and len(a["message"]) == 500
+    assert a["severity"] == "WARNING" and a["colour"] == "#FFA500" and len(a["message"]) == 700 and len(a["display"]) == 500
     s = alerts.decorate(alerts.make_status(df, F.lit("dag"), F.lit("task"), F.lit("FAIL"), F.col("msg"),
                                            timestamp=F.lit("t"))).first()
-    assert s["context"] is None and s["colour"] == "#FF0000" and len(s["error_message"]) == 500
+    assert s["context"] is None and s["colour"] == "#FF0000" and len(s["error_message"]) == 700 and len(s["display"]) == 500
 
 
 def test_alert_stream_is_exactly_once(spark, tmp):
@@ -115,25 +115,63 @@ def test_alert_stream_is_exactly_once(spark, tmp):
     assert spark.read.parquet(f"{tmp}/table").count() == 4
 
 
-def test_purge_removes_fully_expired_directories_in_one_call(spark, tmp):
-    def make(name, age_days):
-        p = f"{tmp}/raw/{name}"
-        os.makedirs(os.path.dirname(p), exist_ok=True)
-        open(p, "w").write("x\n")
-        t = time.time() - age_days * 86400
-        os.utime(p, (t, t))
-    make("sales/ingest_date=2020-01-01/a.csv", 60)
-    make("sales/ingest_date=2020-01-01/b.csv", 60)
-    make("sales/ingest_date=2024-01-01/c.csv", 60)
-    make("sales/ingest_date=2024-01-01/d.csv", 1)
-    make("sales/ingest_date=2024-01-01/e.txt", 60)
+def aged(tmp, name, age_days):
+    p = f"{tmp}/raw/{name}"
+    os.makedirs(os.path.dirname(p), exist_ok=True)
+    open(p, "w").write("x\n")
+    t = time.time() - age_days * 86400
+    os.utime(p, (t, t))
+
+
+def test_purge_deletes_expired_files_only(spark, tmp):
+    old = ["sales/ingest_date=2020-01-01/a.csv", "sales/ingest_date=2020-01-01/b c.csv", "sales/ingest_date=2024-01-01/c.csv",
+           "sales/stray.csv", "root.csv"]
+    for name in old:
+        aged(tmp, name, 60)
+    keep = ["sales/ingest_date=2024-01-01/d.csv", "sales/ingest_date=2024-01-01/new/f.csv"]
+    for name in keep:
+        aged(tmp, name, 1)
+    aged(tmp, "sales/ingest_date=2024-01-01/e.txt", 60)
     now = dt.datetime.now()
-    plan = {(r["path"].split("/raw/")[1], r["kind"]) for r in
-            maintenance.purge_plan(spark, f"{tmp}/raw", now).collect()}
-    assert plan == {("sales/ingest_date=2020-01-01", "dir"), ("sales/ingest_date=2024-01-01/c.csv", "file")}
-    assert maintenance.purge(spark, f"{tmp}/raw", now, dry_run=False) == 3
-    assert not os.path.exists(f"{tmp}/raw/sales/ingest_date=2020-01-01")
-    assert sorted(os.listdir(f"{tmp}/raw/sales/ingest_date=2024-01-01")) == ["d.csv", "e.txt"]
+    assert maintenance.purge(spark, f"{tmp}/raw", now) == len(old)
+    assert maintenance.purge(spark, f"{tmp}/raw", now, dry_run=False) == len(old)
+    left = sorted(os.path.relpath(os.path.join(d, f), f"{tmp}/raw") for d, _, fs in os.walk(f"{tmp}/raw") for f in fs)
+    assert left == sorted([*keep, "sales/ingest_date=2024-01-01/e.txt"])
+    assert maintenance.purge(spark, f"{tmp}/raw", now, dry_run=False) == 0
+
+
+def test_deleting_a_file_twice_is_no_error(spark, tmp):
+    aged(tmp, "a.csv", 60)
+    files = spark.createDataFrame([(f"file:{tmp}/raw/a.csv",), (f"file:{tmp}/raw/none.csv",)], "path string")
+    assert sorted(r["deleted"] for r in maintenance.delete_files(files).collect()) == [False, True]
+    assert not any(r["deleted"] for r in maintenance.delete_files(files).collect())
+
+
+def test_verify_sees_a_value_that_moves_across_a_null(spark):
+    a = spark.createDataFrame([("x", None), (None, "y")], "a string, b string")
+    b = spark.createDataFrame([(None, "x"), ("y", None)], "a string, b string")
+    assert not maintenance.verify_same(a, b)["same"]
+
+
+def test_forced_file_count_is_kept_for_partitioned_tables(spark, tmp):
+    small_table(spark, f"{tmp}/cur")
+    rep = maintenance.compact(spark, f"{tmp}/cur", f"{tmp}/tmp", maintenance.Layout(["year", "month"], 2, 128), forced_files=12)
+    assert rep["files_after"] == len(parquet_files(f"{tmp}/tmp")) == 12 and rep["files_before"] == len(parquet_files(f"{tmp}/cur"))
+
+
+def test_a_crash_between_the_renames_is_mended(spark, tmp):
+    layouts = {"sales": maintenance.Layout(["year", "month"], 2, 128)}
+    small_table(spark, f"{tmp}/curated/sales_backup")  # the table was moved away and nothing took its place
+    (row,) = maintenance.compact_all(spark, f"{tmp}/curated", layouts, cleanup_backups=True).collect()
+    assert row["status"] == "OK" and row["rows"] == 2000
+    assert readers.read_curated(spark, f"{tmp}/curated/sales", ["year", "month"]).count() == 2000
+
+
+def test_backups_stay_when_an_entity_is_missing(spark, tmp):
+    small_table(spark, f"{tmp}/curated/sales")
+    layouts = {"sales": maintenance.Layout(["year", "month"], 2, 128), "customers": maintenance.CUSTOMERS_LAYOUT}
+    maintenance.compact_all(spark, f"{tmp}/curated", layouts, cleanup_backups=True)
+    assert os.path.exists(f"{tmp}/curated/sales_backup")
 
 
 def test_alert_payload_is_json(spark):

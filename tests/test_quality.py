@@ -90,13 +90,16 @@ def test_scores_stay_in_range(spark, rows):
             assert 0.0 <= v <= 100.0
 
 
-def test_exact_distinct_matches_count_distinct(spark):
+def test_distinct_texts_are_counted_in_one_scan(spark):
     from pyspark.sql import functions as F
     rows = [("a" * 50,), ("a" * 50,), ("b",), (None,), (None,), ("c" * 999,), ("b",), ("d",)]
     df = spark.createDataFrame(rows, "t string")
-    assert quality.exact_distinct(df, "t").first()["_unique"] == 5  # a, b, c, d + null
+    assert quality.profile(df, "t", wide_key=True).first()["_unique"] == 5  # a, b, c, d + null
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    assert quality.exact_distinct(docs, "text").first()["_unique"] == docs.agg(F.count_distinct("text")).first()[0]
+    found = quality.profile(docs.select("doc_id", "text"), "text", wide_key=True)
+    assert found.first()["_unique"] == docs.agg(F.count_distinct("text")).first()[0]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") <= 2 and plan.split("== Initial Plan ==")[0].count("FileScan") == 1
     wide = quality.run(df, "raw", "t", "2024-01-01", "2024-01-01", key="t", wide_key=True)
     narrow = quality.run(df, "raw", "t", "2024-01-01", "2024-01-01", key="t")
     assert sorted(map(repr, wide.collect())) == sorted(map(repr, narrow.collect()))

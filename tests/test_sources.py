@@ -29,6 +29,18 @@ def test_land_adds_lineage_skips_other_files(spark, tmp):
     assert len(all_rows) == 4
 
 
+def test_each_file_lands_by_its_own_header(spark, tmp):
+    write(f"{tmp}/src/sales_a.csv", "id,amount\n1,10\n")
+    write(f"{tmp}/src/sales_b.csv", "amount,id\n2,20\n")
+    write(f"{tmp}/src/sales_c.csv", '\ufeffid,"no\nte",amount\n3,"two\nlines ""q"", \\ok",30\n')
+    write(f"{tmp}/src/sales_enrichi.csv", "foo,bar,baz,qux\n1,2,3,4\n" * 50)
+    write(f"{tmp}/src/sales_empty.csv", "")
+    df = landing.land(spark, f"{tmp}/src", f"{tmp}/raw", "sales", "2024-01-01", "2024-01-01 10:00:00")
+    rows = sorted((r["id"], r["amount"], r["no\nte"], r["file_name"], r["ingest_date"]) for r in df.na.fill("").collect())
+    assert rows == [("1", "10", "", "sales_a.csv", "2024-01-01"), ("20", "2", "", "sales_b.csv", "2024-01-01"),
+                    ("3", "30", 'two\nlines "q", \\ok', "sales_c.csv", "2024-01-01")]
+
+
 def test_land_empty_source_is_noop(spark, tmp):
     os.makedirs(f"{tmp}/empty")
     assert landing.land(spark, f"{tmp}/empty", f"{tmp}/raw", "sales", "2024-01-01", "2024-01-01 00:00:00") is None
@@ -80,6 +92,26 @@ def test_catalog_register_discovers_partitions(spark, tmp):
     assert sorted(r["month"] for r in t.collect()) == ["01", "02"]
 
 
+def test_registering_again_moves_the_table(spark, tmp):
+    a = spark.createDataFrame([("1", "04")], "id string, month string")
+    b = spark.createDataFrame([("2", 5.0, "05")], "id string, amount double, month string")
+    sinks.write_curated(a, f"{tmp}/a", ["month"])
+    sinks.write_curated(b, f"{tmp}/b", ["month"])
+    catalog.ensure_database(spark, "t_lake2", None, f"{tmp}/t_lake2.db")
+    assert catalog.register(spark, "t_lake2", "s", a, ["month"], f"{tmp}/a").collect()[0]["id"] == "1"
+    assert [tuple(r) for r in catalog.register(spark, "t_lake2", "s", b, ["month"], f"{tmp}/b").collect()] == [("2", 5.0, "05")]
+    assert os.listdir(f"{tmp}/a")
+    b.write.saveAsTable("t_lake2.managed")
+    with pytest.raises(ValueError):
+        catalog.register(spark, "t_lake2", "managed", b, ["month"], f"{tmp}/b")
+
+
+def test_dimension_values_keep_their_text(spark, tmp):
+    from refinery.operators.joins import read_dimension
+    sinks.write_curated(spark.createDataFrame([("c", "04")], "id string, region string"), f"{tmp}/dim", ["region"])
+    assert read_dimension(spark, f"{tmp}/dim", ["region"]).first()["region"] == "04"
+
+
 def test_alert_json_sinks_append(spark, tmp):
     df = spark.createDataFrame([("2024-01-01T10:00:00", "x")], "timestamp string, message string")
     sinks.append_daily_log(df, f"{tmp}/log")

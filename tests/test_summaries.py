@@ -25,10 +25,11 @@ def test_total_null_keys_and_orderings(spark):
     assert out.first()["n"] == 2
 
 
-def test_list_files_skips_excluded_names(spark, tmp):
+def test_source_groups_skip_excluded_names(spark, tmp):
     os.makedirs(f"{tmp}/src")
-    for name in ("a.csv", "b_enrichi.csv", "c.txt"):
+    for name in ("a.csv", "b_enrichi.csv", "c.txt", "_hidden.csv"):
         with open(f"{tmp}/src/{name}", "w") as f:
-            f.write("x\n")
-    got = sorted(os.path.basename(r["path"]) for r in landing.list_files(spark, f"{tmp}/src").collect())
-    assert got == ["a.csv"]
+            f.write("x,y\n")
+    groups = landing.source_groups(spark, f"{tmp}/src")
+    assert [os.path.basename(p) for p in groups[("x", "y")]] == ["a.csv"] and len(groups) == 1
+    assert landing.source_groups(spark, f"{tmp}/none") == {}
