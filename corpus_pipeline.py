@@ -10,15 +10,29 @@ one of smallest id stays) and have no tokens.
 
 from __future__ import annotations
 
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from refinery.llm import bpe, decontam, secret_scan, simhash, toxicity
 from refinery.llm.common import table, written
+from refinery.session import ship_package
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def stage(f):
+    """A stage whose tasks find this package on every executor."""
+    @wraps(f)
+    def shipped(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return f(spark, docs, sf_dir)
+
+    return shipped
+
+
+@stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity network, trained on the labels that are not held out, scores below 0.5."""
     docs = docs.select(*COLUMNS)
@@ -26,16 +40,19 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.keep_clean(docs, toxicity.train(*sample))
 
 
+@stage
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one of smallest id, of each component of fingerprints within 2 bits (3-word shingles)."""
     return simhash.keep_one(docs.select(*COLUMNS), "doc_id", "text", 3, 2, "pipeline-simhash")
 
 
+@stage
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage within the edit budget of a benchmark item."""
     return decontam.keep_clean(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
 
 
+@stage
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, its secrets replaced by a mark and ``n_chars`` counted again where any was found."""
     found = secret_scan.scan(docs.select(*COLUMNS), "text")
@@ -44,6 +61,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
         "n_chars", F.when(F.size("found") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 
+@stage
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Number and digest of each document's token ids, and the digest of the bytes that they decode to."""
     vocab = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -68,6 +86,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each but the last written to the shared folder and read again."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    for name, step in STAGES[:-1]:
+        docs = written(step(spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -3,20 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from refinery.llm import bpe, cws, decontam, paragraphs, secret_scan, simhash, substrings, toxicity, urlfilter, warc
 from refinery.llm.common import table
+from refinery.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
 def query(f):
-    QUERIES[f.__name__] = f
-    return f
+    @wraps(f)
+    def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return f(spark, sf_dir)
+
+    QUERIES[f.__name__] = shipped
+    return shipped
 
 
 @query
