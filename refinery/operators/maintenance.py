@@ -127,10 +127,16 @@ def rewrite(df: DataFrame, out_path: str, partition_cols: Sequence[str], n_files
     """
     settings: dict[str, str | None] = {}
     if partition_cols and forced:
-        dirs = max(1, df.select(*partition_cols).distinct().count())
-        parts = max(1, round(n_files / dirs))
+        dirs = [tuple(r) for r in df.select(*partition_cols).distinct().collect()]  # one per directory
+        parts = max(1, round(n_files / max(1, len(dirs))))
+        names = [f"_dir_{c}" for c in partition_cols]
+        known = df.sparkSession.createDataFrame([(*d, i * parts) for i, d in enumerate(dirs)],
+                                                ", ".join(f"{n} string" for n in names) + ", _first int")
+        same = [df[c].eqNullSafe(known[n]) for c, n in zip(partition_cols, names)]
         row = F.xxhash64(*[x for c in df.columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())])
-        out = df.repartition(dirs * parts, *partition_cols, F.pmod(row, F.lit(parts)))
+        dealt = df.withColumn("_deal", F.pmod(row, F.lit(parts)).cast("int")).join(F.broadcast(known), same)
+        out = (dealt.repartitionById(max(1, len(dirs) * parts), F.col("_first") + F.col("_deal"))
+               .select(*[f"`{c}`" for c in df.columns]))
     elif partition_cols:
         out = df.hint("rebalance", *partition_cols)
         settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{int(target_file_mb)}m",
