@@ -46,6 +46,8 @@ MOST_WORDS = 1 << 22
 BLOCK = 1 << 20
 #: documents whose stretches are put together before they are sent
 BATCH = 256
+#: stretches that a task holds before it sends them
+MOST_HELD = 40_000
 #: document id, tag of its text, number of places
 HEAD = "<qii"
 
@@ -132,6 +134,12 @@ def _stretches(source: DataFrame, table: np.ndarray, hot: np.ndarray, length: in
                 else:
                     out.setdefault((s, x - a, text[a:b + length]), []).append(a)
 
+    def packed(held: dict) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([k[0] for k in held], pa.int32()), pa.array([k[1] for k in held], pa.int32()),
+             pa.array([k[2] for k in held], pa.binary()), pa.array(map(bytes, held.values()), pa.binary())],
+            ["shard", "off", "body", "held"])
+
     def run(batches):
         for batch in batches:
             for start in range(0, batch.num_rows, BATCH):
@@ -144,11 +152,11 @@ def _stretches(source: DataFrame, table: np.ndarray, hot: np.ndarray, length: in
                     for k, places in own.items():
                         held.setdefault(k, bytearray()).extend(
                             struct.pack(HEAD, doc, tag, len(places)) + np.array(places, "<i4").tobytes())
+                    if len(held) >= MOST_HELD:  # what a task keeps at a time is bounded, whatever the texts
+                        yield packed(held)
+                        held = {}
                 if held:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([k[0] for k in held], pa.int32()), pa.array([k[1] for k in held], pa.int32()),
-                         pa.array([k[2] for k in held], pa.binary()), pa.array(map(bytes, held.values()), pa.binary())],
-                        ["shard", "off", "body", "held"])
+                    yield packed(held)
 
     return source.select("doc", "tag", "text").mapInArrow(run, "shard int, off int, body binary, held binary")
 
@@ -293,26 +301,27 @@ def _apply(rows: DataFrame, gone: DataFrame, length: int) -> DataFrame:
             yield batch.filter(pa.array(~bits.passes(sent.value, keys))).select(["doc", "tag", "text"])
 
     keyed = rows.select("doc", "tag", "text", F.xxhash64("doc", "tag").alias("key"))
-    whole = keyed.mapInArrow(keeping, kind).withColumn("runs", F.array().cast("array<binary>"))
-    some = (keyed.mapInArrow(losing, kind).join(gone, ["doc", "tag"], "left")
-            .select("doc", "tag", "text", F.coalesce("runs", F.array().cast("array<binary>")).alias("runs")))
+    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
+    whole = keyed.mapInArrow(keeping, kind).select(
+        "doc", F.octet_length("text").cast("long").alias("n_bytes"), none.alias("spans"),
+        F.lit(0).cast("long").alias("n_removed"), F.col("text").cast("binary").alias("kept"))
+    some = keyed.mapInArrow(losing, kind).join(gone, ["doc", "tag"], "left").select("doc", "text", "runs")
 
     def cut(batches):
         for batch in batches:
-            for row in batch.to_pylist():
-                text = row["text"].encode()
-                spans = _covered(row["runs"], length) if row["runs"] else []
-                at, kept = 0, []
-                for a, b in spans:
-                    kept.append(text[at:a])
-                    at = b
-                kept.append(text[at:])
-                yield pa.RecordBatch.from_pylist([{
-                    "doc": row["doc"], "n_bytes": len(text), "spans": [{"start": a, "end": b} for a, b in spans],
-                    "n_removed": sum(b - a for a, b in spans), "kept": b"".join(kept)}], CUT)
-
-    return whole.unionByName(some).mapInArrow(
-        cut, "doc bigint, n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, n_removed bigint, kept binary")
+            for at in range(0, batch.num_rows, BATCH):
+                out = []
+                for row in batch.slice(at, BATCH).to_pylist():
+                    text = row["text"].encode()
+                    spans = _covered(row["runs"], length) if row["runs"] else []
+                    edges = [0, *(x for span in spans for x in span), len(text)]
+                    out.append({"doc": row["doc"], "n_bytes": len(text), "spans": [{"start": a, "end": b} for a, b in spans],
+                                "n_removed": sum(b - a for a, b in spans),
+                                "kept": b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))})
+                yield pa.RecordBatch.from_pylist(out, CUT)
+
+    return whole.unionByName(some.mapInArrow(
+        cut, "doc bigint, n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, n_removed bigint, kept binary"))
 
 
 CUT = pa.schema([("doc", pa.int64()), ("n_bytes", pa.int64()),
