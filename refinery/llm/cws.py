@@ -112,17 +112,21 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     rows = with_next(docs, id_col, text_col)
     rows = rows.withColumn("edited", F.when(F.col("own"), edited(F.col("text"), F.col("next_text"))))
-    facts = rows.select("part", "no", "own", "id", F.char_length("text").cast("long").alias("n_chars"),
-                        F.sha2("edited", 256).alias("edited_sha256"))
-    both = F.explode(F.array(F.struct(F.lit(0).alias("which"), F.col("text").alias("text")),
-                             F.struct(F.lit(1).alias("which"), F.coalesce("edited", F.lit("")).alias("text")))).alias("one")
-    texts = rows.select("part", "no", "id", both).select("part", "no", "id", "one.which", "one.text")
-    prints = signatures(texts, ["part", "no", "id", "which"], "text", samples).groupBy("part", "no").agg(
+    # the facts of a document travel as a third text without words, so that nothing has to be joined to it again
+    facts = F.concat_ws("|", F.col("own").cast("string"), F.char_length("text").cast("string"), F.sha2("edited", 256))
+    one = lambda which, text, fact: F.struct(
+        F.lit(which).alias("which"), text.alias("text"), fact.alias("facts"))
+    none, empty = F.lit(None).cast("string"), F.lit("")
+    three = F.explode(F.array(one(0, F.col("text"), none), one(1, F.coalesce("edited", empty), none), one(2, empty, facts)))
+    texts = rows.select("part", "no", "id", three.alias("one")).select("part", "no", "id", "one.which", "one.facts", "one.text")
+    prints = signatures(texts, ["part", "no", "id", "which", "facts"], "text", samples).groupBy("part", "no").agg(
+        F.max("id").alias("id"), F.max("facts").alias("facts"),
         F.max(F.when(F.col("which") == 0, F.col("fp"))).alias("fingerprint"),
         F.max(F.when(F.col("which") == 1, F.col("fp"))).alias("edited_fingerprint"))
-    joined = facts.join(prints, ["part", "no"])
     after = F.lead("fingerprint").over(Window.partitionBy("part").orderBy("no"))
-    return (joined.withColumn("_after", after).where("own").select(
-        F.col("id").alias(id_col), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+    fact = F.split("facts", r"\|")
+    return (prints.withColumn("_after", after).where(F.get(fact, F.lit(0)) == "true").select(
+        F.col("id").alias(id_col), F.get(fact, F.lit(1)).cast("long").alias("n_chars"),
+        F.get(fact, F.lit(2)).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint"), samples).alias("near_edited"),
         likeness(F.col("fingerprint"), F.col("_after"), samples).alias("near_next")))
