@@ -65,8 +65,8 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Number and digest of each document's token ids, and the digest of the bytes that they decode to."""
     vocab = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    ids = bpe.encode(docs, "doc_id", "text", vocab, public_tokenizers.PATTERN)
-    return bpe.decode(ids, "doc_id", vocab).select(
+    found = bpe.round_trip(docs, "doc_id", "text", vocab, public_tokenizers.PATTERN)
+    return found.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

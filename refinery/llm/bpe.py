@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 NO_RANK = np.int32(2**31 - 1)
 WIDEST = 256
 #: distinct pieces that a task remembers before it starts anew (bounds its memory)
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: texts above this length are cut piece by piece instead of into one list
 LONG_TEXT = 1 << 20
 
@@ -39,10 +39,11 @@ class Vocabulary:
         for tok, r in self.ranks.items():
             self.tokens[r] = tok
         self.bytes = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
-        pairs = [(self.ranks[t[:i]], self.ranks[t[i:]], r) for t, r in self.ranks.items()
-                 for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
-        left, right, rank = np.array(pairs, np.int64).reshape(-1, 3).T
-        self.bits = max(4, int(2 * len(pairs)).bit_length())
+        pairs = np.fromiter((x for t, r in self.ranks.items() for i in range(1, len(t))
+                             if t[:i] in self.ranks and t[i:] in self.ranks
+                             for x in (self.ranks[t[:i]], self.ranks[t[i:]], r)), np.int64)
+        left, right, rank = pairs.reshape(-1, 3).T
+        self.bits = max(4, int(2 * len(rank)).bit_length())
         self.mask = np.int64((1 << self.bits) - 1)
         self.keys = np.full(1 << self.bits, -1, np.int64)
         self.vals = np.full(1 << self.bits, NO_RANK, np.int32)
@@ -189,6 +190,10 @@ def _encode_texts(vocab: Vocabulary, cut, memory: dict[str, bytes], texts: list[
     return [b"".join(x) for x in out]
 
 
+def _decoded(vocab: Vocabulary, ids: bytes) -> bytes:
+    return b"".join(map(vocab.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+
 def encode(df: DataFrame, id_col: str, text_col: str, vocabulary: str, pattern: str) -> DataFrame:
     """``id_col`` and ``ids``: the token ids of every whole text, as little-endian unsigned 32-bit integers.
 
@@ -219,12 +224,36 @@ def decode(df: DataFrame, id_col: str, vocabulary: str) -> DataFrame:
     source = df.select(F.col(id_col).alias("id"), F.coalesce(F.col("ids"), F.lit(b"")).alias("ids"))
 
     def run(batches):
-        token = _vocabulary(blob.value).tokens.__getitem__
+        vocab = _vocabulary(blob.value)
         for batch in batches:
-            texts = [b"".join(map(token, np.frombuffer(x.as_buffer(), "<u4").tolist())) for x in batch.column(1)]
+            texts = [_decoded(vocab, x.as_buffer()) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.binary())],
                                              ["id", "ids", "decoded"])
 
     kind = source.schema["id"].dataType.simpleString()
     return source.mapInArrow(run, f"id {kind}, ids binary, decoded binary").select(
         F.col("id").alias(id_col), "ids", "decoded")
+
+
+def round_trip(df: DataFrame, id_col: str, text_col: str, vocabulary: str, pattern: str) -> DataFrame:
+    """:func:`encode`, then :func:`decode`, in one task: ``id_col``, ``ids`` and ``decoded``.
+
+    A task holds the vocabulary once and the ids of a few hundred texts at a time.
+    """
+    with open(vocabulary, "rb") as f:
+        blob = df.sparkSession.sparkContext.broadcast(f.read())
+    source = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+
+    def run(batches):
+        vocab, cut, memory = _vocabulary(blob.value), regex.compile(pattern), {}
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                ids = _encode_texts(vocab, cut, memory, part.column(1).to_pylist())
+                texts = [_decoded(vocab, x) for x in ids]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()), pa.array(texts, pa.binary())],
+                                                 ["id", "ids", "decoded"])
+
+    kind = source.schema["id"].dataType.simpleString()
+    return source.mapInArrow(run, f"id {kind}, ids binary, decoded binary").select(
+        F.col("id").alias(id_col), "ids", "decoded")

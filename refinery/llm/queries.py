@@ -37,8 +37,8 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every whole document and the bytes they decode to, as digests."""
     vocab = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    ids = bpe.encode(table(spark, sf_dir, "documents"), "doc_id", "text", vocab, public_tokenizers.PATTERN)
-    return bpe.decode(ids, "doc_id", vocab).select(
+    found = bpe.round_trip(table(spark, sf_dir, "documents"), "doc_id", "text", vocab, public_tokenizers.PATTERN)
+    return found.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
