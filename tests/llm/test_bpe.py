@@ -37,6 +37,9 @@ def test_round_trip_of_a_table(spark, monkeypatch):
     got = sorted(((r["doc_id"], bytes(r["ids"]), bytes(r["decoded"])) for r in bpe.decode(ids, "doc_id", PATH).collect()), key=repr)
     want = sorted(((k, np.array(TOKTOK.encode_ordinary(t or ""), "<u4").tobytes(), (t or "").encode()) for k, t in rows), key=repr)
     assert got == want
+    both = bpe.round_trip(documents(spark, rows), "doc_id", "text", PATH, P.PATTERN)
+    assert sorted(((r["doc_id"], bytes(r["ids"]), bytes(r["decoded"])) for r in both.collect()), key=repr) == want
+    assert bpe.round_trip(empty(spark), "doc_id", "text", PATH, P.PATTERN).count() == 0
     assert bpe.decode(bpe.encode(empty(spark), "doc_id", "text", PATH, P.PATTERN), "doc_id", PATH).count() == 0
 
 
