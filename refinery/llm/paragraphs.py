@@ -8,6 +8,11 @@ key are compared by the exact Jaccard similarity of their shingle sets, links
 are clustered by connected components, and all but the first member of a
 cluster are removals.
 
+A passage that repeats inside longer sentences, or in text without any, holds
+no equal paragraph.  So windows of 25 words are compared too, exactly: of those
+in any 50 consecutive words, whatever breaks stand among them, the one of
+smallest hash, which is the same one wherever the 50 words stand.
+
 Most paragraphs share no key with any other.  One aggregation counts the keys;
 those held twice go into a blocked Bloom filter of bounded size, and only
 paragraphs that pass it are written, counted exactly and verified.
@@ -15,8 +20,10 @@ paragraphs that pass it are written, counted exactly and verified.
 
 from __future__ import annotations
 
-import re
+from bisect import bisect_left, bisect_right
+from collections import Counter
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +39,10 @@ LEAST_WORDS = 8
 BUCKET = 256
 #: words of 64 bits in the filter: at most 2^20 (8 MB), whatever the input
 MOST_WORDS = 1 << 20
-BREAK = re.compile(r"(?<=[.!?])\s+|\n+")
+#: any passage of so many words holds a whole window of so many
+PASSAGE, WINDOW = 50, 25
+#: between the words of a window; a blank to ``str.split``, so no word holds it
+GLUE = "\x1f"
 REMEMBERED = 500_000
 
 
@@ -43,46 +53,111 @@ def tune(threshold: float, recall: float, most_rows: int = 4, most_bands: int =
     return min(fits, key=lambda x: (x[0], -x[1]))
 
 
-def split(text: str, least: int = LEAST_WORDS) -> list[list[str]]:
-    """Words (lower case) of each paragraph of a text that has ``least`` words or more."""
-    out, held = [], []
-    for line in text.split("\n"):
-        for sentence in BREAK.split(line):
-            held = held + sentence.lower().split() if held else sentence.lower().split()
-            if len(held) >= least:
-                out.append(held)
-                held = []
-        held = []
+def _hashes(words: list[str], memory: dict[str, int]) -> np.ndarray:
+    """Hash of each word; its lowest bit tells whether a sentence may end with the word."""
+    if len(memory) > REMEMBERED:
+        memory.clear()
+    for w in set(words):
+        if w not in memory:
+            memory[w] = xxhash.xxh3_64_intdigest(w) & ~1 | (w[-1] in ".!?")
+    return np.fromiter(map(memory.__getitem__, words), np.uint64, len(words))
+
+
+def _sentences(lines: list[int], stops: list[int], least: int) -> list[tuple[int, int]]:
+    """(start, end) of the paragraphs of a text, from the word numbers at which lines end and sentences stop."""
+    out, start, n = [], 0, 0
+    for end in lines:
+        for stop in stops[n:bisect_left(stops, end, n)] + [end]:
+            if stop - start >= least:
+                out.append((start, stop))
+                start = stop
+        n = bisect_right(stops, end, n)
+        start = end
     return out
 
 
+def _windows(flat: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, hash) of the chosen windows of texts that end at ``ends``.
+
+    Of the windows that lie in ``PASSAGE`` consecutive words, the one of smallest hash is chosen, so any two
+    texts that share so many words have an equal window there.  One that overlaps an equal one is left out.
+    """
+    if len(flat) < PASSAGE:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    whole, done, power = None, 0, flat
+    for bit in range(WINDOW.bit_length()):
+        if WINDOW >> bit & 1:
+            n = len(flat) - (done + (1 << bit)) + 1
+            whole = power[:n] if whole is None else _mix(whole[:n], power[done:done + n])
+            done += 1 << bit
+        power = _mix(power[:-(1 << bit)], power[1 << bit:])
+    first = np.arange(len(flat) - PASSAGE + 1)
+    inside = first + PASSAGE <= ends[np.searchsorted(ends, first, "right")]
+    near = np.lib.stride_tricks.sliding_window_view(whole, PASSAGE - WINDOW + 1)
+    at = np.unique((first + near.argmin(axis=1))[inside])
+    last: dict[int, int] = {}
+    keep = []
+    for i, (p, h) in enumerate(zip(at.tolist(), whole[at].tolist())):
+        if last.get(h, -WINDOW) + WINDOW <= p:
+            last[h] = p
+            keep.append(i)
+    return at[keep], whole[at[keep]]
+
+
+def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    h = (a ^ (a >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + b
+    return (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+
+
+def units(texts: list[str], least: int, memory: dict[str, int]) -> tuple:
+    """(words, their hashes, text and place of each paragraph, text and place of each window, hash of each window)."""
+    lines = [[line.split() for line in t.lower().split("\n")] for t in texts]
+    words = [w for ls in lines for ws in ls for w in ws]
+    flat = _hashes(words, memory)
+    stops = np.flatnonzero(flat & np.uint64(1)) + 1
+    ends = np.cumsum([sum(map(len, ls)) for ls in lines])
+    spans, at = [], 0
+    for i, ls in enumerate(lines):
+        own = stops[np.searchsorted(stops, at, "right"):np.searchsorted(stops, ends[i], "right")] - at
+        spans += [(i, at + a, at + b) for a, b in _sentences(list(accumulate(map(len, ls))), own.tolist(), least)]
+        at = int(ends[i])
+    first, hashes = _windows(flat, ends)
+    of = np.searchsorted(ends, first, "right")
+    return words, flat, spans, [(i, a, a + WINDOW) for i, a in zip(of.tolist(), first.tolist())], hashes
+
+
+def split(text: str, least: int = LEAST_WORDS) -> list[list[str]]:
+    """Words (lower case) of each paragraph of ``least`` words or more, then each window as one entry, joined by ``GLUE``."""
+    words, _, spans, windows, _ = units([text], least, {})
+    return [words[a:b] for _, a, b in spans] + [[GLUE.join(words[a:b])] for _, a, b in windows]
+
+
 @lru_cache(maxsize=4)
 def _mixers(n: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(20)
     return (rng.integers(1, 1 << 63, n, dtype=np.uint64) | np.uint64(1), rng.integers(0, 1 << 63, n, dtype=np.uint64))
 
 
-def band_keys(paragraphs: list[list[str]], bands: int, rows: int, memory: dict[str, int]) -> np.ndarray:
+def band_keys(words: np.ndarray, spans: list[tuple[int, int, int]], bands: int, rows: int) -> np.ndarray:
     """(paragraph, band) keys as signed 64-bit integers: the band's MinHash values, mixed with its number."""
-    if len(memory) > REMEMBERED:
-        memory.clear()
-    for w in {w for p in paragraphs for w in p if w not in memory}:
-        memory[w] = xxhash.xxh3_64_intdigest(w)
-    size = np.fromiter(map(len, paragraphs), np.int64, len(paragraphs))
-    flat = np.fromiter((memory[w] for p in paragraphs for w in p), np.uint64, int(size.sum()))
+    if not spans:
+        return np.empty((0, bands), np.int64)
+    _, start, end = np.array(spans, np.int64).T
+    size = end - start
+    ends = np.cumsum(size)
+    flat = words[np.arange(ends[-1]) + np.repeat(start - ends + size, size)]
     mixed = flat[:len(flat) - SHINGLE + 1].copy()
     for i in range(1, SHINGLE):
         mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + flat[i:len(flat) - SHINGLE + 1 + i]
-    ends = np.cumsum(size)
     inside = np.ones(len(flat), bool)
     for i in range(1, SHINGLE):
         inside[ends - i] = False
     mixed = mixed[inside[:len(mixed)]]
     off = np.concatenate([[0], np.cumsum(size - SHINGLE + 1)[:-1]])
     mul, add = _mixers(bands * rows)
-    keys = np.empty((len(paragraphs), bands), np.uint64)
+    keys = np.empty((len(spans), bands), np.uint64)
     for b in range(bands):
-        key = np.full(len(paragraphs), np.uint64(b + 1))
+        key = np.full(len(spans), np.uint64(b + 1))
         for r in range(b * rows, (b + 1) * rows):
             h = mixed * mul[r] + add[r]
             h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -96,9 +171,9 @@ def _keys(source: DataFrame, bands: int, rows: int, least: int) -> DataFrame:
         memory: dict[str, int] = {}
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                found = [p for t in batch.column(1).slice(at, 256).to_pylist() for p in split(t, least)]
-                if found:
-                    yield pa.RecordBatch.from_arrays([pa.array(band_keys(found, bands, rows, memory).ravel())], ["key"])
+                _, flat, spans, _, hashes = units(batch.column(1).slice(at, 256).to_pylist(), least, memory)
+                keys = np.concatenate([band_keys(flat, spans, bands, rows).ravel(), hashes.view(np.int64)])
+                yield pa.RecordBatch.from_arrays([pa.array(keys)], ["key"])
 
     return source.mapInArrow(run, "key bigint")
 
@@ -108,27 +183,28 @@ MEMBER = pa.schema([("doc", pa.int64()), ("no", pa.int32()), ("words", pa.int32(
 
 
 def _passing(source: DataFrame, table: np.ndarray, bands: int, rows: int, least: int) -> DataFrame:
-    """Paragraphs with a key that the filter passes."""
+    """Paragraphs and windows with a key that the filter passes; windows, compared by ``uid`` only, have no body."""
     sent = source.sparkSession.sparkContext.broadcast(table)
 
     def run(batches):
         memory: dict[str, int] = {}
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                part, found, where = batch.slice(at, 256), [], []
-                for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    found += (ps := split(text, least))
-                    where += [(doc, no) for no in range(len(ps))]
-                if not found:
-                    continue
-                keys = band_keys(found, bands, rows, memory)
-                ok = np.flatnonzero(bits.passes(sent.value, keys).any(axis=1))
-                out = []
-                for i in ok.tolist():
-                    body = " ".join(found[i])
+                part = batch.slice(at, 256)
+                docs = part.column(0).to_pylist()
+                words, flat, spans, windows, hashes = units(part.column(1).to_pylist(), least, memory)
+                keys = band_keys(flat, spans, bands, rows)
+                ok = [*bits.passes(sent.value, keys).any(axis=1).tolist(), *bits.passes(sent.value, hashes.view(np.int64)).tolist()]
+                numbers, out = Counter(), []
+                for n, (i, a, b) in enumerate(spans + windows):
+                    no, numbers[i] = numbers[i], numbers[i] + 1
+                    if not ok[n]:
+                        continue
+                    similar = n < len(spans)
+                    body = (" " if similar else GLUE).join(words[a:b])
                     uid = xxhash.xxh3_64_intdigest(body)
-                    out.append({"doc": where[i][0], "no": where[i][1], "words": len(found[i]),
-                                "uid": uid - (1 << 64) if uid >> 63 else uid, "body": body, "keys": keys[i].tolist()})
+                    out.append({"doc": docs[i], "no": no, "words": b - a, "uid": uid - (1 << 64) if uid >> 63 else uid,
+                                "body": body if similar else None, "keys": keys[n].tolist() if similar else None})
                 yield pa.RecordBatch.from_pylist(out, MEMBER)
 
     return source.mapInArrow(run, "doc bigint, no int, words int, uid bigint, body string, keys array<bigint>")
@@ -194,12 +270,13 @@ def links(variants: DataFrame, threshold: float, name: str) -> DataFrame:
 
 def duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8,
                recall: float = 0.99, least: int = LEAST_WORDS, name: str = "paragraphs") -> DataFrame:
-    """One row per paragraph that has an equal or similar one anywhere, itself included.
+    """One row per paragraph or window that has an equal or similar one anywhere, itself included.
 
-    Returns ``id_col``, ``paragraph`` (its number among the text's paragraphs of ``least`` words or more),
-    ``words``, ``class_id``, ``class_size``, ``kept_id`` and ``kept_paragraph`` (the first member, by id and
-    number) and ``removed`` (every other member).  A class is a component of links of Jaccard similarity
-    ``threshold`` or more over five-word shingles.  Null and empty texts have no paragraphs; rows with a
+    Returns ``id_col``, ``paragraph`` (its number among the text's paragraphs of ``least`` words or more, which
+    its windows follow), ``words``, ``class_id``, ``class_size``, ``kept_id`` and ``kept_paragraph`` (the first
+    member, by id and number) and ``removed`` (every other member).  A class is a component of links of Jaccard
+    similarity ``threshold`` or more over five-word shingles, or of equal windows; any ``PASSAGE`` consecutive
+    words that two texts share hold such a window.  Null and empty texts have no paragraphs; rows with a
     null id are left out, as nothing could name them; a repeated row's paragraphs are members again, and those
     that equal the kept one in id and number stay; an empty table gives an empty one; other columns are ignored.
     """
@@ -209,7 +286,7 @@ def duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
     shared = written(_keys(source, bands, rows, least).groupBy("key").agg(F.count("*").alias("n"))
                      .where("n > 1").select("key"), f"{name}-shared")
     passed = written(_passing(source, bits.build(shared, MOST_WORDS), bands, rows, least), f"{name}-passed")
-    variants = written(passed.groupBy("uid").agg(F.min("body").alias("body"), F.min("keys").alias("keys")),
+    variants = written(passed.where("body is not null").groupBy("uid").agg(F.min("body").alias("body"), F.min("keys").alias("keys")),
                        f"{name}-variants")
     roots = connected_components(links(variants, threshold, name), name)
     members = passed.select("doc", "no", "words", "uid")

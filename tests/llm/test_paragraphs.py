@@ -71,3 +71,19 @@ def test_paragraphs_meet_again_after_the_first_sentence():
     passage = " ".join(sentence(11, s) for s in range(5))
     cuts = [{" ".join(p) for p in P.split(lead + passage + tail)} for lead, tail in (("", ""), ("Oh. No w. ", " Ha."), ("some words before it ", " and after"))]
     assert len(set.intersection(*cuts)) >= 3
+
+
+def test_fifty_words_are_found_wherever_they_are_spliced(spark):
+    rows = []
+    for n in range(12):
+        passage = words(50, 900 + n, 900)
+        if n % 3 == 1:
+            passage[9 + n] += "."
+        for side in range(2):
+            before, after = words(30 + 7 * n + side, 1000 + 2 * n + side, 900), words(45, 1100 + 2 * n + side, 900)
+            inner = "\n".join(passage) if side and n % 2 else " ".join(passage)
+            rows.append((2 * n + side, " ".join(before) + " " + inner + " " + " ".join(after) + ("." if n % 4 else "")))
+    got = found(P.duplicates(documents(spark, rows)))
+    assert {g[0] for g in got} == set(range(24)) and all(g[0] // 2 == g[3] // 2 for g in got)
+    again = P.duplicates(documents(spark, [(1, "x " + " ".join(["again"] * 300))])).collect()
+    assert len(again) == 11 and sum(not r["removed"] for r in again) == 1  # windows that do not overlap
