@@ -6,7 +6,8 @@ after its first sentence.  Each paragraph gets MinHash values over five-word
 shingles; bands are tuned to the wanted recall.  Paragraphs that share a band
 key are compared by the exact Jaccard similarity of their shingle sets, links
 are clustered by connected components, and all but the first member of a
-cluster are removals.
+cluster are removals.  Words too few for a paragraph are carried into the next
+lines; those left before a paragraph or at the end are compared exactly.
 
 A passage that repeats inside longer sentences, or in text without any, holds
 no equal paragraph.  So windows of 25 words are compared too, exactly: of those
@@ -41,7 +42,7 @@ BUCKET = 256
 MOST_WORDS = 1 << 20
 #: any passage of so many words holds a whole window of so many
 PASSAGE, WINDOW = 50, 25
-#: between the words of a window; a blank to ``str.split``, so no word holds it
+#: between the words of what is compared exactly; a blank to ``str.split``, so no word holds it
 GLUE = "\x1f"
 REMEMBERED = 500_000
 
@@ -64,16 +65,25 @@ def _hashes(words: list[str], memory: dict[str, int]) -> np.ndarray:
 
 
 def _sentences(lines: list[int], stops: list[int], least: int) -> list[tuple[int, int]]:
-    """(start, end) of the paragraphs of a text, from the word numbers at which lines end and sentences stop."""
-    out, start, n = [], 0, 0
+    """(start, end) of the paragraphs of a text, from the word numbers at which lines end and sentences stop.
+
+    The last words of a line are carried into the next lines until they are ``least`` or a line has a paragraph
+    of its own; then, and at the end of the text, what is carried is a shorter paragraph.  No word is left out.
+    """
+    out, carried, start, n = [], 0, 0, 0
     for end in lines:
         for stop in stops[n:bisect_left(stops, end, n)] + [end]:
             if stop - start >= least:
+                if carried < start:
+                    out.append((carried, start))
                 out.append((start, stop))
-                start = stop
+                carried = start = stop
+        if end - carried >= least:
+            out.append((carried, end))
+            carried = end
         n = bisect_right(stops, end, n)
         start = end
-    return out
+    return out + [(carried, start)] * (carried < start)
 
 
 def _windows(flat: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -110,26 +120,33 @@ def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def units(texts: list[str], least: int, memory: dict[str, int]) -> tuple:
-    """(words, their hashes, text and place of each paragraph, text and place of each window, hash of each window)."""
+    """(words, their hashes, paragraphs of ``least`` words or more, shorter ones and windows, hash of each of these).
+
+    Paragraphs and windows are given by the number of their text, first word and end.
+    """
     lines = [[line.split() for line in t.lower().split("\n")] for t in texts]
     words = [w for ls in lines for ws in ls for w in ws]
     flat = _hashes(words, memory)
     stops = np.flatnonzero(flat & np.uint64(1)) + 1
     ends = np.cumsum([sum(map(len, ls)) for ls in lines])
-    spans, at = [], 0
+    spans, exact, at = [], [], 0
     for i, ls in enumerate(lines):
         own = stops[np.searchsorted(stops, at, "right"):np.searchsorted(stops, ends[i], "right")] - at
-        spans += [(i, at + a, at + b) for a, b in _sentences(list(accumulate(map(len, ls))), own.tolist(), least)]
+        for a, b in _sentences(list(accumulate(map(len, ls))), own.tolist(), least):
+            (spans if b - a >= least else exact).append((i, at + a, at + b))
         at = int(ends[i])
+    short = np.array([xxhash.xxh3_64_intdigest(GLUE.join(words[a:b])) for _, a, b in exact], np.uint64)
     first, hashes = _windows(flat, ends)
     of = np.searchsorted(ends, first, "right")
-    return words, flat, spans, [(i, a, a + WINDOW) for i, a in zip(of.tolist(), first.tolist())], hashes
+    exact += [(i, a, a + WINDOW) for i, a in zip(of.tolist(), first.tolist())]
+    return words, flat, spans, exact, np.concatenate([short, hashes])
 
 
 def split(text: str, least: int = LEAST_WORDS) -> list[list[str]]:
-    """Words (lower case) of each paragraph of ``least`` words or more, then each window as one entry, joined by ``GLUE``."""
-    words, _, spans, windows, _ = units([text], least, {})
-    return [words[a:b] for _, a, b in spans] + [[GLUE.join(words[a:b])] for _, a, b in windows]
+    """Words (lower case) of each paragraph of ``least`` words or more, then, as one entry joined by ``GLUE``, of each
+    shorter paragraph and of each window."""
+    words, _, spans, exact, _ = units([text], least, {})
+    return [words[a:b] for _, a, b in spans] + [[GLUE.join(words[a:b])] for _, a, b in exact]
 
 
 @lru_cache(maxsize=4)
@@ -183,7 +200,7 @@ MEMBER = pa.schema([("doc", pa.int64()), ("no", pa.int32()), ("words", pa.int32(
 
 
 def _passing(source: DataFrame, table: np.ndarray, bands: int, rows: int, least: int) -> DataFrame:
-    """Paragraphs and windows with a key that the filter passes; windows, compared by ``uid`` only, have no body."""
+    """Paragraphs and windows with a key that the filter passes; those compared by ``uid`` only have no body."""
     sent = source.sparkSession.sparkContext.broadcast(table)
 
     def run(batches):
@@ -192,11 +209,11 @@ def _passing(source: DataFrame, table: np.ndarray, bands: int, rows: int, least:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 docs = part.column(0).to_pylist()
-                words, flat, spans, windows, hashes = units(part.column(1).to_pylist(), least, memory)
+                words, flat, spans, exact, hashes = units(part.column(1).to_pylist(), least, memory)
                 keys = band_keys(flat, spans, bands, rows)
                 ok = [*bits.passes(sent.value, keys).any(axis=1).tolist(), *bits.passes(sent.value, hashes.view(np.int64)).tolist()]
                 numbers, out = Counter(), []
-                for n, (i, a, b) in enumerate(spans + windows):
+                for n, (i, a, b) in enumerate(spans + exact):
                     no, numbers[i] = numbers[i], numbers[i] + 1
                     if not ok[n]:
                         continue
@@ -273,10 +290,10 @@ def duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
     """One row per paragraph or window that has an equal or similar one anywhere, itself included.
 
     Returns ``id_col``, ``paragraph`` (its number among the text's paragraphs of ``least`` words or more, which
-    its windows follow), ``words``, ``class_id``, ``class_size``, ``kept_id`` and ``kept_paragraph`` (the first
+    its shorter ones and its windows follow), ``words``, ``class_id``, ``class_size``, ``kept_id`` and ``kept_paragraph`` (the first
     member, by id and number) and ``removed`` (every other member).  A class is a component of links of Jaccard
-    similarity ``threshold`` or more over five-word shingles, or of equal windows; any ``PASSAGE`` consecutive
-    words that two texts share hold such a window.  Null and empty texts have no paragraphs; rows with a
+    similarity ``threshold`` or more over five-word shingles, or of equal windows or shorter paragraphs; any
+    ``PASSAGE`` consecutive words that two texts share hold such a window.  Null and empty texts have no paragraphs; rows with a
     null id are left out, as nothing could name them; a repeated row's paragraphs are members again, and those
     that equal the kept one in id and number stay; an empty table gives an empty one; other columns are ignored.
     """

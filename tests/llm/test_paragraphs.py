@@ -87,3 +87,13 @@ def test_fifty_words_are_found_wherever_they_are_spliced(spark):
     assert {g[0] for g in got} == set(range(24)) and all(g[0] // 2 == g[3] // 2 for g in got)
     again = P.duplicates(documents(spark, [(1, "x " + " ".join(["again"] * 300))])).collect()
     assert len(again) == 11 and sum(not r["removed"] for r in again) == 1  # windows that do not overlap
+
+
+def test_short_lines_and_tails_are_compared(spark):
+    verse = "\n".join(" ".join(words(5, 1300 + i, 900)) for i in range(7))
+    rows = [(1, verse), (2, verse), (3, f"{sentence(12, 1400)}\n{verse}\n{sentence(14, 1401)} So it ends."), (4, f"{sentence(20, 1402)} So it ends."),
+            (5, "Short text."), (6, "short  TEXT."), (7, f"Short\n\n{sentence(9, 1403)}")]
+    assert {1, 2, 3, 4, 5, 6} == {g[0] for g in found(P.duplicates(documents(spark, rows)))}
+    for _, text in rows + table():
+        pieces = [" ".join(p).replace(P.GLUE, " ") for p in P.split(text or "") if len(p) > 1 or p[0].count(P.GLUE) < P.LEAST_WORDS]
+        assert sorted(" ".join(pieces).split()) == sorted((text or "").lower().split())
