@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame, functions as F
 WINDOW, STRIDE = 32, 24
 HIDDEN, WORD_DIM, CHAR_DIM, ATTENTION = 8, 8, 8, 8
 CHAR_SLOTS = 4096
+#: characters of a word; text without spaces is read in pieces of so many
+PIECE = 64
 #: bounds of the training sample
 SAMPLE_ROWS = 3000
 SAMPLE_CHARS = 20_000
@@ -36,7 +38,11 @@ ROUNDS, EPOCHS, BATCH, RATE = 3, 3, 128, 0.01
 
 
 def words_of(text: str) -> list[str]:
-    return text.lower().split()
+    """Words in lower case; a longer one than ``PIECE`` characters is cut into consecutive pieces, each a word."""
+    words = text.lower().split()
+    if max(map(len, words), default=0) <= PIECE:
+        return words
+    return [w[i:i + PIECE] for w in words for i in range(0, len(w), PIECE)]
 
 
 def bare(word: str) -> str:
@@ -45,8 +51,8 @@ def bare(word: str) -> str:
 
 
 def char_slots(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(hashed byte trigrams of all words in turn, number of each word's); a word is read as ``<word>``, to 64 characters."""
-    told = [w[:64].encode() or b"_" for w in words]
+    """(hashed byte trigrams of all words in turn, number of each word's); a word is read as ``<word>``."""
+    told = [w.encode() or b"_" for w in words]
     text = np.frombuffer(b"<" + b"><".join(told) + b">", np.uint8).astype(np.uint32)
     size = np.fromiter(map(len, told), np.int64, len(told))
     ends = np.cumsum(size + 2)

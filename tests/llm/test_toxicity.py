@@ -130,3 +130,12 @@ def test_held_out_accuracy():
     held = [(t, y) for t, y, b in rows if not b]
     p = T.scores(model, [t for t, _ in held], {}, T.fresh_rows()) >= 0.5
     assert (p == np.array([y for _, y in held])).mean() >= 0.9
+
+
+def test_reads_words_without_spaces_to_their_end():
+    glued = "".join(draw(400, 31))
+    for text in (glued, f"so {glued} on", "x" * 64, "x" * 65, "", "字" * 200):
+        assert "".join(T.words_of(text)) == "".join(text.lower().split()) and all(len(w) <= T.PIECE for w in T.words_of(text))
+    head = "".join(draw(40, 33))[:128]
+    clean, bad = T.scores(net(), [head + "table", head + "idiotic"], {}, T.fresh_rows())
+    assert bad > 0.5 > clean
