@@ -8,8 +8,11 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from refinery.llm import bpe, cws, decontam, paragraphs, secret_scan, simhash, substrings, toxicity, urlfilter, warc
-from refinery.llm.common import table
+from refinery.llm import (
+    bpe, cws, decontam, fim, paragraphs, secret_scan, simhash, substrings, token_counts, toxicity, turns, urlfilter,
+    warc,
+)
+from refinery.llm.common import table, written
 from refinery.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -194,3 +197,58 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.remove_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
                         F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: a document with more tokens is over the limit
+TOKEN_LIMIT = 512
+
+
+@query
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every whole document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = token_counts.count(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return found.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired turns of every damaged conversation."""
+    rows = turns.damaged(table(spark, sf_dir, "conversations"))
+    found = written(turns.audits(rows), "conversation-audits")
+    told = turns.digests(rows, found).select(F.col("conv").alias("conv_id"), F.col("sha256").alias("repaired_sha256"))
+    return found.join(told, F.col("conv").eqNullSafe(F.col("conv_id"))).select("conv_id", *turns.AUDIT, "repaired_sha256")
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole document cut at two line ends and put into its fill-in-middle form, and rebuilt from it."""
+    made = fim.transform(table(spark, sf_dir, "documents"))
+    return made.select("doc_id", "n", "form", F.col("first_cut").alias("prefix_chars"),
+                       (F.col("second_cut") - F.col("first_cut")).alias("middle_chars"),
+                       F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
+ORACLE["op13_fill_in_middle"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+u AS (SELECT *, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS lines FROM d),
+k AS (
+  SELECT *, len(lines) AS n,
+         CAST('0x' || h[1:8] AS BIGINT) % (len(lines) + 1) AS x, CAST('0x' || h[9:16] AS BIGINT) % (len(lines) + 1) AS y,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') THEN 'plain'
+              WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM u),
+c AS (
+  SELECT doc_id, text, n, form, array_to_string(lines[1:least(x, y)], '') AS prefix,
+         array_to_string(lines[least(x, y) + 1:greatest(x, y)], '') AS middle,
+         array_to_string(lines[greatest(x, y) + 1:], '') AS suffix
+  FROM k)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM c
+"""
