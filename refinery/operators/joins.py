@@ -13,8 +13,8 @@ a sort-merge join (null keys too: they all hash alike).  The join stays a
 single pass, with no union of branches and no re-computation of the upstream:
 
 * rows with a null key, and rows whose key is *hot* (``hot_keys`` given by
-  the caller, e.g. the ``UNKNOWN`` default, or found with
-  ``detect_hot_share``), join on a per-row spread key (a row hash) instead
+  the caller, e.g. the ``UNKNOWN`` default, or found with ``detect_hot_share``
+  by a heavy-hitter sketch, see :mod:`refinery.operators.hot_keys`), join on a per-row spread key (a row hash) instead
   of their own key, so they scatter evenly over the reducers;
 * hot rows take their dimension columns from a broadcast of the dimension
   rows of the hot keys only, at most one row per hot key (a proven size
@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refinery.operators.cleaning import dedup
+from refinery.operators.hot_keys import hot_key_list
 from refinery.sources.readers import read_curated
 
 DIM_KEY = "_dim_key"
@@ -45,28 +46,22 @@ def _missing(dim_cols: Sequence[str], fact: DataFrame) -> DataFrame:
     return fact.withColumns({c: F.lit(None).cast("string") for c in dim_cols})
 
 
-def hot_keys_frame(fact: DataFrame, key: str, share: float) -> DataFrame:
-    """Keys holding more than ``share`` of the rows of ``fact``: at most ``1/share`` rows.
-
-    One lazy aggregation over the key column, map-side combined, that counts
-    each key and, as its grand total, all rows.  The result is small by
-    construction and safe to broadcast.
-    """
-    counts = (fact.where(F.col(key).isNotNull()).select(F.col(key).alias("_hot")).rollup("_hot")
-              .agg(F.count(F.lit(1)).alias("_n"), F.grouping("_hot").alias("_all")))
-    total = counts.where("_all = 1").agg(F.max("_n"))
-    return counts.where((F.col("_all") == 0) & (F.col("_n") > total.scalar() * F.lit(float(share)))).select("_hot")
-
-
 def enrich_left(fact: DataFrame, dim: DataFrame | None, left_on: str, right_on: str,
                 dim_cols: Sequence[str], strategy: str = "auto", max_dim_rows: int | None = None,
                 hot_keys: Sequence | None = None, detect_hot_share: float | None = None,
-                dim_order: Sequence[str] = ()) -> DataFrame:
+                dim_order: Sequence[str] = (), hot_from: DataFrame | None = None) -> DataFrame:
     """``fact`` LEFT JOIN ``dim`` on ``fact[left_on] = dim[right_on]`` adding ``dim_cols``.
 
     ``dim=None`` (dimension not available) adds the columns as typed nulls.
     The dimension is deduplicated on its key first, so the join cannot fan out;
     the greatest row by ``dim_order`` (e.g. its ingestion time) wins.
+
+    ``detect_hot_share`` looks for keys with more than that share of the rows of
+    ``hot_from`` (default: of ``fact``) when the join is declared; at most
+    ``1 / share`` keys reach the driver.  ``hot_from`` should be rows that are cheap to read and hold the same
+    keys in the column ``left_on`` (the raw rows before a dedup): the two small
+    passes then read one column of a scan instead of running the fact's plan again.  Which keys count as
+    hot changes the way of a row through the join, never its result.
     """
     dim_cols = list(dim_cols)
     clash = [c for c in dim_cols if c in fact.columns]
@@ -92,15 +87,9 @@ def enrich_left(fact: DataFrame, dim: DataFrame | None, left_on: str, right_on:
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in base.columns])
 
     if detect_hot_share:
-        found = hot_keys_frame(base, left_on, detect_hot_share)
-        if hot_keys:
-            listed = base.sparkSession.createDataFrame([(k,) for k in hot_keys], found.schema)
-            found = found.unionByName(listed).distinct()
-        found = F.broadcast(found.withColumn("_is_hot", F.lit(True)))
-        flagged = base.join(found, key == found["_hot"], "left").drop("_hot")
-        is_hot = F.coalesce(F.col("_is_hot"), F.lit(False))
-        hot_dim = side.join(found, F.col(DIM_KEY) == found["_hot"], "left_semi")
-    elif hot_keys:
+        found = hot_key_list(base if hot_from is None else hot_from, left_on, detect_hot_share)
+        hot_keys = list(dict.fromkeys([*(hot_keys or []), *found]))
+    if hot_keys:
         flagged = base.withColumn("_is_hot", key.isin(*list(hot_keys)))
         is_hot = F.col("_is_hot")
         hot_dim = side.where(F.col(DIM_KEY).isin(*list(hot_keys)))

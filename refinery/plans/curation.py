@@ -55,19 +55,27 @@ def add_date_parts(df: DataFrame, date: str, prefix: str = "") -> DataFrame:
                            f"{prefix}day": fx.day_str(date)})
 
 
-def enrich_sales(clean: DataFrame, customers: DataFrame | None, strategy: str = "auto") -> DataFrame:
+def client_keys(raw: DataFrame) -> DataFrame:
+    """The client of every raw sale as :func:`clean_sales` writes it, without the dedup: one column of one scan."""
+    return cl.defaults(cl.normalise(raw.select("client_id"), trim=["client_id"]), {"client_id": fixed.CLIENT_DEFAULT})
+
+
+def enrich_sales(clean: DataFrame, customers: DataFrame | None, strategy: str = "auto",
+                 raw: DataFrame | None = None) -> DataFrame:
     """Join segment/region of the client; sales of unknown clients (the default key) and of
     any client with more than ``HOT_SHARE`` of the sales go through a bounded broadcast
-    instead of one reducer.  Of several rows of a client the latest counts."""
+    instead of one reducer.  Of several rows of a client the latest counts.  With ``raw``
+    (the rows that ``clean`` was made from), hot clients are looked for there, before the dedup."""
     df = enrich_left(clean, customers, "client_id", CUSTOMERS_KEY, ["segment", "region"], strategy,
-                     hot_keys=[fixed.CLIENT_DEFAULT], detect_hot_share=HOT_SHARE, dim_order=DIM_ORDER)
+                     hot_keys=[fixed.CLIENT_DEFAULT], detect_hot_share=HOT_SHARE, dim_order=DIM_ORDER,
+                     hot_from=None if raw is None else client_keys(raw))
     df = add_amounts(df)
     return add_date_parts(df, "sale_date")
 
 
 def curate_sales(raw: DataFrame, customers: DataFrame | None, clock, source_date: str,
                  strategy: str = "auto") -> DataFrame:
-    return cl.stamp(enrich_sales(clean_sales(raw), customers, strategy), clock, source_date)
+    return cl.stamp(enrich_sales(clean_sales(raw), customers, strategy, raw), clock, source_date)
 
 
 # --- customers -------------------------------------------------------------------

@@ -177,6 +177,12 @@ add("sales_date_parts", WITH_SALES + """ SELECT id, strftime(sale_date, '%Y-%m-%
   lpad(CAST(day(sale_date) AS VARCHAR), 2, '0') AS day FROM clean_sales""")
 add("sales_enriched", WITH_BOTH + """ SELECT id, client_id, segment, region, amount, amount_ttc, total, total_ttc
 FROM enriched_sales""")
+add("hot_clients", f"""WITH c AS (SELECT coalesce(trim(client_id), {q(fixed.CLIENT_DEFAULT)}) AS client_id FROM ({RAW_SALES}) t)
+SELECT client_id, count(*) AS rows, (SELECT count(*) FROM c) AS total FROM c GROUP BY client_id
+HAVING count(*) > 0.002 * (SELECT count(*) FROM c)""")
+add("hot_event_users", """SELECT event_type, user_id, rows, CAST(total AS BIGINT) AS total
+FROM (SELECT event_type, user_id, count(*) AS rows, sum(count(*)) OVER (PARTITION BY event_type) AS total
+      FROM events WHERE user_id IS NOT NULL GROUP BY event_type, user_id) t WHERE rows > 0.01 * total""")
 add("sales_missing_dim", WITH_SALES + f""" SELECT id, client_id, CAST(NULL AS VARCHAR) AS segment,
   CAST(NULL AS VARCHAR) AS region, {sround(f"{TTC} * quantity")} AS total_ttc FROM clean_sales""")
 add("revenue_by_region", WITH_BOTH + f""" SELECT region, {sround(money_sum('total_ttc'))} AS revenue

@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refinery.functions import columns as fx
+from refinery.functions import fixed
 from refinery.operators import cleaning as cl
-from refinery.operators import privacy, quality, summaries
+from refinery.operators import hot_keys, privacy, quality, summaries
 from refinery.plans import curation as cur
 from refinery.plans import samples
 
@@ -49,7 +50,8 @@ def customer_dim(spark, sf):
 
 
 def enriched_sales(spark, sf):
-    return cur.enrich_sales(clean_sales(spark, sf), customer_dim(spark, sf))
+    raw = samples.raw_sales(spark, sf)
+    return cur.enrich_sales(cur.clean_sales(raw), customer_dim(spark, sf), raw=raw)
 
 
 def curated_customers(spark, sf):
@@ -106,6 +108,22 @@ def sales_enriched(spark, sf):
                                             "amount_ttc", "total", "total_ttc")
 
 
+@register("hot_clients")
+def hot_clients(spark, sf):
+    """Clients with over 0.2 % of the sales: sketches of each order priority's sales, merged, then exact counts."""
+    raw, share = samples.raw_sales(spark, sf), 0.002
+    clients = cur.client_keys(raw).select("client_id")
+    parts = hot_keys.summarise(raw.withColumn("client_id", F.trim("client_id")).na.fill({"client_id": fixed.CLIENT_DEFAULT}),
+                               "client_id", ["product"])
+    return hot_keys.hot_keys(clients, "client_id", share, tracked=hot_keys.TRACKED, summaries=hot_keys.merged(parts))
+
+
+@register("hot_event_users")
+def hot_event_users(spark, sf):
+    """Users with over 1 % of the events of their type, one sketch a type."""
+    return hot_keys.hot_keys(samples.table(spark, sf, "events"), "user_id", 0.01, ["event_type"])
+
+
 @register("sales_missing_dim")
 def sales_missing_dim(spark, sf):
     from refinery.operators.joins import read_dimension

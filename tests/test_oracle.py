@@ -59,10 +59,14 @@ def test_ordered_results_keep_their_order(spark):
 
 
 def test_a_hot_client_is_joined_map_side(spark):
-    from refinery.operators.joins import hot_keys_frame
-    from refinery.plans import queries
+    from refinery.operators.hot_keys import hot_key_list
+    from refinery.plans import curation, queries, samples
     clean = queries.clean_sales(spark, SF001)
-    assert {r["_hot"] for r in hot_keys_frame(clean, "client_id", 0.05).collect()} == {"7"}
+    assert hot_key_list(clean, "client_id", 0.05) == ["7"]
+    assert hot_key_list(curation.client_keys(samples.raw_sales(spark, SF001)), "client_id", 0.05) == ["7"]
+    plan = queries.enriched_sales(spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+    assert "approx_top_k" not in plan  # the sketch ran before; the join's own plan holds the key as a value
+    assert "7" in plan
 
 
 def test_entry_smoke(spark):
