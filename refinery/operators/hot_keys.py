@@ -6,8 +6,9 @@ rows can be stored with a batch and merged later (days into a month) without
 reading the batch again.  A sketch never loses a key: its estimate is at least
 the key's count, and at most ``2.7 / tracked`` of all rows too high.  So the
 keys whose estimate passes the threshold are a superset of the hot ones, at
-most about ``1 / share`` of them, and a second pass that reads the key column
-alone counts just those exactly.
+most about ``1 / share`` of them.  That is all a join needs to steer its rows; where
+the counts themselves are asked for, a second pass that reads the key column
+alone counts just the candidates exactly.
 
 No pass shuffles the keys: a task sends its sketch (first pass) or a count for
 each candidate (second pass).
@@ -77,5 +78,10 @@ def hot_keys(df: DataFrame, key: str, share: float, by: Sequence[str] = (), trac
 
 
 def hot_key_list(df: DataFrame, key: str, share: float) -> list:
-    """The keys of :func:`hot_keys` on the driver: fewer than ``1 / share`` values."""
-    return sorted(r[0] for r in hot_keys(df, key, share).select(key).collect())
+    """Every key with more than ``share`` of the non-null rows, on the driver: one pass over one column.
+
+    The superset without the exact count: a key within the sketch's error below the share may be listed too, which
+    does no harm where the list only steers rows.  At most about ``1 / share`` values.
+    """
+    tracked = max(TRACKED, math.ceil(8 / share))
+    return sorted(r["item"] for r in superset(summarise(df, key, (), tracked), share, (), tracked).collect())

@@ -59,8 +59,8 @@ def enrich_left(fact: DataFrame, dim: DataFrame | None, left_on: str, right_on:
     ``detect_hot_share`` looks for keys with more than that share of the rows of
     ``hot_from`` (default: of ``fact``) when the join is declared; at most
     ``1 / share`` keys reach the driver.  ``hot_from`` should be rows that are cheap to read and hold the same
-    keys in the column ``left_on`` (the raw rows before a dedup): the two small
-    passes then read one column of a scan instead of running the fact's plan again.  Which keys count as
+    keys in the column ``left_on`` (the raw rows before a dedup): the pass then
+    reads one column of a scan instead of running the fact's plan again.  Which keys count as
     hot changes the way of a row through the join, never its result.
     """
     dim_cols = list(dim_cols)
