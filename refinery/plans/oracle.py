@@ -165,6 +165,9 @@ FROM (SELECT count(*) AS rows_before,
 add("lineitem_dedup", "SELECT * FROM (" + dedup_sql(
     "(SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice FROM lineitem)",
     "l_orderkey, l_linenumber", ["l_quantity", "l_extendedprice"]) + ") t")
+add("sales_latest", WITH_SALES + " SELECT id, amount FROM sales_dedup WHERE id IS NOT NULL AND id <> ''")
+add("user_last_event", "SELECT user_id, event_id, event_type, props FROM ("
+    + dedup_sql("events", "user_id", ["event_id"]) + ") t")
 add("sales_positive", WITH_SALES + " SELECT id, amount FROM clean_sales")
 add("sales_defaults", WITH_SALES + " SELECT id, product, client_id, quantity FROM clean_sales")
 add("sales_amounts", f"""SELECT l_orderkey, l_linenumber, amount, quantity, amount_ttc, total,

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from refinery.functions import columns as fx
 from refinery.functions import fixed
 from refinery.operators import cleaning as cl
-from refinery.operators import hot_keys, privacy, quality, summaries
+from refinery.operators import hot_keys, late, privacy, quality, summaries
 from refinery.plans import curation as cur
 from refinery.plans import samples
 
@@ -76,6 +76,20 @@ def lineitem_dedup(spark, sf):
     return cl.dedup(samples.line_sales(spark, sf), ["l_orderkey", "l_linenumber"])
 
 
+@register("sales_latest")
+def sales_latest(spark, sf):
+    """Id and amount of the latest row of each sale; the other columns are not read."""
+    raw = samples.raw_sales(spark, sf)
+    address = [*late.file_address(), F.col("seq")]  # a source row may stand for two sales
+    return cl.require_key(late.latest(raw, "id", F.col("seq"), ["amount"], address), "id")
+
+
+@register("user_last_event")
+def user_last_event(spark, sf):
+    """The last event of every user."""
+    return late.latest(samples.table(spark, sf, "events"), "user_id", "event_id", ["event_id", "event_type", "props"])
+
+
 @register("sales_positive")
 def sales_positive(spark, sf):
     df = cl.require_key(cl.dedup(samples.raw_sales(spark, sf), "id", "seq"), "id")
