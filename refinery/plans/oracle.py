@@ -337,6 +337,8 @@ add("land_mixed_headers", """SELECT CAST(o_orderkey AS VARCHAR) AS id, printf('%
   CASE WHEN o_orderkey % 3 = 2 THEN o_orderpriority END AS note,
   CASE o_orderkey % 3 WHEN 0 THEN 'sales_a' WHEN 1 THEN 'sales_b' ELSE 'sales_c' END AS file_name FROM orders""")
 add("land_quoted_text", r"""SELECT CAST(doc_id AS VARCHAR) AS id, 'say "hi", \n\ ' || text || ' "' AS text FROM documents""")
+add("land_one_file", f"""SELECT CAST(doc_id AS VARCHAR) AS id, '"quoted",' || chr(10) || text || chr(10) || '"" end' AS text,
+  {q(SOURCE_DATE)} AS ingest_date FROM documents""")
 add("land_customers", f"WITH raw_customers AS ({RAW_CUSTOMERS}) " + f"""SELECT *, 'customers' AS source_system,
   {LANDED_AT} AS ingestion_timestamp, 'customers_all.csv' AS file_name, {q(SOURCE_DATE)} AS ingest_date FROM raw_customers""")
 add("curated_roundtrip", WITH_BOTH + " " + SALES_OUT)

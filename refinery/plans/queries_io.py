@@ -18,7 +18,7 @@ from refinery.operators.privacy import mask
 from refinery.plans import curation as cur
 from refinery.plans import jobs, samples
 from refinery.plans.queries import AS_OF, CLOCK, SOURCE_DATE, _d, _dims, customer_dim, register
-from refinery.session import hadoop_fs, scratch_dir
+from refinery.session import hadoop_fs, scratch_dir, session_conf
 from refinery.sources import catalog, landing, readers, sinks
 from refinery.streaming import alert_feed
 
@@ -103,6 +103,19 @@ def land_quoted_text(spark, sf):
     return readers.read_raw(spark, f"{root}/raw", "docs", SOURCE_DATE, ["id", "text", *landing.LINEAGE]).select("id", "text")
 
 
+@register("land_one_file")
+def land_one_file(spark, sf):
+    """Whole document texts in a single source file, read in ranges of 1 MB, and the raw zone read likewise."""
+    root = scratch_dir(spark, "one_file")
+    docs = samples.table(spark, sf, "documents")
+    text = F.concat(F.lit('"quoted",\n'), F.col("text"), F.lit('\n"" end'))
+    write_sources(docs.select(F.col("doc_id").cast("string").alias("id"), text.alias("text")).coalesce(1), f"{root}/sources", "docs")
+    with session_conf(spark, {"spark.sql.files.maxPartitionBytes": "1m"}):
+        landing.land(spark, f"{root}/sources", f"{root}/raw", "docs", SOURCE_DATE, CLOCK)
+        back = readers.read_raw(spark, f"{root}/raw", "docs", SOURCE_DATE, ["id", "text", *landing.LINEAGE], split=True)
+    return back.select("id", "text", landing.PARTITION)
+
+
 @register("land_customers")
 def land_customers(spark, sf):
     root = scratch_dir(spark, "land_customers")

@@ -7,7 +7,6 @@ of one date replaces only that date (dynamic partition overwrite).
 
 from __future__ import annotations
 
-import csv
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from refinery.session import hadoop_fs
+from refinery.sources import quoted_csv
 
 LINEAGE = ["source_system", "ingestion_timestamp", "file_name"]
 PARTITION = "ingest_date"
@@ -48,53 +48,10 @@ CSV_WRITE = {"header": "true", "quote": '"', "escape": '"', "ignoreLeadingWhiteS
              "ignoreTrailingWhiteSpace": "false"}
 
 
-def _first_record(spark: SparkSession, fs, path) -> list[str] | None:
-    """The column names of one CSV file (``None`` when it is empty)."""
-    io = spark._jvm.java.io
-    reader = io.BufferedReader(io.InputStreamReader(fs.open(path), "UTF-8"))
-    try:
-        text = reader.readLine()
-        while text is not None and text.count('"') % 2:  # a line break inside a quoted name
-            more = reader.readLine()
-            if more is None:
-                break
-            text += "\n" + more
-    finally:
-        reader.close()
-    return next(csv.reader([text.removeprefix("\ufeff")]), None) if text else None
-
-
-def source_groups(spark: SparkSession, folder: str, glob: str = "*.csv",
-                  exclude: str | None = "_enrichi") -> dict[tuple[str, ...], list[str]]:
-    """Files of ``folder`` by their own header, in the order of their names; excluded and empty ones are left out.
-
-    Only file names and first lines reach the driver.
-    """
-    fs, root = hadoop_fs(spark, folder)
-    if not fs.exists(root):
-        return {}
-    groups: dict[tuple[str, ...], list[str]] = {}
-    paths = [s.getPath() for s in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(root, glob)) if s.isFile()]
-    for path in sorted(paths, key=lambda p: p.getName()):
-        name = path.getName()
-        if name.startswith(("_", ".")) or (exclude and exclude in name):
-            continue
-        header = _first_record(spark, fs, path)
-        if header:
-            groups.setdefault(tuple(header), []).append(path.toString())
-    return groups
-
-
 def _frames(spark: SparkSession, folder: str, glob: str, exclude: str | None) -> list[DataFrame]:
-    frames = []
-    for header, paths in source_groups(spark, folder, glob, exclude).items():
-        # of columns with the same name the last one counts, as for a reader that maps names to values
-        names = [h if h not in header[i + 1:] else f"_repeated_{i}" for i, h in enumerate(header)]
-        fields = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        strict = "false" if list(header) == names else "true"
-        df = spark.read.schema(fields).options(**CSV_OPTIONS).option("enforceSchema", strict).csv(paths)
-        frames.append(df.drop(*[n for n in names if n not in header]))
-    return frames
+    """The rows of the matching files, one DataFrame per distinct header, with the file's path in a column."""
+    fs, root = hadoop_fs(spark, folder)
+    return [df for _, df in quoted_csv.read_by_header(spark, folder, glob, exclude)] if fs.exists(root) else []
 
 
 def _together(frames: list[DataFrame]) -> DataFrame | None:
@@ -107,10 +64,11 @@ def read_sources(spark: SparkSession, folder: str, glob: str = "*.csv",
 
     Each file is read by its own header, whatever the order of its columns;
     a column that a file lacks is null for its rows.  Quoted line breaks,
-    doubled quotes and backslashes are kept.  ``multiLine`` makes each file
-    one task: split very large sources into several files.
+    doubled quotes and backslashes are kept.  A large file is read by many
+    tasks, and many files without a loop over them (see :mod:`quoted_csv`).
     """
-    return _together(_frames(spark, folder, glob, exclude))
+    found = _together(_frames(spark, folder, glob, exclude))
+    return None if found is None else found.drop(quoted_csv.FILE_PATH)
 
 
 def land(spark: SparkSession, source_folder: str, raw_root: str, entity: str, date: str, clock,
@@ -121,7 +79,8 @@ def land(spark: SparkSession, source_folder: str, raw_root: str, entity: str, da
     Header-only files contribute no rows.  Rerunning a date overwrites that
     date's partition only.
     """
-    out = _together([with_lineage(f, entity, clock) for f in _frames(spark, source_folder, glob or f"{entity}*.csv", exclude)])
+    out = _together([with_lineage(f, entity, clock, quoted_csv.file_name()).drop(quoted_csv.FILE_PATH)
+                     for f in _frames(spark, source_folder, glob or f"{entity}*.csv", exclude)])
     if out is None:
         return None
     lineage = [F.col(f"`{c}`") for c in out.columns if c not in LINEAGE] + [F.col(c) for c in LINEAGE]

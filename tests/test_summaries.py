@@ -1,9 +1,6 @@
-import os
-
 from pyspark.sql import functions as F
 
 from refinery.operators import summaries
-from refinery.sources import landing
 
 
 def test_total_null_keys_and_orderings(spark):
@@ -23,13 +20,3 @@ def test_total_null_keys_and_orderings(spark):
     assert [r["seg"] for r in top.collect()] == ["A", "B"]
     out = summaries.sql_over(df, "t_view", "SELECT count(*) AS n FROM t_view WHERE seg = 'A'")
     assert out.first()["n"] == 2
-
-
-def test_source_groups_skip_excluded_names(spark, tmp):
-    os.makedirs(f"{tmp}/src")
-    for name in ("a.csv", "b_enrichi.csv", "c.txt", "_hidden.csv"):
-        with open(f"{tmp}/src/{name}", "w") as f:
-            f.write("x,y\n")
-    groups = landing.source_groups(spark, f"{tmp}/src")
-    assert [os.path.basename(p) for p in groups[("x", "y")]] == ["a.csv"] and len(groups) == 1
-    assert landing.source_groups(spark, f"{tmp}/none") == {}
