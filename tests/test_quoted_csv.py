@@ -44,7 +44,7 @@ def test_ranges_of_any_size_give_the_rows_of_a_plain_reader(spark, tmp, size):
         found = quoted_csv.read_by_header(spark, f"{tmp}/src", "*.csv")
         assert [names for names, _ in found] == [["id", "text", "more"]]
         got = [tuple(map(_norm, r)) for r in found[0][1].drop(quoted_csv.FILE_PATH).collect()]
-        blocks = quoted_csv.line_table(spark, f"{tmp}/src", "*.csv").select("path", "block").distinct().count()
+        blocks = quoted_csv.line_table(spark, [f"{tmp}/src"]).select("path", "block").distinct().count()
     assert sorted(got, key=repr) == sorted((tuple(map(_norm, r)) for r in want), key=repr)
     assert size > total or blocks > total // size // 4  # a range that holds no line begin has no row
 
@@ -58,11 +58,23 @@ def test_same_rows_as_the_multi_line_reader(spark, tmp):
     assert sorted(map(tuple, ours), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
 
 
+def test_files_without_breaks_take_the_split_reader(spark, tmp):
+    _file(f"{tmp}/src/a.csv", [(str(i), f'said "{i}", then', " ") for i in range(500)])
+    _file(f"{tmp}/src/b.csv", [("b1", "two\nlines", "x")])
+    _file(f"{tmp}/src/c.csv", [("c1", "", "x")], end="\r\n")
+    with session_conf(spark, {"spark.sql.files.maxPartitionBytes": "2000", "spark.sql.files.openCostInBytes": "0"}):
+        told = {os.path.basename(r["path"]): r["tricky"] for r in quoted_csv.survey(spark, f"{tmp}/src").collect()}
+        assert told == {"a.csv": False, "b.csv": True, "c.csv": False}
+        (names, rows), = quoted_csv.read_by_header(spark, f"{tmp}/src")
+        got = {tuple(r) for r in rows.withColumn(quoted_csv.FILE_PATH, quoted_csv.file_name()).collect()}
+    assert got == {*((str(i), f'said "{i}", then', " ", "a.csv") for i in range(500)), ("b1", "two\nlines", "x", "b.csv"), ("c1", None, "x", "c.csv")}
+
+
 def test_one_large_file_lands_in_many_tasks(spark, tmp):
     rows = [(str(i), f'said "{i}",\nthen left', "x" * 40) for i in range(8000)]
     size = _file(f"{tmp}/src/sales.csv", rows)
     with session_conf(spark, {"spark.sql.files.maxPartitionBytes": "64k"}):
-        lines = quoted_csv.line_table(spark, f"{tmp}/src")
+        lines = quoted_csv.line_table(spark, [f"{tmp}/src"])
         assert lines.select("block").distinct().count() >= size // (1 << 16)
         landing.land(spark, f"{tmp}/src", f"{tmp}/raw", "sales", "2024-01-01", "2024-01-01 00:00:00")
         back = readers.read_raw(spark, f"{tmp}/raw", "sales", "2024-01-01", ["id", "text", "more", *landing.LINEAGE], split=True)
