@@ -8,6 +8,7 @@ plans as ``TakeOrderedAndProject`` (per-partition top-k, no global sort).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,6 +63,42 @@ def revenue_by(df: DataFrame, keys: Sequence[str] | str, amount: str = "total_tt
     return out.orderBy(F.col(alias).desc(), *[F.col(k).asc_nulls_first() for k in keys])
 
 
+@dataclass(frozen=True)
+class Summary:
+    """One summary of a table: rows (or the sum of the ``amount`` column as money) by at most two columns."""
+    name: str
+    keys: tuple[str, ...] = ()
+    amount: str | None = None
+
+
+def in_one_pass(df: DataFrame, summaries: Sequence[Summary]) -> DataFrame:
+    """All ``summaries`` of ``df`` as rows of (summary, key, key2, value), by one aggregation over grouping sets.
+
+    One scan and one shuffle of partial results, however many summaries there are.  Keys are text, null where the
+    table has null; a summary without keys is a single row, also over an empty table.
+    """
+    cols = sorted({k for s in summaries for k in s.keys})
+    sets = sorted({tuple(sorted(s.keys)) for s in summaries})
+    amounts = sorted({s.amount for s in summaries if s.amount})
+    measures = [F.count(F.lit(1)).cast("double").alias("_rows"),
+                *[F.round(fx.money_sum(a), 2).cast("double").alias(f"_sum_{i}") for i, a in enumerate(amounts)]]
+    if cols:
+        grouped = df.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in cols])
+        found = grouped.agg(F.grouping_id().alias("_set"), *measures)
+    else:
+        found = df.agg(F.lit(0).alias("_set"), *measures)
+    out_of = lambda keys: sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in keys)
+
+    def line(s: Summary):
+        keys = [F.col(k).cast("string") for k in s.keys] + [F.lit(None).cast("string")] * (2 - len(s.keys))
+        value = F.col(f"_sum_{amounts.index(s.amount)}") if s.amount else F.col("_rows")
+        return F.struct(F.lit(s.name).alias("summary"), keys[0].alias("key"), keys[1].alias("key2"), value.alias("value"),
+                        (F.col("_set") == out_of(s.keys)).alias("_meant"))
+
+    told = found.select(F.inline(F.array(*[line(s) for s in summaries]))).where("_meant").drop("_meant")
+    return told
+
+
 def top_k(df: DataFrame, order: Sequence[Column], k: int = 20) -> DataFrame:
     """The first ``k`` rows by a total order (the console ``show()`` default is 20)."""
     return df.orderBy(*order).limit(k)

@@ -74,8 +74,10 @@ def enrich_sales(clean: DataFrame, customers: DataFrame | None, strategy: str =
 
 
 def curate_sales(raw: DataFrame, customers: DataFrame | None, clock, source_date: str,
-                 strategy: str = "auto") -> DataFrame:
-    return cl.stamp(enrich_sales(clean_sales(raw), customers, strategy, raw), clock, source_date)
+                 strategy: str = "auto", watched: DataFrame | None = None) -> DataFrame:
+    """``watched`` is ``raw`` with an observation, which only the main pass over the rows should feed."""
+    clean = clean_sales(raw if watched is None else watched)
+    return cl.stamp(enrich_sales(clean, customers, strategy, raw), clock, source_date)
 
 
 # --- customers -------------------------------------------------------------------

@@ -13,7 +13,6 @@ runs) instead of separate ``count()`` actions that would re-read the input.
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -40,27 +39,29 @@ def _of_batch(df: DataFrame, date: str) -> DataFrame:
     return df.where(F.col("_source_date") == date)
 
 
-def _line(entity: str, name: str, df: DataFrame, *keys: str) -> DataFrame:
-    """A summary as rows of (entity, summary, key, key2, value); its value is the last column."""
-    names = [F.col(k).cast("string") for k in keys] + [F.lit(None).cast("string")] * (2 - len(keys))
-    return df.select(F.lit(entity).alias("entity"), F.lit(name).alias("summary"), names[0].alias("key"),
-                     names[1].alias("key2"), F.col(df.columns[-1]).cast("double").alias("value"))
+CUSTOMER_SUMMARIES = [summaries.Summary("total"), *[summaries.Summary(f"by_{c}", (c,))
+                                                    for c in ("segment", "loyalty", "age_band", "active")]]
+SALES_SUMMARIES = [summaries.Summary("total"), summaries.Summary("by_month", ("year", "month")),
+                   summaries.Summary("revenue_by_region", ("region",), "total_ttc")]
 
 
-def _write_summary(parts: list[DataFrame], path: str) -> None:
-    reduce(DataFrame.unionByName, parts).coalesce(1).write.mode("overwrite").parquet(path)  # a few dozen rows
+def _write_summary(entity: str, back: DataFrame, wanted: list[summaries.Summary], raw_null_keys: int, path: str) -> None:
+    """The summaries of the curated rows, by one pass over them, and the null keys seen while the raw rows were read."""
+    found = summaries.in_one_pass(back, wanted)
+    nulls = back.sparkSession.createDataFrame([("raw_null_keys", None, None, float(raw_null_keys))], found.schema)
+    rows = found.unionByName(nulls).select(F.lit(entity).alias("entity"), "*")
+    rows.coalesce(1).write.mode("overwrite").parquet(path)  # a few dozen rows
 
 
 def build_customers(spark: SparkSession, root: str, date: str, as_of, clock) -> dict:
     """Raw customers of ``date`` -> cleaned, enriched, masked, partitioned by region/segment."""
     raw = readers.read_raw(spark, f"{root}/raw", "customers", date).drop(PARTITION)
+    raw, seen = _observed(raw, "raw_customers", cur.CUSTOMERS_KEY)
     df = cur.curate_customers(raw, as_of, clock, date)
     df, obs = _observed(df, "customers", cur.CUSTOMERS_KEY)
     sinks.write_curated(mask(df), f"{root}/curated/customers", CUSTOMERS_PARTITIONS)
     back = _of_batch(readers.read_curated(spark, f"{root}/curated/customers", CUSTOMERS_PARTITIONS), date)
-    parts = [_line("customers", "total", summaries.total(back)), _line("customers", "raw_null_keys", summaries.null_keys(raw, cur.CUSTOMERS_KEY))]
-    parts += [_line("customers", f"by_{c}", summaries.count_by(back, c), c) for c in ("segment", "loyalty", "age_band", "active")]
-    _write_summary(parts, f"{root}/summaries/customers")
+    _write_summary("customers", back, CUSTOMER_SUMMARIES, seen.get["null_keys"], f"{root}/summaries/customers")
     return dict(obs.get)
 
 
@@ -71,14 +72,12 @@ def build_sales(spark: SparkSession, root: str, date: str, clock, strategy: str
     """
     raw = readers.read_raw(spark, f"{root}/raw", "sales", date).drop(PARTITION)
     dim = read_dimension(spark, f"{root}/curated/customers", CUSTOMERS_PARTITIONS)
-    df = cur.curate_sales(raw, dim, clock, date, strategy)
+    watched, seen = _observed(raw, "raw_sales", cur.SALES_KEY)
+    df = cur.curate_sales(raw, dim, clock, date, strategy, watched)
     df, obs = _observed(df, "sales", cur.SALES_KEY)
     sinks.write_curated(df, f"{root}/curated/sales", SALES_PARTITIONS)
     back = _of_batch(readers.read_curated(spark, f"{root}/curated/sales", SALES_PARTITIONS), date)
-    parts = [_line("sales", "total", summaries.total(back)), _line("sales", "raw_null_keys", summaries.null_keys(raw, cur.SALES_KEY)),
-             _line("sales", "by_month", summaries.by_month(back), "year", "month"),
-             _line("sales", "revenue_by_region", summaries.revenue_by(back, "region"), "region")]
-    _write_summary(parts, f"{root}/summaries/sales")
+    _write_summary("sales", back, SALES_SUMMARIES, seen.get["null_keys"], f"{root}/summaries/sales")
     return dict(obs.get)
 
 
@@ -105,14 +104,16 @@ def check_quality(spark: SparkSession, root: str, zone: str, entity: str, date:
 
 
 def compact_all(spark: SparkSession, root: str, forced_files: int | None = None,
-                cleanup_backups: bool = False) -> DataFrame:
+                cleanup_backups: bool = False, incremental: bool = False) -> DataFrame:
     layouts = {"sales": maintenance.SALES_LAYOUT, "customers": maintenance.CUSTOMERS_LAYOUT}
-    return maintenance.compact_all(spark, f"{root}/curated", layouts, forced_files, cleanup_backups)
+    return maintenance.compact_all(spark, f"{root}/curated", layouts, forced_files, cleanup_backups, incremental)
 
 
-def run_day(spark: SparkSession, root: str, date: str, clock, as_of, now: dt.datetime | None = None) -> DataFrame:
+def run_day(spark: SparkSession, root: str, date: str, clock, as_of, now: dt.datetime | None = None,
+            purge: bool = False) -> DataFrame:
     """The daily order: land both -> raw DQ both -> customers -> sales -> curated DQ both
-    -> compaction -> retention (dry run) -> success alert.  Raises on the first failure.
+    -> compaction of untidy folders -> retention (``purge``: raw files past their time are deleted, else
+    counted) -> success alert.  Raises on the first failure.
 
     Returns one status row per stage.
     """
@@ -130,13 +131,13 @@ def run_day(spark: SparkSession, root: str, date: str, clock, as_of, now: dt.dat
     for entity in ("sales", "customers"):
         g = check_quality(spark, root, "curated", entity, date, as_of, clock).select("global_status").first()
         rows.append(("quality_curated", entity, g["global_status"] if g else "CRITICAL", None))
-    status = compact_all(spark, root)
+    status = compact_all(spark, root, incremental=True)
     for r in status.collect():
         if r["status"] == "FAILED":
             raise RuntimeError(f"compaction failed for {r['entity']}: {r['error']}")
         rows.append(("compaction", r["entity"], r["status"], r["rows"]))
-    expired = maintenance.purge(spark, f"{root}/raw", now or dt.datetime.now(), dry_run=True)
-    rows.append(("retention", "raw", "DRY_RUN", expired))
+    expired = maintenance.purge(spark, f"{root}/raw", now or dt.datetime.now(), dry_run=not purge)
+    rows.append(("retention", "raw", "OK" if purge else "DRY_RUN", expired))
     stamp = clock if isinstance(clock, str) else clock.isoformat()
     done = spark.createDataFrame([(stamp,)], "ts string")
     sinks.append_json(alerts.make(done, F.lit("DATA_LAKE_SUCCESS"), F.lit("data_lake"), F.lit("all_zones"),

@@ -32,7 +32,7 @@ def test_run_day_end_to_end(spark, tmp):
     rows = {(r["stage"], r["entity"]): r for r in status.collect()}
     assert rows[("build", "customers")]["rows"] == 2  # C2 is under 18
     assert rows[("build", "sales")]["rows"] == 3  # id 1 (latest copy), 3, 4
-    assert rows[("compaction", "sales")]["status"] == "OK"
+    assert rows[("compaction", "sales")]["status"] == "UNCHANGED"  # one file a day folder already
     sales = {r["id"]: r for r in readers.read_curated(spark, f"{tmp}/curated/sales", jobs.SALES_PARTITIONS).collect()}
     assert sales["1"]["amount"] == 12.0 and sales["1"]["segment"] == "PREMIUM" and sales["1"]["region"] == "IDF"
     assert sales["1"]["product"] == "LAPTOP" and sales["1"]["total_ttc"] == 14.4

@@ -180,3 +180,60 @@ def test_alert_payload_is_json(spark):
     doc = json.loads(alerts.payload(df).first()["payload"])
     assert doc == {"timestamp": "t", "type": "T", "entity": "e", "zone": "z", "severity": "INFO",
                    "message": 'say "hi"'}
+
+
+def test_the_source_is_read_once_and_a_changed_row_is_found(spark, tmp, monkeypatch):
+    small_table(spark, f"{tmp}/cur", 300)
+    layout = maintenance.Layout(["year", "month"], 2, 128)
+    reads = []
+    whole = maintenance.fingerprint
+    monkeypatch.setattr(maintenance, "fingerprint", lambda df, cols=None: reads.append(df) or whole(df, cols))
+    assert maintenance.compact(spark, f"{tmp}/cur", f"{tmp}/a", layout)["rows"] == 300
+    assert len(reads) == 1  # of the copy alone: the source's was observed by the rewrite
+    plain = maintenance.rewrite
+    def spoiled(df, *args):
+        plain(df.withColumn("amount", F.when(F.col("id") == "7", -1.0).otherwise(F.col("amount"))), *args)
+    monkeypatch.setattr(maintenance, "rewrite", spoiled)
+    for forced in (None, 2):
+        try:
+            maintenance.compact(spark, f"{tmp}/cur", f"{tmp}/b", layout, forced)
+        except RuntimeError as e:
+            assert "integrity" in str(e)
+        else:
+            raise AssertionError("a changed row went unnoticed")
+
+
+def test_an_observation_made_twice_is_settled_by_reading(spark):
+    a = spark.createDataFrame([("1", 1.0), ("2", 2.0)], "id string, v double")
+    assert maintenance.verify_same(a, a, {"rows": 4, "checksum": "1"})["same"]
+    assert not maintenance.verify_same(a, a.limit(1), {"rows": 4, "checksum": "1"})["same"]
+
+
+def test_incremental_compaction_touches_untidy_folders_only(spark, tmp):
+    layout = maintenance.Layout(["year", "month"], 2, 128)
+    cur, args = f"{tmp}/cur", (f"{tmp}/tmp", f"{tmp}/bak", layout)
+    small_table(spark, cur)
+    first = maintenance.compact_untidy(spark, cur, *args)
+    assert first["folders"] == 3 and first["rows"] == 2000 and first["files_after"] == 3 == len(parquet_files(cur))
+    kept = sorted((f, os.path.getmtime(f)) for f in parquet_files(cur))
+    again = maintenance.compact_untidy(spark, cur, *args)
+    assert again["folders"] == again["rows"] == 0 and sorted((f, os.path.getmtime(f)) for f in parquet_files(cur)) == kept
+    late = spark.createDataFrame([("late", -1.0, "2024", "02")], "id string, amount double, year string, month string")
+    late.write.mode("append").partitionBy("year", "month").parquet(cur)
+    third = maintenance.compact_untidy(spark, cur, *args)
+    assert (third["folders"], third["files_before"], third["files_after"]) == (1, 2, 1)
+    left = {f for f, _ in kept if "month=02" not in f}
+    assert left < set(parquet_files(cur)) and len(parquet_files(cur)) == 3
+    rows = readers.read_curated(spark, cur, ["year", "month"])
+    assert rows.count() == 2001 and rows.where("id = 'late' AND month = '02'").count() == 1
+
+
+def test_a_broken_off_folder_swap_is_put_back(spark, tmp):
+    layout = maintenance.Layout(["year", "month"], 2, 128)
+    small_table(spark, f"{tmp}/cur", 90)
+    os.makedirs(f"{tmp}/bak/year=2024")
+    os.rename(f"{tmp}/cur/year=2024/month=03", f"{tmp}/bak/year=2024/month=03")
+    os.makedirs(f"{tmp}/tmp/stray")
+    maintenance.compact_untidy(spark, f"{tmp}/cur", f"{tmp}/tmp", f"{tmp}/bak", layout)
+    assert readers.read_curated(spark, f"{tmp}/cur", ["year", "month"]).count() == 90
+    assert not os.path.exists(f"{tmp}/tmp")
