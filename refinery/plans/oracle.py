@@ -383,6 +383,43 @@ UNION ALL """ + " UNION ALL ".join([
     *[_count_lines("customers", "curated_customers", f"by_{c}", c) for c in ("segment", "loyalty", "age_band", "active")]]))
 
 
+# curated rows as the quality job reads them: stamps and lineage are never blank
+_STAMPS = ["source_system", "ingestion_timestamp", "file_name", "_last_transformed", "_etl_version", "_source_date"]
+_X = ", ".join(f"'x' AS {c}" for c in _STAMPS)
+_CS_COLS = ["id", "sale_date", "product", "client_id", "quantity", "segment", "region", "amount_ttc", "total", "total_ttc",
+            "year", "month", "day", "seq"]
+_CC_COLS = CUSTOMER_COLS + ["age", "age_band", "tenure_days", "loyalty", "signup_year", "signup_month"]
+add("daily_run", WITH_ALL + f""", ls AS ({LANDED_SALES}), lc AS ({LANDED_CUSTOMERS}),
+cs AS (SELECT {', '.join(_CS_COLS)}, CAST(amount AS VARCHAR) AS amount, {_X} FROM enriched_sales),
+cc AS (SELECT {', '.join(_CC_COLS)}, {_X} FROM curated_customers),
+raw_dims AS (""" + _dims_sql("sales", "ls", SALES_COLS + LINEAGE, "id", "amount") + " UNION ALL "
+    + _dims_sql("customers", "lc", CUSTOMER_COLS + LINEAGE, "id", None) + "), curated_dims AS ("
+    + _dims_sql("sales", "cs", _CS_COLS + ["amount"] + _STAMPS, "id", "amount") + " UNION ALL "
+    + _dims_sql("customers", "cc", _CC_COLS + _STAMPS, "id", None) + ")"
+    + f""" SELECT 'curated' AS what, 'sales' AS entity, id AS key, CAST(total_ttc AS VARCHAR) AS value FROM enriched_sales
+UNION ALL SELECT 'curated', 'customers', id, sha256(email) FROM curated_customers
+UNION ALL SELECT 'report', 'raw:' || entity, dimension, status FROM raw_dims
+UNION ALL SELECT 'report', 'curated:' || entity, dimension, status FROM curated_dims
+UNION ALL SELECT 'alert', 'data_lake', 'DATA_LAKE_SUCCESS', 'Pipeline completed successfully'
+UNION ALL SELECT 'raw', 'sales', {q(SOURCE_DATE)}, CAST(count(*) AS VARCHAR) FROM ls
+UNION ALL SELECT 'raw', 'customers', {q(SOURCE_DATE)}, CAST(count(*) AS VARCHAR) FROM lc""")
+
+add("compaction_incremental", WITH_CUSTOMERS + """, f AS (
+  SELECT region, segment, count(*) AS n, count(DISTINCT CAST(id AS BIGINT) % 3) AS files,
+         count(*) FILTER (WHERE loyalty = 'GOLD' AND region = 'ASIA') AS late
+  FROM curated_customers GROUP BY region, segment)
+SELECT 'first' AS run, CASE WHEN count(*) = 0 THEN 'UNCHANGED' ELSE 'OK' END AS status, CAST(count(*) AS INTEGER) AS folders,
+       CAST(coalesce(sum(files), 0) AS INTEGER) AS files_before, CAST(count(*) AS INTEGER) AS files_after,
+       CAST(coalesce(sum(n), 0) AS BIGINT) AS rows FROM f WHERE files > 1
+UNION ALL SELECT 'second', 'UNCHANGED', 0, 0, 0, 0
+UNION ALL SELECT 'third', CASE WHEN count(*) = 0 THEN 'UNCHANGED' ELSE 'OK' END, CAST(count(*) AS INTEGER),
+       CAST(2 * count(*) AS INTEGER), CAST(count(*) AS INTEGER), CAST(coalesce(sum(n + late), 0) AS BIGINT) FROM f WHERE late > 0
+UNION ALL SELECT 'left/' || region || '/' || segment, 'TABLE', NULL, NULL, NULL, n + late FROM f""")
+add("compaction_report", WITH_CUSTOMERS + """ SELECT CAST(sum(n) AS BIGINT) AS rows, CAST(sum(files) AS INTEGER) AS files_before,
+  1 AS target_files, true AS files_counted, true AS sizes_agree, true AS reduction_agrees
+FROM (SELECT count(*) AS n, count(DISTINCT CAST(id AS BIGINT) % 4) AS files FROM curated_customers GROUP BY region, segment) t""")
+
+
 def _colour(col: str) -> str:
     arms = " ".join(f"WHEN {col} = {q(k)} THEN {q(v)}" for k, v in fixed.SEVERITY_COLOURS.items())
     return f"CASE {arms} ELSE {q(fixed.SEVERITY_COLOUR_OTHER)} END"

@@ -313,7 +313,72 @@ def daily_reports(spark, sf):
 
 @register("daily_run")
 def daily_run(spark, sf):
-    root = scratch_dir(spark, "daily")
+    """What a whole day leaves behind, retention included: curated rows, the quality reports of both zones, the
+    alert, and the raw rows of each date (those of an old date, past their time, are gone)."""
+    root, old = scratch_dir(spark, "daily"), "2001-01-01"
     write_sources(samples.raw_sales(spark, sf), f"{root}/sources/sales", "sales")
     write_sources(samples.raw_customers(spark, sf), f"{root}/sources/customers", "customers")
-    return jobs.run_day(spark, root, SOURCE_DATE, CLOCK, AS_OF)
+    landing.land(spark, f"{root}/sources/customers", f"{root}/raw", "customers", old, CLOCK)
+    _age(spark, f"{root}/raw/customers/{landing.PARTITION}={old}", maintenance.fixed.RETENTION_DAYS + 1)
+    jobs.run_day(spark, root, SOURCE_DATE, CLOCK, AS_OF, purge=True)
+
+    def rows(df, what, entity, key, value):
+        return df.select(F.lit(what).alias("what"), entity.alias("entity"), key.cast("string").alias("key"),
+                         value.cast("string").alias("value"))
+
+    sales = readers.read_curated(spark, f"{root}/curated/sales", jobs.SALES_PARTITIONS)
+    customers = readers.read_curated(spark, f"{root}/curated/customers", jobs.CUSTOMERS_PARTITIONS)
+    reports = spark.read.json(f"{root}/reports").select("zone", "entity", F.explode("dimensions").alias("d"))
+    told = spark.read.schema(alerts.ALERT_SCHEMA).json(f"{root}/alerts")
+    out = rows(sales, "curated", F.lit("sales"), F.col("id"), F.col("total_ttc"))
+    out = out.unionByName(rows(customers, "curated", F.lit("customers"), F.col("id"), F.col("email")))
+    out = out.unionByName(rows(reports, "report", F.concat_ws(":", "zone", "entity"), F.col("d.dimension"), F.col("d.status")))
+    out = out.unionByName(rows(told, "alert", F.col("entity"), F.col("type"), F.col("message")))
+    for entity in ("sales", "customers"):
+        left = readers.read_raw(spark, f"{root}/raw", entity).groupBy(landing.PARTITION).agg(F.count(F.lit(1)).alias("n"))
+        out = out.unionByName(rows(left, "raw", F.lit(entity), F.col(landing.PARTITION), F.col("n")))
+    return out
+
+
+@register("compaction_incremental")
+def compaction_incremental(spark, sf):
+    """Reports of three incremental compactions (many small files; nothing new; late rows in some folders), and the rows left."""
+    root = scratch_dir(spark, "incremental")
+    path, df = f"{root}/curated/customers", curated_customers_masked(spark, sf)
+    batch = F.pmod(F.col("id").cast("bigint"), F.lit(3))
+    for b in range(3):  # one file a folder and batch
+        df.where(batch == b).coalesce(1).write.mode("append").partitionBy(*jobs.CUSTOMERS_PARTITIONS).parquet(path)
+
+    def run(name):
+        told = maintenance.compact_all(spark, f"{root}/curated", {"customers": maintenance.CUSTOMERS_LAYOUT}, incremental=True)
+        return told.select(F.lit(name).alias("run"), "status", "folders", "files_before", "files_after", "rows")
+
+    told = [run("first"), run("second")]
+    late = df.where(F.col("loyalty") == "GOLD").withColumn("id", F.concat(F.lit("late-"), "id"))
+    late.where("region = 'ASIA'").coalesce(1).write.mode("append").partitionBy(*jobs.CUSTOMERS_PARTITIONS).parquet(path)
+    told.append(run("third"))
+    left = readers.read_curated(spark, path, jobs.CUSTOMERS_PARTITIONS).groupBy("region", "segment").agg(F.count(F.lit(1)).alias("rows"))
+    none = F.lit(None).cast("int")
+    table = left.select(F.concat_ws("/", F.lit("left"), "region", "segment").alias("run"), F.lit("TABLE").alias("status"),
+                        none.alias("folders"), none.alias("files_before"), none.alias("files_after"), "rows")
+    return told[0].unionByName(told[1]).unionByName(told[2]).unionByName(table)
+
+
+@register("compaction_report")
+def compaction_report(spark, sf):
+    """The report of a whole compaction into a forced number of files, sizes judged against the folders' own listing."""
+    root = scratch_dir(spark, "report")
+    path = f"{root}/customers"
+    df = curated_customers_masked(spark, sf)
+    batch = F.pmod(F.col("id").cast("bigint"), F.lit(4))
+    for b in range(4):
+        df.where(batch == b).coalesce(1).write.mode("append").partitionBy(*jobs.CUSTOMERS_PARTITIONS).parquet(path)
+    before = maintenance.folder_sizes(spark, path).agg(F.round(F.sum("bytes") / 1024 ** 2, 2)).first()[0]
+    rep = maintenance.compact(spark, path, f"{root}/out", maintenance.CUSTOMERS_LAYOUT)
+    after = maintenance.folder_sizes(spark, f"{root}/out")
+    size, files = after.agg(F.round(F.sum("bytes") / 1024 ** 2, 2), F.sum("files")).first()
+    told = spark.createDataFrame([(rep["rows"], rep["files_before"], rep["target_files"], rep["files_after"] == files,
+                                   abs(rep["size_mb_before"] - before) < 0.1 and abs(rep["size_mb_after"] - size) < 0.1,
+                                   rep["reduction_pct"] == round(100 * (1 - rep["size_mb_after"] / rep["size_mb_before"]), 2))],
+                                 "rows long, files_before int, target_files int, files_counted boolean, sizes_agree boolean, reduction_agrees boolean")
+    return told
