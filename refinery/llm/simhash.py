@@ -46,18 +46,19 @@ def fingerprint(text: str | None, words: int = 3, seed: int = 42) -> int:
 
 
 def fingerprints(df: DataFrame, id_col: str, text_col: str, words: int = 3) -> DataFrame:
-    """``id_col`` and ``fp`` (signed long) of every whole text; a null text counts as empty, with fingerprint 0."""
-    source = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    """``id_col``, ``fp`` (signed long) and ``text_hash`` (64 bits) of every whole text; a null text counts as empty,
+    with fingerprint 0."""
+    source = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"))
 
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
                 fps = [fingerprint(t.as_py(), words) for t in part.column(1)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps, pa.int64())], ["id", "fp"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps, pa.int64()), part.column(2)], ["id", "fp", "text_hash"])
 
     kind = source.schema["id"].dataType.simpleString()
-    return source.mapInArrow(run, f"id {kind}, fp bigint").select(F.col("id").alias(id_col), "fp")
+    return source.mapInArrow(run, f"id {kind}, fp bigint, text_hash bigint").select(F.col("id").alias(id_col), "fp", "text_hash")
 
 
 def covering_masks(radius: int, kept: int = 0) -> list[int]:
@@ -131,6 +132,11 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     (null only where no member has one); repeated rows are returned as often as they occur; an empty table
     gives an empty one; other columns are ignored.
     """
+    return _labelled(df, id_col, text_col, words, radius, name).select(F.col("_id").alias(id_col), "fp", "component_id")
+
+
+def _labelled(df: DataFrame, id_col: str, text_col: str, words: int, radius: int, name: str) -> DataFrame:
+    """``_id``, ``fp``, ``text_hash``, ``root`` (a fingerprint that names the component) and ``component_id`` of every row."""
     fps = written(fingerprints(df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")),
                                "_id", "_text", words), f"{name}-fps")
     classes = written(fps.groupBy("fp").agg(F.min("_id").alias("first")), f"{name}-classes")
@@ -138,24 +144,32 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     member = written(classes.join(roots, classes["fp"] == roots["node"], "left")
                      .select("fp", "first", F.coalesce("root", "fp").alias("root")), f"{name}-members")
     lowest = written(member.groupBy("root").agg(F.min("first").alias("component_id")), f"{name}-lowest")
-    named = written(member.join(lowest, "root").select("fp", "component_id"), f"{name}-named")
-    return fps.join(named, "fp").select(F.col("_id").alias(id_col), "fp", "component_id")
+    named = written(member.join(lowest, "root").select("fp", "root", "component_id"), f"{name}-named")
+    return fps.join(named, "fp").select("_id", "fp", "text_hash", "root", "component_id")
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 2,
              name: str = "simhash") -> DataFrame:
     """The rows of ``df`` without those that another row of their component (the one of smallest id) stands for.
 
-    Repeated rows of a kept id leave one row; rows with a null id stay, as nothing could name them.  The ids to
-    go are joined to the rows; Spark broadcasts them while they are few.
+    Rows are told apart by id and 64 bits of their text's hash: of rows with the same id, one with an unrelated text
+    stays.  Several rows of a component that share its smallest id leave one, that of the smallest hash; rows with a
+    null id stay, as nothing could name them.  The rows to go are joined to the rows; Spark broadcasts them while they
+    are few.
     """
-    found = near_duplicates(df, id_col, text_col, words, radius, name).where(F.col(id_col).isNotNull())
-    found = written(found.select(F.col(id_col).alias("_gone"), "component_id"), f"{name}-found")
-    gone = written(found.where("_gone <> component_id").select("_gone").distinct(), f"{name}-gone")
-    left = df.join(gone, df[id_col] == gone["_gone"], "left_anti")
-    twice = written(found.where("_gone = component_id").groupBy("_gone").agg(F.count("*").alias("n"))
-                    .where("n > 1").select("_gone"), f"{name}-twice")
+    found = _labelled(df, id_col, text_col, words, radius, name).where(F.col("_id").isNotNull())
+    found = written(found.select("_id", F.col("text_hash").alias("_hash"), "root", "component_id"), f"{name}-found")
+    kept = (found.where("_id = component_id").groupBy("_id", "root").agg(F.count("*").alias("n"), F.min("_hash").alias("first"))
+            .where("n > 1"))
+    twice = written(found.join(kept, ["_id", "root"]).select("_id", "_hash", (F.col("_hash") == F.col("first")).alias("stays"))
+                    .distinct(), f"{name}-twice")
+    gone = found.where("_id <> component_id").select("_id", "_hash").unionByName(twice.where("NOT stays").select("_id", "_hash"))
+    gone = written(gone.distinct(), f"{name}-gone")
+    match = lambda other: (df[id_col] == other["_id"]) & (F.xxhash64(df[text_col]) == other["_hash"])
+    left = df.join(gone, match(gone), "left_anti")
     if twice.isEmpty():
         return left
-    once = left.join(twice, left[id_col] == twice["_gone"], "left_anti")
-    return once.unionByName(left.join(twice, left[id_col] == twice["_gone"], "left_semi").dropDuplicates([id_col]))
+    stays = twice.where("stays").select("_id", "_hash")
+    once = left.join(stays, match(stays), "left_anti")
+    again = left.join(stays, match(stays), "left_semi").withColumn("_text_hash", F.xxhash64(text_col))
+    return once.unionByName(again.dropDuplicates([id_col, "_text_hash"]).drop("_text_hash"))

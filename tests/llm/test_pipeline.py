@@ -90,5 +90,5 @@ def test_odd_documents_pass_the_stages(spark):
 
 
 def test_every_operator_is_registered():
-    assert importlib.util.find_spec("refinery.llm") and {int(re.match(r"op(\d+)_", q)[1]) for q in queries.QUERIES} == set(range(1, 11))
+    assert importlib.util.find_spec("refinery.llm") and {int(re.match(r"op(\d+)_", q)[1]) for q in queries.QUERIES} == set(range(1, 14))
     assert P.path("byte_bpe_50k.tiktoken")

@@ -82,6 +82,21 @@ def test_keep_one(spark):
     assert left.columns == documents(spark, rows).columns
 
 
+@pytest.mark.parametrize("rows,kept", [
+    ([(5, "aa bb cc dd"), (5, "xx yy zz ww"), (2, "xx yy zz ww")], [(5, "aa bb cc dd"), (2, "xx yy zz ww")]),
+    ([(5, "aa bb cc dd"), (5, "kk ll mm nn oo")], [(5, "aa bb cc dd"), (5, "kk ll mm nn oo")]),
+    ([(5, "aa bb cc dd"), (5, "aa bb cc dd"), (5, "kk ll mm nn oo"), (5, "kk ll mm nn oo"), (7, "kk ll mm nn oo")],
+     [(5, "aa bb cc dd"), (5, "kk ll mm nn oo")]),
+    ([(None, "aa bb cc dd"), (3, "aa bb cc dd"), (None, None)], [(None, "aa bb cc dd"), (3, "aa bb cc dd"), (None, None)])])
+def test_keep_one_judges_rows_not_ids(spark, rows, kept):
+    assert rows_of(simhash.keep_one(documents(spark, rows)), "doc_id", "text") == sorted(kept, key=repr)
+
+
+def test_keep_one_leaves_one_of_near_rows_with_one_id(spark):
+    left = simhash.keep_one(documents(spark, [(4, None), (4, ""), (4, None), (9, " ")]))
+    assert left.count() == 1 and left.first()["doc_id"] == 4
+
+
 @pytest.mark.parametrize("n", [1, 40])
 def test_connected_components_of_a_path(spark, n):
     edges = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(5000, 5000), (None, 3)], "src long, dst long")
