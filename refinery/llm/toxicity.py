@@ -23,7 +23,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-WINDOW, STRIDE = 32, 24
+#: neighbours share half a window, so any 17 words in a row lie whole in some window
+WINDOW, STRIDE = 32, 16
 HIDDEN, WORD_DIM, CHAR_DIM, ATTENTION = 8, 8, 8, 8
 CHAR_SLOTS = 4096
 #: characters of a word; text without spaces is read in pieces of so many

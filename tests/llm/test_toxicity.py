@@ -139,3 +139,49 @@ def test_reads_words_without_spaces_to_their_end():
     head = "".join(draw(40, 33))[:128]
     clean, bad = T.scores(net(), [head + "table", head + "idiotic"], {}, T.fresh_rows())
     assert bad > 0.5 > clean
+
+
+def plain_scores(model, text):
+    """One word, one window and one direction at a time, from the parameters alone."""
+    p, sig = {k: v.astype(float) for k, v in model.p.items()}, lambda x: 1 / (1 + np.exp(-x))
+
+    def vector(word):
+        w = T.bare(word)
+        i = model.vocab.get(w, 0)
+        told = ("<" + w + ">").encode()
+        slots = [int((((np.uint32(a) * np.uint32(65599) + np.uint32(b)) * np.uint32(65599) + np.uint32(c)) * np.uint32(2654435761)) >> np.uint32(20))
+                 % T.CHAR_SLOTS for a, b, c in zip(told, told[1:], told[2:])]
+        return np.concatenate([p["word"][i], p["char"][slots].sum(axis=0) / len(w.encode()), [float(model.odds[i])]])
+
+    def states(xs, side):
+        h, out = np.zeros(T.HIDDEN), []
+        for x in xs if side == "f" else xs[::-1]:
+            g, r = x @ p[f"W{side}"] + p[f"c{side}"], h @ p[f"U{side}"]
+            n = T.HIDDEN
+            z, reset = sig(g[:n] + r[:n]), sig(g[n:2 * n] + r[n:2 * n])
+            new = np.tanh(g[2 * n:] + reset * r[2 * n:])
+            h = (1 - z) * new + z * h
+            out.append(h)
+        return out if side == "f" else out[::-1]
+
+    words, best = T.words_of(text), -np.inf
+    for a in T.starts(len(words)):
+        xs, pooled = [vector(w) for w in words[a:a + T.WINDOW]], np.zeros(2 * T.HIDDEN)
+        if xs:
+            hs = np.array([np.concatenate(x) for x in zip(states(xs, "f"), states(xs, "b"))])
+            e = np.exp(np.tanh(hs @ p["att"] + p["att_b"]) @ p["att_v"])
+            pooled = (e / e.sum()) @ hs
+        best = max(best, pooled @ p["out"] + p["out_b"][0])
+    return sig(best * model.scale[0] + model.scale[1])
+
+
+def test_scores_are_those_of_a_plain_loop():
+    texts = ["", "one", "vile!", *sample(6, 700, True), *sample(6, 800, False), " ".join(draw(33, 3)), " ".join(draw(400, 4)), "été 你好 ..."]
+    with np.errstate(over="ignore"):
+        assert np.allclose(T.scores(net(), texts, {}, T.fresh_rows()), [plain_scores(net(), t) for t in texts], atol=2e-3)
+
+
+def test_a_phrase_of_half_a_window_lies_whole_in_some_window():
+    for n in (33, 48, 49, 200):
+        at = T.starts(n)
+        assert all(any(a <= i and i + 17 <= a + T.WINDOW for a in at) for i in range(n - 16))
