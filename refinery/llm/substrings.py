@@ -48,8 +48,8 @@ BLOCK = 1 << 20
 BATCH = 256
 #: stretches that a task holds before it sends them
 MOST_HELD = 40_000
-#: document id, tag of its text, number of places
-HEAD = "<qii"
+#: document id, tag of its text, number of places; the same and the place, where there is one
+HEAD, ONE = "<qii", "<qiii"
 
 
 def anchors(text: bytes, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -151,7 +151,8 @@ def _stretches(source: DataFrame, table: np.ndarray, hot: np.ndarray, length: in
                     of_doc(text, own)
                     for k, places in own.items():
                         held.setdefault(k, bytearray()).extend(
-                            struct.pack(HEAD, doc, tag, len(places)) + np.array(places, "<i4").tobytes())
+                            struct.pack(ONE, doc, tag, 1, places[0]) if len(places) == 1
+                            else struct.pack(HEAD, doc, tag, len(places)) + np.array(places, "<i4").tobytes())
                     if len(held) >= MOST_HELD:  # what a task keeps at a time is bounded, whatever the texts
                         yield packed(held)
                         held = {}
@@ -161,12 +162,20 @@ def _stretches(source: DataFrame, table: np.ndarray, hot: np.ndarray, length: in
     return source.select("doc", "tag", "text").mapInArrow(run, "shard int, off int, body binary, held binary")
 
 
-def _holders(blob: bytes) -> Iterator[tuple[int, int, np.ndarray]]:
-    at = 0
-    while at < len(blob):
-        doc, tag, n = struct.unpack_from(HEAD, blob, at)
-        yield doc, tag, np.frombuffer(blob, "<i4", n, at + struct.calcsize(HEAD))
-        at += struct.calcsize(HEAD) + 4 * n
+def _holders(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(blob, document, tag, place) of every place that the blobs name."""
+    single = np.dtype([("doc", "<i8"), ("tag", "<i4"), ("n", "<i4"), ("place", "<i4")])
+    short = np.fromiter((len(b) == single.itemsize for b in blobs), bool, len(blobs))
+    ones = np.frombuffer(b"".join(b for b in blobs if len(b) == single.itemsize), single)
+    parts = [(np.flatnonzero(short), ones["doc"], ones["tag"], ones["place"])]
+    for i in np.flatnonzero(~short).tolist():
+        at, blob = 0, blobs[i]
+        while at < len(blob):
+            doc, tag, n = struct.unpack_from(HEAD, blob, at)
+            places = np.frombuffer(blob, "<i4", n, at + struct.calcsize(HEAD))
+            parts.append((np.full(n, i), np.full(n, doc), np.full(n, tag, np.int32), places))
+            at += struct.calcsize(HEAD) + 4 * n
+    return tuple(np.concatenate(c) for c in zip(*parts))
 
 
 def least_holders(bodies: list[bytes], offs: np.ndarray, docs: np.ndarray, length: int) -> np.ndarray:
@@ -225,29 +234,33 @@ def _removed(stretches: DataFrame, length: int) -> DataFrame:
     """``doc``, ``tag`` and ``runs``: (first string, number of strings) pairs that a document loses in a shard."""
     def run(table: pa.Table) -> pa.Table:
         offs, bodies = table.column("off").to_pylist(), table.column("body").to_pylist()
-        blobs, names = table.column("held").to_pylist(), {}
-        which = [names.setdefault((b, o), len(names)) for b, o in zip(bodies, offs)]
+        names: dict[tuple[bytes, int], int] = {}
+        which = np.array([names.setdefault((b, o), len(names)) for b, o in zip(bodies, offs)])
+        blob, doc, tag, place = _holders(table.column("held").to_pylist())
+        which = which[blob]
         least = np.full(len(names), np.iinfo(np.int64).max)
-        np.minimum.at(least, which, [min(d for d, _, _ in _holders(x)) for x in blobs])
+        np.minimum.at(least, which, doc)
         found = least_holders([b for b, _ in names], np.array([o for _, o in names]), least, length)
         strings = np.array([len(b) - length + 1 for b, _ in names])
         told = np.arange(found.shape[1]) < strings[:, None]
-        low, high = found.min(axis=1), np.where(told, found, -1).max(axis=1)
-        out: dict[tuple[int, int], list[np.ndarray]] = {}
-        for c, blob in zip(which, blobs):
-            for doc, tag, places in _holders(blob):
-                if doc <= low[c]:
-                    continue
-                if doc > high[c]:
-                    runs = [(0, int(strings[c]))]
-                else:
-                    gone = np.concatenate([[0], (found[c, :strings[c]] < doc).view(np.int8), [0]])
-                    edge = np.flatnonzero(np.diff(gone))
-                    runs = [(int(a), int(b - a)) for a, b in zip(edge[::2], edge[1::2])]
-                for a, n in runs:
-                    out.setdefault((doc, tag), []).append(np.stack([places + a, np.full(len(places), n, np.int64)], 1))
-        return pa.table({"doc": pa.array([k[0] for k in out], pa.int64()), "tag": pa.array([k[1] for k in out], pa.int32()),
-                         "runs": pa.array([np.concatenate(v).astype("<i4").tobytes() for v in out.values()], pa.binary())})
+        low, high = found.min(axis=1)[which], np.where(told, found, -1).max(axis=1)[which]
+        whole = np.flatnonzero(doc > high)  # each of its strings starts in a document of smaller id
+        part = np.flatnonzero((doc > low) & (doc <= high))
+        gone = np.zeros((len(part), found.shape[1] + 2), np.int8)
+        gone[:, 1:-1] = (found[which[part]] < doc[part, None]) & told[which[part]]
+        edge = np.diff(gone, axis=1)
+        row, first = np.nonzero(edge == 1)
+        number = np.nonzero(edge == -1)[1] - first
+        holder = np.concatenate([whole, part[row]])
+        start = place[holder] + np.concatenate([np.zeros(len(whole), np.int64), first])
+        runs = np.stack([start, np.concatenate([strings[which[whole]], number])], 1).astype("<i4")
+        order = np.lexsort((tag[holder], doc[holder]))
+        holder, runs = holder[order], runs[order]
+        new = np.flatnonzero((np.diff(doc[holder], prepend=-1) != 0) | (np.diff(tag[holder], prepend=0) != 0))
+        if len(holder) and (not len(new) or new[0]):
+            new = np.concatenate([[0], new])
+        return pa.table({"doc": pa.array(doc[holder[new]], pa.int64()), "tag": pa.array(tag[holder[new]], pa.int32()),
+                         "runs": pa.array([x.tobytes() for x in np.split(runs, new[1:])] if len(new) else [], pa.binary())})
 
     return stretches.groupBy("shard").applyInArrow(run, "doc bigint, tag int, runs binary")
 
