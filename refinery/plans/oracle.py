@@ -415,6 +415,12 @@ UNION ALL SELECT 'second', 'UNCHANGED', 0, 0, 0, 0
 UNION ALL SELECT 'third', CASE WHEN count(*) = 0 THEN 'UNCHANGED' ELSE 'OK' END, CAST(count(*) AS INTEGER),
        CAST(2 * count(*) AS INTEGER), CAST(count(*) AS INTEGER), CAST(coalesce(sum(n + late), 0) AS BIGINT) FROM f WHERE late > 0
 UNION ALL SELECT 'left/' || region || '/' || segment, 'TABLE', NULL, NULL, NULL, n + late FROM f""")
+add("compaction_versions", WITH_CUSTOMERS + f", c AS ({CUSTOMERS_OUT}) SELECT *, 1 AS version FROM c UNION ALL SELECT *, 2 FROM c")
+add("alert_rerun", """SELECT CASE WHEN timestamp >= '2024-01-15' THEN 'day-2' ELSE 'day-1' END AS run, substr(timestamp, 1, 10) AS alert_date,
+  status, task_id, timestamp
+FROM (SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S') AS timestamp, 'user_' || CAST(user_id AS VARCHAR) AS task_id,
+        CASE event_type WHEN 'error' THEN 'FAIL' WHEN 'signup' THEN 'SUCCESS' ELSE 'WARNING' END AS status FROM events) e
+WHERE timestamp < '2024-01-15' OR status = 'FAIL'""")
 add("compaction_report", WITH_CUSTOMERS + """ SELECT CAST(sum(n) AS BIGINT) AS rows, CAST(sum(files) AS INTEGER) AS files_before,
   1 AS target_files, true AS files_counted, true AS sizes_agree, true AS reduction_agrees
 FROM (SELECT count(*) AS n, count(DISTINCT CAST(id AS BIGINT) % 4) AS files FROM curated_customers GROUP BY region, segment) t""")

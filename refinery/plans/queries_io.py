@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from refinery.functions import columns as fx
-from refinery.operators import alerts, maintenance, quality
+from refinery.operators import alerts, maintenance, quality, versions
 from refinery.operators.privacy import mask
 from refinery.plans import curation as cur
 from refinery.plans import jobs, samples
@@ -364,6 +364,32 @@ def compaction_incremental(spark, sf):
     return told[0].unionByName(told[1]).unionByName(told[2]).unionByName(table)
 
 
+@register("compaction_versions")
+def compaction_versions(spark, sf):
+    """A versioned table of many small files, compacted while a reader holds its first version: the rows of both."""
+    root = scratch_dir(spark, "versions") + "/customers"
+    df = curated_customers_masked(spark, sf)
+    first = versions.publish(spark, root, lambda out: df.repartition(8).write.partitionBy(*jobs.CUSTOMERS_PARTITIONS).parquet(out))
+    held = versions.read(spark, root, jobs.CUSTOMERS_PARTITIONS)
+    second = versions.compact(spark, root, maintenance.CUSTOMERS_LAYOUT)
+    now = versions.read(spark, root, jobs.CUSTOMERS_PARTITIONS)
+    return (_customers_out(held).withColumn("version", F.lit(first))
+            .unionByName(_customers_out(now).withColumn("version", F.lit(second))))
+
+
+@register("alert_rerun")
+def alert_rerun(spark, sf):
+    """The status log after a day's job ran twice, the second time with its FAIL rows alone."""
+    path = scratch_dir(spark, "alert_rerun")
+    rows = _status_rows(spark, sf)
+    late = F.col("timestamp") >= "2024-01-15"
+    sinks.write_run(rows.where(~F.coalesce(late, F.lit(False))), path, "day-1")
+    sinks.write_run(rows.where(late), path, "day-2")
+    sinks.write_run(rows.where(late & (F.col("status") == "FAIL")), path, "day-2")
+    back = spark.read.schema(alerts.STATUS_SCHEMA + ", run string, alert_date string").json(path)
+    return back.select("run", "alert_date", "status", "task_id", "timestamp")
+
+
 @register("compaction_report")
 def compaction_report(spark, sf):
     """The report of a whole compaction into a forced number of files, sizes judged against the folders' own listing."""

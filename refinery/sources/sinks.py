@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -53,3 +54,16 @@ def append_daily_log(df: DataFrame, path: str, timestamp_col: str = "timestamp")
     """Daily alert log: append partitioned by ``alert_date`` (no read-modify-write)."""
     out = df.withColumn("alert_date", F.substring(F.col(timestamp_col), 1, 10))
     append_json(out, path, ["alert_date"])
+
+
+def write_run(df: DataFrame, path: str, run: str, timestamp_col: str = "timestamp") -> None:
+    """Alert rows of one run of a job, in ``<path>/run=<run>/alert_date=<day>/``.
+
+    A run that is repeated replaces all that its earlier attempt wrote, also days that it no longer writes; other
+    runs stay.  ``run`` must be a plain name.
+    """
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", run):
+        raise ValueError(f"not a plain name: {run!r}")
+    out = df.withColumn("alert_date", F.substring(F.col(timestamp_col), 1, 10))
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("alert_date")
+        .json(f"{path.rstrip('/')}/run={run}"))
