@@ -27,7 +27,7 @@ fixed = SimpleNamespace(
     COMPLETENESS_PASS=95.0, VALIDITY_PASS=98.0, TIMELINESS_MAX_AGE_DAYS=1, TIMELINESS_LATE_SCORE=50.0,
     VALIDITY_CHECK_LABEL="montants valides et positifs", GLOBAL_CRITICAL_BELOW=70.0, GLOBAL_WARNING_BELOW=85.0,
     RECOMMENDATION_CRITICAL="❌ CRÍTICO - Investir na qualidade", RECOMMENDATION_WARNING="⚠️  A MELHORAR",
-    RECOMMENDATION_OK="✅ BOM - Pronto",
+    RECOMMENDATION_OK="✅ BOM - Pronto", RECOMMENDATION_NO_DATA="❌ NO DATA",
     SEVERITY_COLOURS={"CRITICAL": "#FF0000", "WARNING": "#FFA500", "INFO": "#0000FF"}, SEVERITY_COLOUR_OTHER="#808080",
     STATUS_COLOUR_FAIL="#FF0000", STATUS_COLOUR_OTHER="#FFA500", ALERT_MESSAGE_MAX=500)
 RE_NUM = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
@@ -180,6 +180,7 @@ add("sales_date_parts", WITH_SALES + """ SELECT id, strftime(sale_date, '%Y-%m-%
   lpad(CAST(day(sale_date) AS VARCHAR), 2, '0') AS day FROM clean_sales""")
 add("sales_enriched", WITH_BOTH + """ SELECT id, client_id, segment, region, amount, amount_ttc, total, total_ttc
 FROM enriched_sales""")
+add("sales_merge_join", WITH_BOTH + " SELECT id, client_id, segment, region, total_ttc FROM enriched_sales")
 add("hot_clients", f"""WITH c AS (SELECT coalesce(trim(client_id), {q(fixed.CLIENT_DEFAULT)}) AS client_id FROM ({RAW_SALES}) t)
 SELECT client_id, count(*) AS rows, (SELECT count(*) FROM c) AS total FROM c GROUP BY client_id
 HAVING count(*) > 0.002 * (SELECT count(*) FROM c)""")
@@ -313,6 +314,16 @@ LANDED_SALES = """SELECT NULLIF(id, '') AS id, sale_date, amount, product, clien
   'x' AS source_system, 'x' AS ingestion_timestamp, 'x' AS file_name FROM raw_sales"""
 LANDED_CUSTOMERS = "SELECT *, 'x' AS source_system, 'x' AS ingestion_timestamp, 'x' AS file_name FROM raw_customers"
 LINEAGE = ["source_system", "ingestion_timestamp", "file_name"]
+add("daily_missing_input", WITH_SALES + f", ls AS ({LANDED_SALES}), dims AS ("
+    + _dims_sql("sales", "ls", SALES_COLS + LINEAGE, "id", "amount") + ")"
+    + f""" SELECT 'raw' AS zone, 'sales' AS entity, n AS dimensions, {sround('m')} AS global_score,
+  CASE WHEN m < {fixed.GLOBAL_CRITICAL_BELOW} THEN 'CRITICAL' WHEN m < {fixed.GLOBAL_WARNING_BELOW} THEN 'WARNING'
+       ELSE 'OK' END AS global_status,
+  CASE WHEN m < {fixed.GLOBAL_CRITICAL_BELOW} THEN {q(fixed.RECOMMENDATION_CRITICAL)}
+       WHEN m < {fixed.GLOBAL_WARNING_BELOW} THEN {q(fixed.RECOMMENDATION_WARNING)}
+       ELSE {q(fixed.RECOMMENDATION_OK)} END AS recommendation
+FROM (SELECT CAST(count(*) AS INTEGER) AS n, avg(CASE WHEN score > 0 THEN CAST(score AS DOUBLE) END) AS m FROM dims) t
+UNION ALL SELECT 'raw', 'customers', 0, 0.0, 'CRITICAL', {q(fixed.RECOMMENDATION_NO_DATA)}""")
 add("daily_reports", WITH_SALES + f", raw_customers AS ({RAW_CUSTOMERS}), ls AS ({LANDED_SALES}), lc AS ({LANDED_CUSTOMERS}), dims AS ("
     + _dims_sql("sales", "ls", SALES_COLS + LINEAGE, "id", "amount") + " UNION ALL "
     + _dims_sql("customers", "lc", CUSTOMER_COLS + LINEAGE, "id", None) + ")"
@@ -333,6 +344,8 @@ add("land_roundtrip", WITH_SALES + f""" SELECT NULLIF(id, '') AS id, NULLIF(sale
   CAST(seq AS VARCHAR) AS seq, 'sales' AS source_system, {LANDED_AT} AS ingestion_timestamp,
   'sales_' || CAST(coalesce(length(amount), 0) AS VARCHAR) || '.csv' AS file_name, {q(SOURCE_DATE)} AS ingest_date
 FROM raw_sales""")
+add("land_nothing_new", WITH_SALES + """ SELECT NULLIF(id, '') AS id, NULLIF(amount, '') AS amount, CAST(seq AS VARCHAR) AS seq,
+  true AS no_op FROM raw_sales""")
 add("land_mixed_headers", """SELECT CAST(o_orderkey AS VARCHAR) AS id, printf('%.2f', o_totalprice) AS amount,
   CASE WHEN o_orderkey % 3 = 2 THEN o_orderpriority END AS note,
   CASE o_orderkey % 3 WHEN 0 THEN 'sales_a' WHEN 1 THEN 'sales_b' ELSE 'sales_c' END AS file_name FROM orders""")
@@ -356,6 +369,9 @@ CUSTOMERS_OUT = """ SELECT id, sha256(last_name) AS last_name, sha256(first_name
 for _name in ("compaction", "catalog_customers", "daily_customers"):
     add(_name, WITH_CUSTOMERS + CUSTOMERS_OUT)
 
+add("catalog_late", WITH_CUSTOMERS + CUSTOMERS_OUT.replace(
+    "region, segment FROM", "region, concat_ws('-', segment, CAST(CAST(id AS BIGINT) % 4 AS VARCHAR)) AS segment FROM")
+    + " WHERE CAST(id AS BIGINT) % 4 < 3")
 WITH_ALL = WITH_BOTH + f", curated_customers AS ({CURATED_CUSTOMERS})"
 add("compaction_swap", WITH_ALL + """ SELECT entity, id, value, 'OK' AS status, count(*) OVER (PARTITION BY entity) AS rows_checked,
   0 AS backups
@@ -458,6 +474,7 @@ FROM (SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S') AS timestamp, 'events' AS dag_id,
         CASE event_type WHEN 'error' THEN repeat(props, 70) WHEN 'signup' THEN NULL ELSE props END AS error_message,
         strftime(ts, '%Y-%m-%d') AS execution_date, CAST(event_id % 3 + 1 AS INTEGER) AS try_number,
         strftime(ts, '%Y-%m-%d') AS alert_date FROM events) e""")
-add("alert_stream", """SELECT CASE WHEN event_type = 'error' THEN 'CRITICAL' WHEN event_type = 'signup' THEN 'INFO'
+for _name in ("alert_stream", "alert_counts_stream"):
+    add(_name, """SELECT CASE WHEN event_type = 'error' THEN 'CRITICAL' WHEN event_type = 'signup' THEN 'INFO'
   ELSE 'WARNING' END AS severity, 'user_' || CAST(user_id AS VARCHAR) AS entity, count(*) AS alerts
 FROM events GROUP BY 1, 2""")

@@ -122,6 +122,13 @@ def sales_enriched(spark, sf):
                                             "amount_ttc", "total", "total_ttc")
 
 
+@register("sales_merge_join")
+def sales_merge_join(spark, sf):
+    """The enrichment with the join forced to sort and merge."""
+    clean = cur.clean_sales(samples.raw_sales(spark, sf))
+    return cur.enrich_sales(clean, customer_dim(spark, sf), strategy="merge").select("id", "client_id", "segment", "region", "total_ttc")
+
+
 @register("hot_clients")
 def hot_clients(spark, sf):
     """Clients with over 0.2 % of the sales: sketches of each order priority's sales, merged, then exact counts."""

@@ -164,6 +164,26 @@ def catalog_customers(spark, sf):
     return _customers_out(_registered(spark, "customers", curated_customers_masked(spark, sf), jobs.CUSTOMERS_PARTITIONS))
 
 
+@register("catalog_late")
+def catalog_late(spark, sf):
+    """A registered table after late batches: one written through it (twice), one beside it and added by name, and one
+    beside it that nobody added and that stays unseen, because nothing is listed again."""
+    root = scratch_dir(spark, "late")
+    path, keys = f"{root}/customers", jobs.CUSTOMERS_PARTITIONS
+    df = curated_customers_masked(spark, sf).withColumn("batch", F.pmod(F.col("id").cast("bigint"), F.lit(4)))
+    batch = lambda b: df.where(F.col("batch") == b).withColumn(
+        "segment", F.concat_ws("-", "segment", F.col("batch").cast("string"))).drop("batch")
+    sinks.write_curated(batch(0), path, keys)
+    catalog.ensure_database(spark, "refinery_lake", "curated zone", f"{root}/refinery_lake.db")
+    catalog.register(spark, "refinery_lake", "customers_late", batch(0), keys, path)
+    for _ in range(2):
+        catalog.insert(batch(1), "refinery_lake", "customers_late")
+    for b in (2, 3):
+        sinks.write_curated(batch(b), path, keys)
+    catalog.add_partitions(spark, "refinery_lake", "customers_late", batch(2))
+    return _customers_out(spark.table("refinery_lake.customers_late"))
+
+
 @register("compaction")
 def compaction(spark, sf):
     root = scratch_dir(spark, "compaction")
@@ -269,6 +289,19 @@ def alert_stream(spark, sf):
     return alerts.counts(spark.read.parquet(f"{root}/table"))
 
 
+@register("alert_counts_stream")
+def alert_counts_stream(spark, sf):
+    """Running alert counts after two deliveries of files and a third run that finds none."""
+    root = scratch_dir(spark, "alert_counts")
+    rows = event_alerts(spark, sf)
+    late = F.col("timestamp") >= "2024-01-15"
+    for part in (rows.where(~F.coalesce(late, F.lit(False))), rows.where(late), None):
+        if part is not None:
+            sinks.append_json(part, f"{root}/incoming")
+        alert_feed.count_stream(spark, f"{root}/incoming", f"{root}/totals", f"{root}/checkpoint", max_files_per_trigger=4)
+    return alert_feed.running_counts(spark, f"{root}/totals")
+
+
 def _landed(spark, sf) -> str:
     """A root with both entities landed."""
     root = scratch_dir(spark, "daily")
@@ -311,6 +344,33 @@ def daily_reports(spark, sf):
         "zone", "entity", "run_date", "global_score", F.col("d.dimension").alias("dimension"), F.col("d.status").alias("status"))
 
 
+@register("daily_missing_input")
+def daily_missing_input(spark, sf):
+    """Reports of a day on which only the sales have landed: the customers' has no dimension, score 0 and is critical."""
+    root = scratch_dir(spark, "missing")
+    write_sources(samples.raw_sales(spark, sf), f"{root}/sources", "sales")
+    landing.land(spark, f"{root}/sources", f"{root}/raw", "sales", SOURCE_DATE, CLOCK)
+    for entity in ("sales", "customers"):
+        jobs.check_quality(spark, root, "raw", entity, SOURCE_DATE, AS_OF, CLOCK)
+    found = spark.read.json(f"{root}/reports")
+    given = F.col("global_assessment")
+    return found.select("zone", "entity", F.size("dimensions").alias("dimensions"), given["global_score"].alias("global_score"),
+                        given["global_status"].alias("global_status"), given["recommendation"].alias("recommendation"))
+
+
+@register("land_nothing_new")
+def land_nothing_new(spark, sf):
+    """The raw zone after a second landing found no file of the entity: the rows of the first are all there."""
+    root = scratch_dir(spark, "nothing")
+    raw = samples.raw_sales(spark, sf)
+    write_sources(raw, f"{root}/first", "sales")
+    write_sources(raw, f"{root}/second", "sales_enrichi")
+    landing.land(spark, f"{root}/first", f"{root}/raw", "sales", SOURCE_DATE, CLOCK)
+    again = landing.land(spark, f"{root}/second", f"{root}/raw", "sales", SOURCE_DATE, CLOCK)
+    back = readers.read_raw(spark, f"{root}/raw", "sales", SOURCE_DATE)
+    return back.select("id", "amount", "seq", F.lit(again is None).alias("no_op"))
+
+
 @register("daily_run")
 def daily_run(spark, sf):
     """What a whole day leaves behind, retention included: curated rows, the quality reports of both zones, the
