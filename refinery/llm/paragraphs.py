@@ -25,6 +25,7 @@ from bisect import bisect_left, bisect_right
 from collections import Counter
 from functools import lru_cache
 from itertools import accumulate
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +37,10 @@ from refinery.llm.common import connected_components, written
 
 SHINGLE = 5
 LEAST_WORDS = 8
-#: members of a bucket that one row may hold; larger buckets are compared block by block
+#: members of a bucket that one row may hold; larger buckets are split by rare shingles, then into blocks
 BUCKET = 256
+#: deals of a bucket that can't be split further
+TURNS = 3
 #: words of 64 bits in the filter: at most 2^20 (8 MB), whatever the input
 MOST_WORDS = 1 << 20
 #: any passage of so many words holds a whole window of so many
@@ -232,10 +235,60 @@ def shingles(body: str) -> frozenset[str]:
     return frozenset(" ".join(ws[i:i + SHINGLE]) for i in range(max(1, len(ws) - SHINGLE + 1)))
 
 
-def _forest(members: list[tuple[int, str]], threshold: float, side: list[int]) -> list[tuple[int, int]]:
-    """Links that connect the members of one bucket; members of one side of a block pair were compared elsewhere."""
+def _own_shingles(key: int, body: str, memory: dict[str, int]) -> np.ndarray:
+    """Distinct hashes of a paragraph's shingles, each mixed with the key of the bucket it is looked at in."""
+    flat = _hashes(body.split(" "), memory)
+    mixed = flat[:max(1, len(flat) - SHINGLE + 1)].copy()
+    for i in range(1, min(SHINGLE, len(flat))):
+        mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + flat[i:len(mixed) + i]
+    return _mix(np.unique(mixed), np.uint64(key % (1 << 64)))
+
+
+def rare_prefixes(hot: DataFrame, threshold: float, name: str) -> DataFrame:
+    """``key``, ``uid``: hot buckets (``key``, ``uid``, ``body``) split by the rarest shingles of their members.
+
+    Two sets of Jaccard similarity t or more that are read in one common order share one of their first
+    n - ceil(t n) + 1 members, n being either's size; so each paragraph is dealt to that many of its shingles, and no
+    link is lost.  The order puts shingles that over ``BUCKET`` members of a bucket hold last, so paragraphs around
+    one template part.  Which those are comes from a filter of bounded size; what it passes wrongly is passed for all
+    members alike, so the order stays common.
+    """
+    def shingled(batches):
+        memory: dict[str, int] = {}
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                found = [_own_shingles(k, b, memory) for k, b in zip(part.column(0).to_pylist(), part.column(2).to_pylist())]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["key"])
+
+    hot = hot.select("key", "uid", "body")
+    common = written(hot.mapInArrow(shingled, "key bigint").groupBy("key").agg(F.count("*").alias("n"))
+                     .where(F.col("n") > BUCKET).select("key"), f"{name}-common")
+    sent = hot.sparkSession.sparkContext.broadcast(bits.build(common, MOST_WORDS))
+
+    def dealt(batches):
+        memory: dict[str, int] = {}
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                keys, uids = [], []
+                for k, uid, body in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns)):
+                    own = _own_shingles(k, body, memory)
+                    last = bits.passes(sent.value, own.view(np.int64))
+                    first = own[np.lexsort((own, last))][:len(own) - ceil(threshold * len(own) - 1e-9) + 1]
+                    keys.append(first)
+                    uids += [uid] * len(first)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(uids, pa.int64())],
+                                                 ["key", "uid"])
+
+    return hot.mapInArrow(dealt, "key bigint, uid bigint")
+
+
+def _forest(members: list[tuple[int, str]], threshold: float, side: list[int], known: list[int]) -> list[tuple[int, int]]:
+    """Links that connect the members of one bucket; members of one side of a block pair were compared elsewhere, and
+    those of one known component need no further link."""
     sets = [shingles(b) for _, b in members]
-    root = list(range(len(members)))
+    heads: dict[int, int] = {}
+    root = [heads.setdefault(k, i) for i, k in enumerate(known)]
 
     def find(i: int) -> int:
         while root[i] != i:
@@ -257,32 +310,63 @@ def _forest(members: list[tuple[int, str]], threshold: float, side: list[int]) -
     return edges
 
 
-def links(variants: DataFrame, threshold: float, name: str) -> DataFrame:
-    """``src``, ``dst`` between distinct paragraphs (``uid``, ``body``, ``keys``) that share a key and are similar.
-
-    A bucket of more than ``BUCKET`` members is dealt into blocks; every pair of blocks meets in a row of its
-    own, so each pair of members is compared once and no row holds more than two blocks.
-    """
-    rows = variants.select(F.explode("keys").alias("key"), "uid", "body")
-    sizes = written(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), f"{name}-sizes")
-    rows = rows.join(sizes, "key").withColumn("blocks", F.ceil(F.col("n") / BUCKET).cast("int"))
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int"))
-    meets = rows.select("key", "uid", "body", "blocks", "own",
-                        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    meets = written(meets.select("key", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"),
-                                 F.struct("uid", "body", "own").alias("one")), f"{name}-meets")
-    buckets = meets.groupBy("key", "a", "b").agg(F.collect_list("one").alias("all")).select("a", "b", "all")
+def _compared(rows: DataFrame, by: list[str], threshold: float) -> DataFrame:
+    """``src``, ``dst`` of the links in each group of ``rows`` (``uid``, ``body``, ``side``, ``root`` and the group's columns)."""
+    groups = rows.groupBy(*by).agg(F.collect_list(F.struct("uid", "body", "side", "root")).alias("all")).select("all")
 
     def run(batches):
         for batch in batches:
             found = []
-            for a, b, members in zip(*(c.to_pylist() for c in batch.columns)):
-                side = [m["own"] if a != b else -1 for m in members]
-                found += _forest([(m["uid"], m["body"]) for m in members], threshold, side)
+            for members in batch.column(0).to_pylist():
+                found += _forest([(m["uid"], m["body"]) for m in members], threshold, [m["side"] for m in members],
+                                 [m["root"] for m in members])
             yield pa.RecordBatch.from_arrays([pa.array([e[0] for e in found], pa.int64()),
                                               pa.array([e[1] for e in found], pa.int64())], ["src", "dst"])
 
-    return buckets.mapInArrow(run, "src bigint, dst bigint").distinct()
+    return groups.mapInArrow(run, "src bigint, dst bigint").distinct()
+
+
+def _shared_keys(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` whose ``key`` others have too, with the number ``n`` of its rows."""
+    return rows.join(written(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), name), "key")
+
+
+def links(variants: DataFrame, threshold: float, name: str) -> DataFrame:
+    """``src``, ``dst``: links that connect the distinct paragraphs (``uid``, ``body``, ``keys``) that share a key and are similar.
+
+    Buckets of at most ``BUCKET`` members are compared as they are.  Larger ones are split by their members' rarest
+    shingles (:func:`rare_prefixes`), which loses no link.  What is still larger is a crowd of much the same text: it is
+    dealt into blocks, ``TURNS`` times anew, each block is compared, and buckets whose members the links found so
+    far connect are done.  In any that are left every pair of blocks meets in a row of its own, but for members known
+    to be connected; so the result is whole, and no row holds more than two blocks.
+    """
+    one = [F.lit(-1).alias("side"), F.col("uid").alias("root")]
+    rows = _shared_keys(variants.select(F.explode("keys").alias("key"), "uid", "body"), f"{name}-sizes")
+    found = written(_compared(rows.where(F.col("n") <= BUCKET).select("key", "uid", "body", *one), ["key"], threshold), f"{name}-links")
+    hot = written(rows.where(F.col("n") > BUCKET).select("key", "uid", "body"), f"{name}-hot")
+    if hot.isEmpty():
+        return found
+    fine = written(rare_prefixes(hot, threshold, name), f"{name}-fine")
+    fine = written(_shared_keys(fine, f"{name}-fine-sizes").join(variants.select("uid", "body"), "uid"), f"{name}-split")
+    more = _compared(fine.where(F.col("n") <= BUCKET).select("key", "uid", "body", *one), ["key"], threshold)
+    found = written(found.union(more), f"{name}-links")
+    crowd = fine.where(F.col("n") > BUCKET).withColumn("blocks", F.ceil(F.col("n") / BUCKET).cast("int")).withColumn("root", F.col("uid"))
+    for turn in range(TURNS):
+        if crowd.isEmpty():
+            return found
+        block = F.pmod(F.xxhash64("uid", F.lit(turn)), F.col("blocks")).alias("block")
+        more = _compared(crowd.select("key", block, "uid", "body", "root", F.lit(-1).alias("side")), ["key", "block"], threshold)
+        found = written(found.union(more), f"{name}-links")
+        roots = connected_components(found, f"{name}-turn")
+        crowd = crowd.drop("root").join(roots.withColumnRenamed("node", "uid"), "uid", "left").withColumn("root", F.coalesce("root", "uid"))
+        crowd = written(crowd, f"{name}-crowd")
+        apart = crowd.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most")
+        crowd = written(crowd.join(apart.select("key"), "key", "left_semi"), f"{name}-apart")
+    own = F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int")
+    meets = crowd.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    meets = meets.select("key", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "uid", "body", "root",
+                         F.when(F.col("own") == F.col("other"), -1).otherwise(F.col("own")).alias("side"))
+    return written(found.union(_compared(meets, ["key", "a", "b"], threshold)), f"{name}-links")
 
 
 def duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8,

@@ -97,3 +97,52 @@ def test_short_lines_and_tails_are_compared(spark):
     for _, text in rows + table():
         pieces = [" ".join(p).replace(P.GLUE, " ") for p in P.split(text or "") if len(p) > 1 or p[0].count(P.GLUE) < P.LEAST_WORDS]
         assert sorted(" ".join(pieces).split()) == sorted((text or "").lower().split())
+
+
+def bodies(spark, rows):
+    """Variants (uid, body, keys) that all share one key."""
+    return spark.createDataFrame([(i, b, [77]) for i, b in enumerate(rows)], "uid long, body string, keys array<long>")
+
+
+def test_paragraphs_around_one_template_part(spark):
+    template = " ".join(words(12, 50, 9000))
+    own = lambda i, at: " ".join(f"w{i}x{j}" for j in range(at, at + 8))
+    rows = [f"{own(i, 0)} {template} {own(i, 8)}" for i in range(1200)]
+    rows[7] = rows[1100] + " more"
+    hot = bodies(spark, rows).selectExpr("77L AS key", "uid", "body")
+    meeting = P.rare_prefixes(hot, 0.8, "t").groupBy("key").count().where("count > 1").collect()
+    assert sum(r["count"] for r in meeting) <= 20  # 1,200 members share a key; those that still meet are the two alike
+    assert [(r["src"], r["dst"]) for r in P.links(bodies(spark, rows), 0.8, "t").collect()] in ([(7, 1100)], [(1100, 7)])
+
+
+def test_crowds_are_linked_whole(spark, monkeypatch):
+    def classes(edges, n):
+        label = list(range(n))
+        for a, b in edges:
+            old, new = label[a], label[b]
+            label = [new if x == old else x for x in label]
+        return sorted(sorted(i for i in range(n) if label[i] == x) for x in set(label))
+
+    base, other = words(60, 70, 9000), words(60, 71, 9000)
+    rows = [" ".join(base[:i % 58] + [f"edit{i}"] + base[i % 58 + 1:]) for i in range(90)]  # linked only where edits are near
+    rows += [" ".join(base[:30] + other[30 + i % 9:]) for i in range(30)] + [" ".join(base[:45] + other[45:58]), " ".join(base)]
+    sets = [P.shingles(r) for r in rows]
+    alike = [(i, j) for i in range(len(rows)) for j in range(i)
+             if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    for bucket, turns in ((4, 3), (4, 1), (7, 0), (256, 3)):
+        monkeypatch.setattr(P, "BUCKET", bucket)
+        monkeypatch.setattr(P, "TURNS", turns)
+        got = [(r["src"], r["dst"]) for r in P.links(bodies(spark, rows), 0.8, "t").collect()]
+        assert classes(got, len(rows)) == classes(alike, len(rows))
+        assert {tuple(sorted(g)) for g in got} <= {tuple(sorted(a)) for a in alike}
+
+
+def test_recall_of_the_registered_setting(spark):
+    rows, n = [], 300
+    for i in range(n):
+        ws = [f"w{i}x{j}" for j in range(60)]
+        rows += [(2 * i, " ".join(ws).capitalize() + "."), (2 * i + 1, " ".join(ws[:29] + [f"edit{i}"] + ws[30:]).capitalize() + ".")]
+    sets = [P.shingles(" ".join(P.split(t)[0])) for _, t in rows[:2]]
+    assert 0.8 <= len(sets[0] & sets[1]) / len(sets[0] | sets[1]) < 0.85
+    got = P.duplicates(documents(spark, rows)).where("paragraph = 0 and removed").count()
+    assert got >= 0.97 * n
