@@ -215,17 +215,18 @@ def _passing(source: DataFrame, table: np.ndarray, bands: int, rows: int, least:
                 words, flat, spans, exact, hashes = units(part.column(1).to_pylist(), least, memory)
                 keys = band_keys(flat, spans, bands, rows)
                 ok = [*bits.passes(sent.value, keys).any(axis=1).tolist(), *bits.passes(sent.value, hashes.view(np.int64)).tolist()]
-                numbers, out = Counter(), []
+                numbers, out = Counter(), [[] for _ in MEMBER]
                 for n, (i, a, b) in enumerate(spans + exact):
                     no, numbers[i] = numbers[i], numbers[i] + 1
                     if not ok[n]:
                         continue
                     similar = n < len(spans)
                     body = (" " if similar else GLUE).join(words[a:b])
-                    uid = xxhash.xxh3_64_intdigest(body)
-                    out.append({"doc": docs[i], "no": no, "words": b - a, "uid": uid - (1 << 64) if uid >> 63 else uid,
-                                "body": body if similar else None, "keys": keys[n].tolist() if similar else None})
-                yield pa.RecordBatch.from_pylist(out, MEMBER)
+                    one = (docs[i], no, b - a, xxhash.xxh3_64_intdigest(body), body if similar else None, keys[n].tolist() if similar else None)
+                    for column, x in zip(out, one):
+                        column.append(x)
+                out[3] = np.array(out[3], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(out, MEMBER)], schema=MEMBER)
 
     return source.mapInArrow(run, "doc bigint, no int, words int, uid bigint, body string, keys array<bigint>")
 
@@ -250,19 +251,19 @@ def rare_prefixes(hot: DataFrame, threshold: float, name: str) -> DataFrame:
     Two sets of Jaccard similarity t or more that are read in one common order share one of their first
     n - ceil(t n) + 1 members, n being either's size; so each paragraph is dealt to that many of its shingles, and no
     link is lost.  The order puts shingles that over ``BUCKET`` members of a bucket hold last, so paragraphs around
-    one template part.  Which those are comes from a filter of bounded size; what it passes wrongly is passed for all
-    members alike, so the order stays common.
+    one template part.  Which those are is an estimate (each batch tells the shingles that it holds twice or more; a
+    filter of bounded size keeps the frequent ones), but the same one for all members, so the order is common.
     """
     def shingled(batches):
         memory: dict[str, int] = {}
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                found = [_own_shingles(k, b, memory) for k, b in zip(part.column(0).to_pylist(), part.column(2).to_pylist())]
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["key"])
+            found = [_own_shingles(k, b, memory) for k, b in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())]
+            if found:
+                keys, n = np.unique(np.concatenate(found), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(keys[n > 1].view(np.int64)), pa.array(n[n > 1])], ["key", "n"])
 
     hot = hot.select("key", "uid", "body")
-    common = written(hot.mapInArrow(shingled, "key bigint").groupBy("key").agg(F.count("*").alias("n"))
+    common = written(hot.mapInArrow(shingled, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
                      .where(F.col("n") > BUCKET).select("key"), f"{name}-common")
     sent = hot.sparkSession.sparkContext.broadcast(bits.build(common, MOST_WORDS))
 
@@ -336,8 +337,8 @@ def links(variants: DataFrame, threshold: float, name: str) -> DataFrame:
 
     Buckets of at most ``BUCKET`` members are compared as they are.  Larger ones are split by their members' rarest
     shingles (:func:`rare_prefixes`), which loses no link.  What is still larger is a crowd of much the same text: it is
-    dealt into blocks, ``TURNS`` times anew, each block is compared, and buckets whose members the links found so
-    far connect are done.  In any that are left every pair of blocks meets in a row of its own, but for members known
+    dealt into blocks ``TURNS`` times, each block is compared, and buckets whose members these links connect are
+    done.  In any that are left every pair of blocks meets in a row of its own, but for members known
     to be connected; so the result is whole, and no row holds more than two blocks.
     """
     one = [F.lit(-1).alias("side"), F.col("uid").alias("root")]
@@ -351,17 +352,17 @@ def links(variants: DataFrame, threshold: float, name: str) -> DataFrame:
     more = _compared(fine.where(F.col("n") <= BUCKET).select("key", "uid", "body", *one), ["key"], threshold)
     found = written(found.union(more), f"{name}-links")
     crowd = fine.where(F.col("n") > BUCKET).withColumn("blocks", F.ceil(F.col("n") / BUCKET).cast("int")).withColumn("root", F.col("uid"))
-    for turn in range(TURNS):
-        if crowd.isEmpty():
-            return found
-        block = F.pmod(F.xxhash64("uid", F.lit(turn)), F.col("blocks")).alias("block")
-        more = _compared(crowd.select("key", block, "uid", "body", "root", F.lit(-1).alias("side")), ["key", "block"], threshold)
-        found = written(found.union(more), f"{name}-links")
-        roots = connected_components(found, f"{name}-turn")
-        crowd = crowd.drop("root").join(roots.withColumnRenamed("node", "uid"), "uid", "left").withColumn("root", F.coalesce("root", "uid"))
-        crowd = written(crowd, f"{name}-crowd")
+    if TURNS and not crowd.isEmpty():
+        deal = F.explode(F.sequence(F.lit(1), F.lit(TURNS))).alias("turn")
+        deals = crowd.select("*", deal, F.lit(-1).alias("side")).withColumn(
+            "block", F.pmod(F.xxhash64("uid", "turn"), F.col("blocks")))
+        found = written(found.union(_compared(deals, ["key", "turn", "block"], threshold)), f"{name}-links")
+        roots = connected_components(found, f"{name}-turn").withColumnRenamed("node", "uid")
+        crowd = written(crowd.drop("root").join(roots, "uid", "left").withColumn("root", F.coalesce("root", "uid")), f"{name}-crowd")
         apart = crowd.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most")
         crowd = written(crowd.join(apart.select("key"), "key", "left_semi"), f"{name}-apart")
+    if crowd.isEmpty():
+        return found
     own = F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int")
     meets = crowd.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     meets = meets.select("key", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "uid", "body", "root",
