@@ -107,7 +107,12 @@ def _windows(flat: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     first = np.arange(len(flat) - PASSAGE + 1)
     inside = first + PASSAGE <= ends[np.searchsorted(ends, first, "right")]
     near = np.lib.stride_tricks.sliding_window_view(whole, PASSAGE - WINDOW + 1)
-    at = np.unique((first + near.argmin(axis=1))[inside])
+    low = _lowest(whole, PASSAGE - WINDOW + 1)
+    # the choice moves only where the lowest hash changes, the chosen window has been left, or another text begins
+    moves = np.ones(len(first), bool)
+    moves[1:] = (low[1:] != low[:-1]) | (whole[:len(low) - 1] == low[:-1]) | ~inside[:-1]
+    first = np.flatnonzero(moves & inside)
+    at = np.unique(first + near[first].argmin(axis=1))
     last: dict[int, int] = {}
     keep = []
     for i, (p, h) in enumerate(zip(at.tolist(), whole[at].tolist())):
@@ -117,6 +122,18 @@ def _windows(flat: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at[keep], whole[at[keep]]
 
 
+def _lowest(values: np.ndarray, width: int) -> np.ndarray:
+    """Minimum of every ``width`` consecutive values, by spans of doubled length."""
+    low, done, power = None, 0, values
+    for bit in range(width.bit_length()):
+        if width >> bit & 1:
+            n = len(values) - (done + (1 << bit)) + 1
+            low = power[:n] if low is None else np.minimum(low[:n], power[done:done + n])
+            done += 1 << bit
+        power = np.minimum(power[:-(1 << bit)], power[1 << bit:])
+    return low
+
+
 def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     h = (a ^ (a >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + b
     return (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
