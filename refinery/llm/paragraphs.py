@@ -40,7 +40,7 @@ LEAST_WORDS = 8
 #: members of a bucket that one row may hold; larger buckets are split by rare shingles, then into blocks
 BUCKET = 256
 #: deals of a bucket that can't be split further
-TURNS = 3
+TURNS = 2
 #: words of 64 bits in the filter: at most 2^20 (8 MB), whatever the input
 MOST_WORDS = 1 << 20
 #: any passage of so many words holds a whole window of so many
