@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import re._constants as tok
 import re._parser as parser
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from itertools import product
 
@@ -151,22 +151,46 @@ def candidates(spark: SparkSession, texts: DataFrame, rules: Sequence[Rule]) ->
 SPANS = "array<struct<start:int,kind:int,end:int>>"
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _blocks(items: Column) -> Column:
+    """An array in consecutive blocks of about the square root of its size (one empty block for an empty array)."""
+    n = F.size(items)
+    width = F.greatest(F.ceil(F.sqrt(n)).cast("int"), F.lit(1))
+    return F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)), width), lambda i: F.slice(items, i + 1, width))
+
+
 def _spans(rule: Rule, number: int) -> Column:
-    """Spans of one rule in ``__text``: from the lengths of the matches and of what lies between them."""
+    """Spans of one rule in ``__text``: from the lengths of the matches and of what lies between them.
+
+    A fold that appends copies what it holds at every step, so it runs block by block: n matches cost n times the
+    square root of n copies, not n squared.
+    """
     between, match = F.split(F.col("__text"), rule.pattern, -1), F.regexp_extract_all("__text", F.lit(rule.pattern), F.lit(0))
-    value = F.regexp_extract_all("__text", F.lit(rule.pattern), F.lit(rule.group))
-    steps = F.zip_with(F.zip_with(F.slice(between, 1, F.size(match)), match, lambda gap, one: F.struct(
-        F.char_length(gap).alias("gap"), F.char_length(one).alias("len"))), value,
-        lambda x, v: F.struct(x["gap"].alias("gap"), x["len"].alias("len"), F.char_length(v).alias("val")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("out"))
+    steps = F.zip_with(between, match, lambda gap, one: F.struct(  # the last gap has no match
+        F.char_length(gap).alias("gap"), F.char_length(one).alias("len"), F.char_length(one).alias("val")))
+    if rule.group:
+        value = F.regexp_extract_all("__text", F.lit(rule.pattern), F.lit(rule.group))
+        steps = F.zip_with(steps, value, lambda x, v: F.struct(
+            x["gap"].alias("gap"), x["len"].alias("len"), F.char_length(v).alias("val")))
+    none = F.array().cast(SPANS)
 
     def step(acc, x):
         end = (acc["at"] + x["gap"] + x["len"]).cast("int")
         one = F.array(F.struct((acc["at"] + x["gap"]).cast("int").alias("start"), F.lit(number).alias("kind"), end.alias("end")))
         return F.struct(end.alias("at"), F.when(x["val"] >= rule.least, F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
 
-    return F.when(F.col("__text").rlike(rule.pattern), F.aggregate(steps, start, step, lambda acc: acc["out"])
-                  ).otherwise(F.array().cast(SPANS))
+    def block(acc, xs):
+        return F.aggregate(xs, F.struct(acc["at"].alias("at"), none.alias("out")), step, lambda r: F.struct(
+            r["at"].alias("at"), F.concat(acc["out"], F.array(r["out"])).alias("out")))
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPANS}>").alias("out"))
+    found = _let(F.filter(steps, lambda x: x["len"].isNotNull()),
+                 lambda xs: F.aggregate(_blocks(xs), start, block, lambda acc: F.flatten(acc["out"])))
+    return F.when(F.col("__text").rlike(rule.pattern), found).otherwise(none)
 
 
 def scan(df: DataFrame, text_col: str = "text", rules: Sequence[Rule] = BASE + FURTHER) -> DataFrame:
@@ -194,14 +218,27 @@ def scan(df: DataFrame, text_col: str = "text", rules: Sequence[Rule] = BASE + F
 
 
 def redact(text: Column, found: Column, mark: str = "[SECRET]") -> Column:
-    """``text`` with every run of overlapping spans replaced by ``mark``."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    """``text`` with every run of overlapping spans replaced by ``mark``.
 
-    def step(acc, x):
-        cut = F.concat(acc["out"], F.substring(text, acc["at"] + 1, x["start"] - acc["at"]), F.lit(mark))
-        return F.struct(F.greatest(acc["at"], x["end"]).alias("at"),
-                        F.when(x["start"] >= acc["at"], cut).otherwise(acc["out"]).alias("out"))
+    Spans are taken in blocks, each with the stretch of text that it covers: cutting from a string walks to the place,
+    and appending copies, so both stay within a block.
+    """
+    def block(acc, xs):
+        base = acc["at"]
+        far = F.greatest(base, F.array_max(F.transform(xs, lambda x: x["end"])))
+
+        def cut(part):
+            def step(r, x):
+                gap = F.concat(r["out"], F.substring(part, r["at"] - base + 1, x["start"] - r["at"]), F.lit(mark))
+                return F.struct(F.greatest(r["at"], x["end"]).alias("at"),
+                                F.when(x["start"] >= r["at"], gap).otherwise(r["out"]).alias("out"))
+
+            return F.aggregate(xs, F.struct(base.alias("at"), F.lit("").alias("out")), step, lambda r: F.struct(
+                r["at"].alias("at"), F.concat(acc["out"], F.array(r["out"])).alias("out")))
+
+        return _let(F.substring(text, base + 1, far - base), cut)
 
-    whole = F.aggregate(found, start, step, lambda acc: F.concat(
-        acc["out"], F.substring(text, acc["at"] + 1, F.char_length(text))))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    whole = F.aggregate(_blocks(found), start, block, lambda acc: F.concat(
+        F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.char_length(text))))
     return F.when(F.size(found) > 0, whole).otherwise(text)

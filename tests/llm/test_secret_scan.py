@@ -1,6 +1,7 @@
 import re
 
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from refinery.llm import secret_scan as S
 from tests.llm.helpers import documents, empty, rows_of, words
@@ -41,6 +42,20 @@ def test_redaction(spark):
     assert rows_of(got, "doc_id", "t") == [(1, "a [SECRET] b"), (2, "[SECRET]!"), (3, "none"), (4, None), (5, "[SECRET]")]
 
 
+def test_many_matches_in_one_text(spark):
+    many = "\u00e9 ".join(f"token={i:07d} " + "f" * (20 + i % 9) for i in range(20000))
+    rows = [(i, " ".join(f"secret:abcdef{'!' * j}" for j in range(i))) for i in range(12)] + [(99, many)]
+    found = S.scan(documents(spark, rows)).withColumn("t", S.redact(F.col("text"), F.col("found")))
+    for r in found.collect():
+        assert [tuple(x) for x in r["found"]] == spans(r["text"])
+        out, at = [], 0
+        for a, _, b in spans(r["text"]):
+            if a >= at:
+                out += [r["text"][at:a], "[SECRET]"]
+            at = max(at, b)
+        assert r["t"] == "".join(out) + r["text"][at:]
+
+
 def test_rules_of_one_sort_only(spark):
     rows = documents(spark, [(1, "f" * 30), (2, "AKIA" + "B" * 16)])
     for rules in (S.BASE[2:], S.BASE[1:2]):
