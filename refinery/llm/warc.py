@@ -16,11 +16,11 @@ import uuid
 import zlib
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, functions as F
 
 from refinery.llm.common import written
 from refinery.session import scratch_dir
+from refinery.sources.files import open_path
 
 CHUNK = 1 << 20
 #: an archive is closed after the record that takes it over this size
@@ -64,11 +64,6 @@ def chunk_table(records: DataFrame, chunk: int = CHUNK) -> DataFrame:
                     F.substring("body", F.col("chunk_no") * chunk + 1, F.lit(chunk)).alias("chunk")))
 
 
-def _open(root: str):
-    """(file system, folder) of a path as Spark writes it."""
-    return pafs.FileSystem.from_uri("file://" + root[5:] if root.startswith("file:/") and root[5:7] != "//" else root)
-
-
 def _head(row: dict) -> bytes:
     http = (f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {row['payload_bytes']}\r\n\r\n")
     body = row["payload_bytes"] if row["record_type"] == "response" else 0
@@ -83,14 +78,15 @@ def _head(row: dict) -> bytes:
 
 
 def write(records: DataFrame, archive_bytes: int = ARCHIVE_BYTES, chunk: int = CHUNK) -> DataFrame:
-    """Write the records of :func:`plan`; returns the manifest (``file``, ``records``), itself a written table.
+    """Write the records of :func:`plan`; returns the manifest, itself a written table.
 
-    Archives are ``.warc.gz`` with one gzip member per record.  An empty table gives an empty manifest.
+    It names each archive by its path on its file system (``file``) and in full, with scheme and host (``uri``), and
+    counts its ``records``.  Archives are ``.warc.gz`` with one gzip member per record.  An empty table gives an empty manifest.
     """
     root = scratch_dir(records.sparkSession, "warc")
 
     def run(batches):
-        fs, folder = _open(root)
+        fs, folder = open_path(root)
         sink, name, records, size, pack = None, "", 0, 0, None
         for batch in batches:
             done = []
@@ -121,8 +117,8 @@ def write(records: DataFrame, archive_bytes: int = ARCHIVE_BYTES, chunk: int = C
                                              pa.schema([("file", pa.string()), ("records", pa.int64())]))
 
     made = chunk_table(records, chunk).mapInArrow(run, "file string, records bigint")
-    scheme = root.split("/", 1)[0]
-    return written(made.withColumn("root", F.lit(scheme + "/")), "warc-manifest")
+    uri = F.concat(F.lit(root + "/"), F.substring_index("file", "/", -1))
+    return written(made.withColumn("uri", uri), "warc-manifest")
 
 
 class _Inflated:
@@ -211,15 +207,15 @@ def read(manifest: DataFrame, chunk: int = CHUNK, payload: bool = True) -> DataF
     Every response is checked against its digest and length.  ``payload=False`` leaves ``chunk`` empty
     (digests and counts are still those of the bytes read).
     """
-    files = manifest.select(F.col("root"), F.col("file"))
+    files = manifest.select("uri")
     files = files.repartition(max(1, files.count()))
 
     def run(batches):
         for batch in batches:
             for f in batch.to_pylist():
-                fs, _ = _open(f["root"] + "/" + f["file"].lstrip("/") if f["root"] != "file:/" else "file://" + f["file"])
+                fs, path = open_path(f["uri"])
                 held, size = [], 0
-                with fs.open_input_stream(f["file"], compression=None) as raw:
+                with fs.open_input_stream(path, compression=None) as raw:
                     for row in _records(_Inflated(raw), chunk, payload):
                         held.append(row)
                         size += len(row["chunk"]) + 300

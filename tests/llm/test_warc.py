@@ -4,6 +4,7 @@ import hashlib
 import pyarrow.fs as pafs
 
 from refinery.llm import warc
+from refinery.sources.files import open_path
 from tests.llm.helpers import rows_of, sha, words
 
 
@@ -61,3 +62,11 @@ def test_a_damaged_payload_is_noticed(spark):
             assert [r["digest_so_far"] for r in warc._records(warc._Inflated(raw), 2, True)][-1] == sha("abc") and not fails
         except ValueError:
             assert fails
+
+
+def test_the_manifest_names_archives_in_full(spark):
+    manifest = warc.write(warc.plan(pages(spark, ROWS).coalesce(1)), 500, 7).collect()
+    assert len({r["uri"] for r in manifest}) == len(manifest) > 1
+    for r in manifest:
+        fs, path = open_path(r["uri"])
+        assert path == r["file"] and fs.get_file_info(path).size > 0
