@@ -17,6 +17,8 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from refinery.llm.common import written
+
 #: characters of items that one pass over the documents looks for (bounds the broadcast and the automaton)
 BLOCK_CHARS = 4_000_000
 
@@ -110,18 +112,30 @@ def _matcher(items: tuple[str, ...], rate: float) -> Matcher:
     return Matcher(list(items), rate)
 
 
-def item_blocks(items: DataFrame, item_id: str, item_text: str, block_chars: int) -> Iterator[dict[str, list]]:
-    """Items by normalised text, in blocks of about ``block_chars`` characters; the driver holds one at a time."""
+def named_items(items: DataFrame, item_id: str, item_text: str) -> DataFrame:
+    """``id``, ``text`` (normalised, not empty) and ``key`` (digest of the text) of every item, written."""
     rows = items.select(F.col(item_id).alias("id"), F.col(item_text).alias("text")).where("text is not null")
-    total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+
+    def run(batches):
+        for batch in batches:
+            texts = pa.array([normal(t) for t in batch.column(1).to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0), texts], ["id", "text"])
+
+    kind = rows.schema["id"].dataType.simpleString()
+    clean = rows.mapInArrow(run, f"id {kind}, text string").where("text <> ''")
+    return written(clean.withColumn("key", F.sha2("text", 256)), "decontam-items")
+
+
+def text_blocks(named: DataFrame, block_chars: int) -> Iterator[tuple[bool, dict[str, str]]]:
+    """The distinct texts of :func:`named_items`, text to key, in blocks of about ``block_chars`` characters, and
+    whether a block is the last.  The driver holds one block, which copies of a text do not enlarge; without any item there
+    is one empty block."""
+    texts = written(named.select("key", "text").dropDuplicates(["key"]), "decontam-texts")
+    total = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     n = max(1, -(-int(total) // block_chars))
-    block = F.pmod(F.xxhash64("text"), F.lit(n))
+    block = F.pmod(F.xxhash64("key"), F.lit(n))
     for at in range(n):
-        found: dict[str, list] = {}
-        for r in rows.where(block == at).collect():
-            if t := normal(r["text"]):
-                found.setdefault(t, []).append(r["id"])
-        yield found
+        yield at == n - 1, {r["text"]: r["key"] for r in texts.where(block == at).orderBy("key").collect()}
 
 
 def matches(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -136,35 +150,35 @@ def matches(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     spark = df.sparkSession
     source = df.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = source.schema["id"].dataType.simpleString()
-    item_kind = items.schema[item_id].dataType.simpleString()
-    out = None
-    for block in item_blocks(items, item_id, item_text, block_chars):
+    named, out = named_items(items, item_id, item_text), None
+    for _, block in text_blocks(named, block_chars):
         sent = spark.sparkContext.broadcast((tuple(block), list(block.values())))
 
         def run(batches, sent=sent):
-            texts, ids = sent.value
+            texts, keys = sent.value
             matcher = _matcher(texts, rate) if texts else None
             for batch in batches:
-                at, item, dist = [], [], []
+                at, key, dist = [], [], []
                 for n, t in enumerate(batch.column(1)):
                     for i, d in matcher.find(t.as_py()) if matcher else ():
-                        for one in ids[i]:
-                            at.append(n), item.append(one), dist.append(d)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(at, pa.int64())), pa.array(item), pa.array(dist, pa.int32())]
-                    if at else [batch.column(0).slice(0, 0), pa.array([], pa.int64()), pa.array([], pa.int32())],
-                    ["id", "item", "distance"])
-
-        found = source.mapInArrow(run, f"id {kind}, item {item_kind}, distance int")
+                        at.append(n), key.append(keys[i]), dist.append(d)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(key, pa.string()),
+                                                  pa.array(dist, pa.int32())], ["id", "key", "distance"])
+
+        found = source.mapInArrow(run, f"id {kind}, key string, distance int")
         out = found if out is None else out.union(found)
-    return out.select(F.col("id").alias(id_col), F.col("item").alias("item_id"), "distance")
+    ids = named.select(F.col("id").alias("item_id"), "key")
+    return out.join(ids, "key").select(F.col("id").alias(id_col), "item_id", "distance")
 
 
 def keep_clean(df: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id",
                item_text: str = "text", rate: float = 0.05, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """The rows of ``df`` that match no item (see :func:`matches`), all columns as they are, without a shuffle."""
+    """The rows of ``df`` that match no item (see :func:`matches`), all columns as they are, without a shuffle.
+
+    What a block of items leaves is written before the next one, so a task never holds two automata.
+    """
     at_text = df.columns.index(text_col)
-    for block in item_blocks(items, item_id, item_text, block_chars):
+    for last, block in text_blocks(named_items(items, item_id, item_text), block_chars):
         sent = df.sparkSession.sparkContext.broadcast(tuple(block))
 
         def run(batches, sent=sent):
@@ -174,4 +188,6 @@ def keep_clean(df: DataFrame, items: DataFrame, text_col: str = "text", item_id:
                 yield batch.filter(pa.array(ok, pa.bool_()))
 
         df = df.mapInArrow(run, df.schema)
+        if not last:
+            df = written(df, "decontam-left")
     return df

@@ -35,6 +35,18 @@ def test_pieces_miss_nothing(item, text):
     assert decontam.Matcher([item], 0.2).find(text) == ([(0, best)] if best <= int(0.2 * len(item)) else [])
 
 
+def test_copies_of_an_item_do_not_enlarge_a_block(spark):
+    texts = [" ".join(words(12, n)) for n in range(30)]
+    rows = [(i, texts[0].upper() if i % 2 else texts[0] + " ") for i in range(400)] + [(1000 + n, t) for n, t in enumerate(texts)]
+    named = decontam.named_items(items(spark, [(i, t, "x", "x") for i, t in rows]), "item_id", "text")
+    most = sum(map(len, texts)) // 3
+    blocks = list(decontam.text_blocks(named, most))
+    assert sorted(t for _, b in blocks for t in b) == sorted(texts) and [last for last, _ in blocks] == [False] * (len(blocks) - 1) + [True]
+    assert max(sum(map(len, b)) for _, b in blocks) < 2 * most
+    got = decontam.matches(documents(spark, [(1, texts[0])]), items(spark, [(i, t, "x", "x") for i, t in rows]), block_chars=most)
+    assert rows_of(got, "item_id") == sorted([(i,) for i in range(400)] + [(1000,)], key=repr)
+
+
 def test_matches_of_a_table(spark):
     item = words(40, 1)
     whole, other = " ".join(item), " ".join(words(40, 2))
