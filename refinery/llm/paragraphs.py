@@ -21,6 +21,7 @@ paragraphs that pass it are written, counted exactly and verified.
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left, bisect_right
 from collections import Counter
 from functools import lru_cache
@@ -30,7 +31,7 @@ from math import ceil
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from refinery.llm import bits
 from refinery.llm.common import connected_components, written
@@ -57,13 +58,18 @@ def tune(threshold: float, recall: float, most_rows: int = 4, most_bands: int =
     return min(fits, key=lambda x: (x[0], -x[1]))
 
 
-def _hashes(words: list[str], memory: dict[str, int]) -> np.ndarray:
-    """Hash of each word; its lowest bit tells whether a sentence may end with the word."""
+class _Memory(dict):
+    """Hashes of words met before; the lowest bit tells whether a sentence may end with the word."""
+
+    def __missing__(self, w: str) -> int:
+        h = self[w] = xxhash.xxh3_64_intdigest(w) & ~1 | (w[-1] in ".!?")
+        return h
+
+
+def _hashes(words: list[str], memory: _Memory) -> np.ndarray:
+    """Hash of each word."""
     if len(memory) > REMEMBERED:
         memory.clear()
-    for w in set(words):
-        if w not in memory:
-            memory[w] = xxhash.xxh3_64_intdigest(w) & ~1 | (w[-1] in ".!?")
     return np.fromiter(map(memory.__getitem__, words), np.uint64, len(words))
 
 
@@ -139,8 +145,9 @@ def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
 
 
-def units(texts: list[str], least: int, memory: dict[str, int]) -> tuple:
-    """(words, their hashes, paragraphs of ``least`` words or more, shorter ones and windows, hash of each of these).
+def units(texts: list[str], least: int, memory: _Memory) -> tuple:
+    """(words, their hashes, paragraphs of ``least`` words or more, shorter ones and windows, hash of each of these,
+    word at which each text begins).
 
     Paragraphs and windows are given by the number of their text, first word and end.
     """
@@ -159,13 +166,13 @@ def units(texts: list[str], least: int, memory: dict[str, int]) -> tuple:
     first, hashes = _windows(flat, ends)
     of = np.searchsorted(ends, first, "right")
     exact += [(i, a, a + WINDOW) for i, a in zip(of.tolist(), first.tolist())]
-    return words, flat, spans, exact, np.concatenate([short, hashes])
+    return words, flat, spans, exact, np.concatenate([short, hashes]), [0, *ends[:-1].tolist()]
 
 
 def split(text: str, least: int = LEAST_WORDS) -> list[list[str]]:
     """Words (lower case) of each paragraph of ``least`` words or more, then, as one entry joined by ``GLUE``, of each
     shorter paragraph and of each window."""
-    words, _, spans, exact, _ = units([text], least, {})
+    words, _, spans, exact, *_ = units([text], least, _Memory())
     return [words[a:b] for _, a, b in spans] + [[GLUE.join(words[a:b])] for _, a, b in exact]
 
 
@@ -205,17 +212,17 @@ def band_keys(words: np.ndarray, spans: list[tuple[int, int, int]], bands: int,
 
 def _keys(source: DataFrame, bands: int, rows: int, least: int) -> DataFrame:
     def run(batches):
-        memory: dict[str, int] = {}
+        memory = _Memory()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                _, flat, spans, _, hashes = units(batch.column(1).slice(at, 256).to_pylist(), least, memory)
+                _, flat, spans, _, hashes, _ = units(batch.column(1).slice(at, 256).to_pylist(), least, memory)
                 keys = np.concatenate([band_keys(flat, spans, bands, rows).ravel(), hashes.view(np.int64)])
                 yield pa.RecordBatch.from_arrays([pa.array(keys)], ["key"])
 
     return source.mapInArrow(run, "key bigint")
 
 
-MEMBER = pa.schema([("doc", pa.int64()), ("no", pa.int32()), ("words", pa.int32()), ("uid", pa.int64()),
+MEMBER = pa.schema([("doc", pa.int64()), ("no", pa.int32()), ("words", pa.int32()), ("uid", pa.int64()), ("first", pa.int32()),
                     ("body", pa.string()), ("keys", pa.list_(pa.int64()))])
 
 
@@ -224,12 +231,12 @@ def _passing(source: DataFrame, table: np.ndarray, bands: int, rows: int, least:
     sent = source.sparkSession.sparkContext.broadcast(table)
 
     def run(batches):
-        memory: dict[str, int] = {}
+        memory = _Memory()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 docs = part.column(0).to_pylist()
-                words, flat, spans, exact, hashes = units(part.column(1).to_pylist(), least, memory)
+                words, flat, spans, exact, hashes, begin = units(part.column(1).to_pylist(), least, memory)
                 keys = band_keys(flat, spans, bands, rows)
                 ok = [*bits.passes(sent.value, keys).any(axis=1).tolist(), *bits.passes(sent.value, hashes.view(np.int64)).tolist()]
                 numbers, out = Counter(), [[] for _ in MEMBER]
@@ -239,13 +246,14 @@ def _passing(source: DataFrame, table: np.ndarray, bands: int, rows: int, least:
                         continue
                     similar = n < len(spans)
                     body = (" " if similar else GLUE).join(words[a:b])
-                    one = (docs[i], no, b - a, xxhash.xxh3_64_intdigest(body), body if similar else None, keys[n].tolist() if similar else None)
+                    one = (docs[i], no, b - a, xxhash.xxh3_64_intdigest(body), a - begin[i],
+                           body if similar else None, keys[n].tolist() if similar else None)
                     for column, x in zip(out, one):
                         column.append(x)
                 out[3] = np.array(out[3], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(out, MEMBER)], schema=MEMBER)
 
-    return source.mapInArrow(run, "doc bigint, no int, words int, uid bigint, body string, keys array<bigint>")
+    return source.mapInArrow(run, "doc bigint, no int, words int, uid bigint, first int, body string, keys array<bigint>")
 
 
 def shingles(body: str) -> frozenset[str]:
@@ -253,7 +261,7 @@ def shingles(body: str) -> frozenset[str]:
     return frozenset(" ".join(ws[i:i + SHINGLE]) for i in range(max(1, len(ws) - SHINGLE + 1)))
 
 
-def _own_shingles(key: int, body: str, memory: dict[str, int]) -> np.ndarray:
+def _own_shingles(key: int, body: str, memory: _Memory) -> np.ndarray:
     """Distinct hashes of a paragraph's shingles, each mixed with the key of the bucket it is looked at in."""
     flat = _hashes(body.split(" "), memory)
     mixed = flat[:max(1, len(flat) - SHINGLE + 1)].copy()
@@ -272,7 +280,7 @@ def rare_prefixes(hot: DataFrame, threshold: float, name: str) -> DataFrame:
     filter of bounded size keeps the frequent ones), but the same one for all members, so the order is common.
     """
     def shingled(batches):
-        memory: dict[str, int] = {}
+        memory = _Memory()
         for batch in batches:
             found = [_own_shingles(k, b, memory) for k, b in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())]
             if found:
@@ -285,7 +293,7 @@ def rare_prefixes(hot: DataFrame, threshold: float, name: str) -> DataFrame:
     sent = hot.sparkSession.sparkContext.broadcast(bits.build(common, MOST_WORDS))
 
     def dealt(batches):
-        memory: dict[str, int] = {}
+        memory = _Memory()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 keys, uids = [], []
@@ -393,7 +401,8 @@ def duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
 
     Returns ``id_col``, ``paragraph`` (its number among the text's paragraphs of ``least`` words or more, which
     its shorter ones and its windows follow), ``words``, ``class_id``, ``class_size``, ``kept_id`` and ``kept_paragraph`` (the first
-    member, by id and number) and ``removed`` (every other member).  A class is a component of links of Jaccard
+    member, by id and number), ``removed`` (every other member), ``first_word`` (the number, in the text, of its first
+    word) and ``unit`` (the hash of its words).  :func:`remove` takes what is removed out of the texts.  A class is a component of links of Jaccard
     similarity ``threshold`` or more over five-word shingles, or of equal windows or shorter paragraphs; any
     ``PASSAGE`` consecutive words that two texts share hold such a window.  Null and empty texts have no paragraphs; rows with a
     null id are left out, as nothing could name them; a repeated row's paragraphs are members again, and those
@@ -408,12 +417,67 @@ def duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
     variants = written(passed.where("body is not null").groupBy("uid").agg(F.min("body").alias("body"), F.min("keys").alias("keys")),
                        f"{name}-variants")
     roots = connected_components(links(variants, threshold, name), name)
-    members = passed.select("doc", "no", "words", "uid")
+    members = passed.select("doc", "no", "words", "uid", "first")
     classed = written(members.join(roots, members["uid"] == roots["node"], "left")
-                      .select("doc", "no", "words", F.coalesce("root", "uid").alias("class_id")), f"{name}-classed")
+                      .select("doc", "no", "words", F.coalesce("root", "uid").alias("class_id"), "first", "uid"), f"{name}-classed")
     tops = written(classed.groupBy("class_id").agg(F.count("*").alias("class_size"), F.min(F.struct("doc", "no")).alias("top"))
                    .where("class_size > 1"), f"{name}-tops")
     same = F.col("doc").eqNullSafe(F.col("top.doc")) & (F.col("no") == F.col("top.no"))
     return classed.join(tops, "class_id").select(
         F.col("doc").alias(id_col), F.col("no").alias("paragraph"), "words", "class_id", "class_size",
-        F.col("top.doc").alias("kept_id"), F.col("top.no").alias("kept_paragraph"), (~same).alias("removed"))
+        F.col("top.doc").alias("kept_id"), F.col("top.no").alias("kept_paragraph"), (~same).alias("removed"),
+        F.col("first").alias("first_word"), F.col("uid").alias("unit"))
+
+
+def cut_spans(text: str, found: list[dict]) -> list[tuple[int, int]]:
+    """(start, end) in code points of the runs of words that ``found`` (``first_word``, ``words``, ``unit``) covers.
+
+    A unit counts only where its words stand, so what was found in another text of the same id cuts nothing here.
+    """
+    words, spans = text.lower().split(), []
+    for u in sorted(found, key=lambda u: u["first_word"]):
+        a, b = u["first_word"], u["first_word"] + u["words"]
+        if u["unit"] % (1 << 64) not in [xxhash.xxh3_64_intdigest(glue.join(words[a:b])) for glue in (" ", GLUE)]:
+            continue
+        if spans and a <= spans[-1][1]:
+            spans[-1][1] = max(b, spans[-1][1])
+        else:
+            spans.append([a, b])
+    at = [m.span() for m in re.finditer(r"\S+", text)] if spans else []
+    return [(at[a][0], at[b - 1][1]) for a, b in spans]
+
+
+CUTS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+
+
+def remove(df: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``df`` without the words that ``found``, the rows of :func:`duplicates` on it, says are removed.
+
+    Returns all columns of ``df`` with the text that is left, then ``removed_spans`` (start and end in code points of the old
+    text; a column of that name is replaced).  Null and empty texts, texts of a null id and those without removals stay as they
+    are, with no spans; repeated rows are cut alike; an empty table gives an empty one.  What is gathered per id are the
+    removals of its own texts.
+    """
+    cuts = found.where("removed").groupBy(F.col(id_col).alias("__id")).agg(
+        F.collect_set(F.struct("first_word", "words", "unit")).alias("__cuts"))
+    named = [c for c in df.columns if c != "removed_spans"]
+    rows = df.select(*[F.col(f"`{c}`") for c in named])
+    rows = rows.join(cuts, F.col(f"`{id_col}`").cast("long") == cuts["__id"], "left").drop("__id")
+    at = named.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            texts, spans = batch.column(at).to_pylist(), []
+            for i, c in enumerate(batch.column(len(named)).to_pylist()):
+                spans.append(cut_spans(texts[i], c) if texts[i] and c else [])
+                if spans[-1]:
+                    bounds = [0, *(x for s in spans[-1] for x in s), len(texts[i])]
+                    texts[i] = "".join(texts[i][a:b] for a, b in zip(bounds[::2], bounds[1::2]))
+            told = pa.array([[{"start": a, "end": b} for a, b in s] for s in spans], CUTS)
+            columns = batch.columns[:at] + [pa.array(texts, pa.string())] + batch.columns[at + 1:-1]
+            yield pa.RecordBatch.from_arrays([*columns, told], [*named, "removed_spans"])
+
+    schema = T.StructType([*df.select(*[F.col(f"`{c}`") for c in named]).schema.fields,
+                           T.StructField("removed_spans", T.ArrayType(
+                               T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])))])
+    return rows.mapInArrow(run, schema)

@@ -188,7 +188,7 @@ def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every paragraph of the documents that repeats elsewhere, exactly or nearly, with its class and the one kept."""
     found = paragraphs.duplicates(table(spark, sf_dir, "documents"))
-    return found.withColumnRenamed("kept_id", "kept_doc_id")
+    return found.drop("unit").withColumnRenamed("kept_id", "kept_doc_id")
 
 
 @query

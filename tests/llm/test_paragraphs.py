@@ -1,5 +1,8 @@
 from collections import defaultdict
 
+import xxhash
+from pyspark.sql import functions as F
+
 from refinery.llm import paragraphs as P
 from tests.llm.helpers import documents, empty, words
 
@@ -146,3 +149,39 @@ def test_recall_of_the_registered_setting(spark):
     assert 0.8 <= len(sets[0] & sets[1]) / len(sets[0] | sets[1]) < 0.85
     got = P.duplicates(documents(spark, rows)).where("paragraph = 0 and removed").count()
     assert got >= 0.97 * n
+
+
+def test_removal_leaves_the_other_words(spark):
+    rows = table() + [(7, sentence(30, 5)), (7, rows_text := table()[1][1]), (None, sentence(20, 5)), (8, f"\u0130 {sentence(20, 5)}  {sentence(20, 5)}\n\tEnd")]
+    docs = documents(spark, rows).withColumn("removed_spans", F.lit(1))
+    got = P.duplicates(docs)
+    units = defaultdict(list)
+    for r in got.where("removed").collect():
+        units[r["doc_id"]].append(r)
+    left = P.remove(docs, got)
+    assert left.columns == docs.columns and left.schema["text"] == docs.schema["text"]
+    want = []
+    for key, text in rows:
+        ws = (text or "").lower().split()
+        gone = set()
+        for r in units[key] if key is not None else ():
+            part = ws[r["first_word"]:r["first_word"] + r["words"]]
+            if part and [x for x in P.split(text) if x == part or x == [P.GLUE.join(part)]] and r["unit"] in hashes(part):
+                gone |= set(range(r["first_word"], r["first_word"] + r["words"]))
+        want.append((key, [w for i, w in enumerate(ws) if i not in gone]))
+    seen = [(r["doc_id"], (r["text"] or "").lower().split()) for r in left.collect()]
+    assert sorted(seen, key=repr) == sorted(want, key=repr)
+    assert any(len(w) < len((t or "").split()) for (_, w), (_, t) in zip(want, rows)) and rows_text.lower().split() not in [w for _, w in want[1:]]
+    old = defaultdict(list)
+    for k, t in rows:
+        old[k].append(t)
+    for r in left.collect():
+        cut = ["".join(t[a:b] for a, b in zip([0, *[s["end"] for s in r["removed_spans"]]], [*[s["start"] for s in r["removed_spans"]], len(t)]))
+               if t else t for t in old[r["doc_id"]]]
+        assert r["text"] in cut
+    assert P.remove(empty(spark), P.duplicates(empty(spark))).count() == 0
+
+
+def hashes(part):
+    found = [xxhash.xxh3_64_intdigest(glue.join(part)) for glue in (" ", P.GLUE)]
+    return [h - (1 << 64) if h >> 63 else h for h in found]
