@@ -8,7 +8,9 @@ Every run writes under a fresh folder of the shared checkpoint directory
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
+import io
 
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ from refinery.plans import curation as cur
 from refinery.plans import jobs, samples
 from refinery.plans.queries import AS_OF, CLOCK, SOURCE_DATE, _d, _dims, customer_dim, register
 from refinery.session import hadoop_fs, scratch_dir, session_conf
-from refinery.sources import catalog, landing, readers, sinks
+from refinery.sources import catalog, files, landing, readers, sinks
 from refinery.streaming import alert_feed
 
 SALES_DATA_COLS = ["id", "sale_date", "amount", "product", "client_id", "segment", "region", "amount_ttc",
@@ -44,6 +46,26 @@ def write_sources(df, folder: str, prefix: str = "rows", by: str | None = None)
         fs.rename(one.getPath(), path(folder, f"{prefix}_{value}_{n}.csv"))
 
 
+def write_one_source(df, folder: str, prefix: str = "rows") -> None:
+    """Write a sample as one header CSV file, by as many tasks as the sample has.
+
+    Every task writes a part without header, and the parts are joined (:func:`refinery.sources.files.join_local`).  A
+    store that lets nobody write into the middle of a file gets it from one task.
+    """
+    spark = df.sparkSession
+    fs, _ = hadoop_fs(spark, folder)
+    if fs.getUri().getScheme() != "file":
+        return write_sources(df.coalesce(1), folder, prefix)
+    made = f"{folder}/_made"
+    df.write.mode("overwrite").options(**landing.CSV_WRITE | {"header": "false"}).csv(made)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    parts = sorted((one.getPath().toString(), one.getLen()) for one in fs.globStatus(path(made, "part-*.csv")))
+    head = io.StringIO()
+    csv.writer(head, lineterminator="\n").writerow(df.columns)
+    files.join_local(spark, head.getvalue().encode(), parts, f"{folder}/{prefix}_all_0.csv")
+    fs.delete(path(made), True)
+
+
 def curated_sales(spark, sf):
     return cur.curate_sales(samples.raw_sales(spark, sf), customer_dim(spark, sf), CLOCK, SOURCE_DATE)
 
@@ -109,7 +131,7 @@ def land_one_file(spark, sf):
     root = scratch_dir(spark, "one_file")
     docs = samples.table(spark, sf, "documents")
     text = F.concat(F.lit('"quoted",\n'), F.col("text"), F.lit('\n"" end'))
-    write_sources(docs.select(F.col("doc_id").cast("string").alias("id"), text.alias("text")).coalesce(1), f"{root}/sources", "docs")
+    write_one_source(docs.select(F.col("doc_id").cast("string").alias("id"), text.alias("text")), f"{root}/sources", "docs")
     with session_conf(spark, {"spark.sql.files.maxPartitionBytes": "1m"}):
         landing.land(spark, f"{root}/sources", f"{root}/raw", "docs", SOURCE_DATE, CLOCK)
         back = readers.read_raw(spark, f"{root}/raw", "docs", SOURCE_DATE, ["id", "text", *landing.LINEAGE], split=True)

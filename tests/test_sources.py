@@ -2,7 +2,9 @@ import os
 
 import pytest
 
-from refinery.sources import catalog, landing, readers, sinks
+from refinery.plans import queries_io, samples
+from refinery.sources import catalog, files, landing, readers, sinks
+from tests.conftest import SF001
 
 
 def write(path, text):
@@ -126,3 +128,44 @@ def test_rewriting_the_same_batch_is_idempotent(spark, tmp):
         sinks.write_curated(df, f"{tmp}/cur", ["year", "month"])
     back = readers.read_curated(spark, f"{tmp}/cur", ["year", "month"])
     assert sorted(map(tuple, back.collect())) == [("1", "2024", "01"), ("2", "2024", "02")]
+
+
+def _rows_of_tasks(batches):
+    """Each text with the task that it passed through."""
+    import pyarrow as pa
+    from pyspark import TaskContext
+    me = TaskContext.get().taskAttemptId()
+    for b in batches:
+        told = [f"{me}\n{t}" for t in b.column("text").to_pylist()]
+        yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "text": told})
+
+
+def test_one_source_file_is_written_by_many_tasks(spark, monkeypatch):
+    whole = samples.table(spark, SF001, "documents").select("doc_id", "text")
+    dealt = whole.repartition(5).mapInArrow(_rows_of_tasks, "doc_id long, text string")
+    monkeypatch.setattr(samples, "table", lambda *_: dealt)
+    sources = []
+    land = landing.land
+    monkeypatch.setattr(landing, "land", lambda s, folder, *a, **k: sources.append(folder) or land(s, folder, *a, **k))
+    rows = queries_io.land_one_file(spark, SF001).collect()
+    told = {int(r["id"]): r["text"].removeprefix('"quoted",\n').split("\n", 1) for r in rows}
+    assert len({task for task, _ in told.values()}) == 5
+    assert {i: text.removesuffix('\n"" end') for i, (_, text) in told.items()} == {r["doc_id"]: r["text"] for r in whole.collect()}
+    assert [f for f in os.listdir(sources[0].removeprefix("file:")) if not f.startswith(".")] == ["docs_all_0.csv"]
+
+
+def test_joined_files_hold_every_byte_in_order(spark, tmp):
+    texts = [b"first", b"", bytes(range(256)) * 5, "é\n".encode() * 7]
+    parts = []
+    for i, text in enumerate(texts):
+        with open(f"{tmp}/part {i}", "wb") as f:
+            f.write(text)
+        parts.append((f"file:{tmp}/part {i}", len(text)))
+    for piece in (100, 10_000):
+        size = files.join_local(spark, b"head\n", parts, f"file:{tmp}/whole", piece)
+        with open(f"{tmp}/whole", "rb") as f:
+            assert f.read() == b"head\n" + b"".join(texts)
+        assert size == 5 + sum(map(len, texts))
+    assert files.join_local(spark, b"only\n", [], f"{tmp}/whole") == 5
+    with pytest.raises(Exception):
+        files.join_local(spark, b"", [(parts[0][0], 6)], f"{tmp}/whole")
