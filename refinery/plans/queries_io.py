@@ -66,6 +66,19 @@ def write_one_source(df, folder: str, prefix: str = "rows") -> None:
     fs.delete(path(made), True)
 
 
+def write_small_files(df, path: str, partition_cols, per_folder: int, mode: str = "overwrite") -> None:
+    """Partitioned Parquet of up to ``per_folder`` files a folder, for a compaction to merge.
+
+    A folder's rows are dealt by a hash, and its deals go to different ones of the session's shuffle tasks.  So few
+    files a folder don't mean few tasks: each sorts and writes its share of the folders.
+    """
+    tasks = max(per_folder, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    row = F.xxhash64(*[x for c in df.columns for x in (F.col(c), F.col(c).isNull())])
+    first = F.pmod(F.xxhash64(*partition_cols), F.lit(tasks))
+    out = df.repartitionById(tasks, F.pmod(first + F.pmod(row, F.lit(per_folder)), F.lit(tasks)).cast("int"))
+    sinks.write_curated(out, path, partition_cols, rebalance=False, mode=mode)
+
+
 def curated_sales(spark, sf):
     return cur.curate_sales(samples.raw_sales(spark, sf), customer_dim(spark, sf), CLOCK, SOURCE_DATE)
 
@@ -210,8 +223,8 @@ def catalog_late(spark, sf):
 def compaction(spark, sf):
     root = scratch_dir(spark, "compaction")
     df = curated_customers_masked(spark, sf)
-    # many small files: every task writes into every region/segment directory
-    df.repartition(16).write.partitionBy(*jobs.CUSTOMERS_PARTITIONS).parquet(f"{root}/customers")
+    # many small files: sixteen per region/segment directory
+    write_small_files(df, f"{root}/customers", jobs.CUSTOMERS_PARTITIONS, 16)
     maintenance.compact(spark, f"{root}/customers", f"{root}/customers_compact",
                         maintenance.CUSTOMERS_LAYOUT)
     back = readers.read_curated(spark, f"{root}/customers_compact", jobs.CUSTOMERS_PARTITIONS)
@@ -222,10 +235,8 @@ def compaction(spark, sf):
 def compaction_swap(spark, sf):
     root = scratch_dir(spark, "swap")
     # small files to compact: about two per day directory for sales, up to eight per customer directory
-    sinks.write_curated(curated_sales(spark, sf).repartition(2), f"{root}/curated/sales",
-                        jobs.SALES_PARTITIONS, rebalance=False)
-    sinks.write_curated(curated_customers_masked(spark, sf).repartition(8), f"{root}/curated/customers",
-                        jobs.CUSTOMERS_PARTITIONS, rebalance=False)
+    write_small_files(curated_sales(spark, sf), f"{root}/curated/sales", jobs.SALES_PARTITIONS, 2)
+    write_small_files(curated_customers_masked(spark, sf), f"{root}/curated/customers", jobs.CUSTOMERS_PARTITIONS, 8)
     status = jobs.compact_all(spark, root, cleanup_backups=True).select("entity", "status", F.col("rows").alias("rows_checked"))
     sales = readers.read_curated(spark, f"{root}/curated/sales", jobs.SALES_PARTITIONS)
     customers = readers.read_curated(spark, f"{root}/curated/customers", jobs.CUSTOMERS_PARTITIONS)
@@ -429,7 +440,7 @@ def compaction_incremental(spark, sf):
     path, df = f"{root}/curated/customers", curated_customers_masked(spark, sf)
     batch = F.pmod(F.col("id").cast("bigint"), F.lit(3))
     for b in range(3):  # one file a folder and batch
-        df.where(batch == b).coalesce(1).write.mode("append").partitionBy(*jobs.CUSTOMERS_PARTITIONS).parquet(path)
+        write_small_files(df.where(batch == b), path, jobs.CUSTOMERS_PARTITIONS, 1, "append")
 
     def run(name):
         told = maintenance.compact_all(spark, f"{root}/curated", {"customers": maintenance.CUSTOMERS_LAYOUT}, incremental=True)
@@ -437,7 +448,7 @@ def compaction_incremental(spark, sf):
 
     told = [run("first"), run("second")]
     late = df.where(F.col("loyalty") == "GOLD").withColumn("id", F.concat(F.lit("late-"), "id"))
-    late.where("region = 'ASIA'").coalesce(1).write.mode("append").partitionBy(*jobs.CUSTOMERS_PARTITIONS).parquet(path)
+    write_small_files(late.where("region = 'ASIA'"), path, jobs.CUSTOMERS_PARTITIONS, 1, "append")
     told.append(run("third"))
     left = readers.read_curated(spark, path, jobs.CUSTOMERS_PARTITIONS).groupBy("region", "segment").agg(F.count(F.lit(1)).alias("rows"))
     none = F.lit(None).cast("int")
@@ -451,7 +462,7 @@ def compaction_versions(spark, sf):
     """A versioned table of many small files, compacted while a reader holds its first version: the rows of both."""
     root = scratch_dir(spark, "versions") + "/customers"
     df = curated_customers_masked(spark, sf)
-    first = versions.publish(spark, root, lambda out: df.repartition(8).write.partitionBy(*jobs.CUSTOMERS_PARTITIONS).parquet(out))
+    first = versions.publish(spark, root, lambda out: write_small_files(df, out, jobs.CUSTOMERS_PARTITIONS, 8))
     held = versions.read(spark, root, jobs.CUSTOMERS_PARTITIONS)
     second = versions.compact(spark, root, maintenance.CUSTOMERS_LAYOUT)
     now = versions.read(spark, root, jobs.CUSTOMERS_PARTITIONS)
@@ -480,7 +491,7 @@ def compaction_report(spark, sf):
     df = curated_customers_masked(spark, sf)
     batch = F.pmod(F.col("id").cast("bigint"), F.lit(4))
     for b in range(4):
-        df.where(batch == b).coalesce(1).write.mode("append").partitionBy(*jobs.CUSTOMERS_PARTITIONS).parquet(path)
+        write_small_files(df.where(batch == b), path, jobs.CUSTOMERS_PARTITIONS, 1, "append")
     before = maintenance.folder_sizes(spark, path).agg(F.round(F.sum("bytes") / 1024 ** 2, 2)).first()[0]
     rep = maintenance.compact(spark, path, f"{root}/out", maintenance.CUSTOMERS_LAYOUT)
     after = maintenance.folder_sizes(spark, f"{root}/out")

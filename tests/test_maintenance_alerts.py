@@ -5,8 +5,11 @@ import time
 from pyspark.sql import functions as F
 
 from refinery.operators import alerts, maintenance
+from refinery.plans import jobs, queries_io
+from refinery.session import session_conf
 from refinery.sources import readers
 from refinery.streaming import alert_feed
+from tests.conftest import SF001
 
 
 def parquet_files(path):
@@ -237,3 +240,44 @@ def test_a_broken_off_folder_swap_is_put_back(spark, tmp):
     maintenance.compact_untidy(spark, f"{tmp}/cur", f"{tmp}/tmp", f"{tmp}/bak", layout)
     assert readers.read_curated(spark, f"{tmp}/cur", ["year", "month"]).count() == 90
     assert not os.path.exists(f"{tmp}/tmp")
+
+
+def _files(root):
+    """{folder: files} of Parquet files under ``root``."""
+    found = {}
+    for d, _, names in os.walk(root):
+        if some := [n for n in names if n.endswith(".parquet")]:
+            found[os.path.relpath(d, root)] = some
+    return found
+
+
+def test_small_files_are_written_by_many_tasks(spark, tmp):
+    df = spark.range(0, 60000, 1, 3).select("id", F.concat(F.lit("f"), F.col("id") % 40).alias("a"),
+                                           F.when(F.col("id") % 7 > 0, (F.col("id") % 2).cast("string")).alias("b"))
+    with session_conf(spark, {"spark.sql.shuffle.partitions": "16"}):
+        for n in (1, 20):
+            queries_io.write_small_files(df, f"{tmp}/{n}", ["a", "b"], n)
+            found = _files(f"{tmp}/{n}")
+            assert len(found) == 80 and all(len(names) == n for names in found.values())
+            assert len({name[:10] for names in found.values() for name in names}) > 10  # part-00000 and so on
+            assert sorted(map(tuple, readers.read_curated(spark, f"{tmp}/{n}", ["a", "b"]).collect()), key=repr) == \
+                sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_the_swapped_tables_are_not_made_by_two_tasks(spark, monkeypatch):
+    sales, seen = queries_io.curated_sales, {}
+    monkeypatch.setattr(queries_io, "curated_sales", lambda *a: sales(*a).where("year = '1995' AND month IN ('01', '02')"))
+    whole = jobs.compact_all
+
+    def compact_all(spark, root, **options):
+        for entity in ("sales", "customers"):
+            seen[entity] = _files(f"{root.removeprefix('file:')}/curated/{entity}")
+        return whole(spark, root, **options)
+
+    monkeypatch.setattr(jobs, "compact_all", compact_all)
+    with session_conf(spark, {"spark.sql.shuffle.partitions": "12"}):
+        rows = queries_io.compaction_swap(spark, SF001).collect()
+    assert rows and {r["status"] for r in rows} == {"OK"} and {r["backups"] for r in rows} == {0}
+    for entity, most in (("sales", 2), ("customers", 8)):
+        assert 1 < max(map(len, seen[entity].values())) <= most
+        assert len({name[:10] for names in seen[entity].values() for name in names}) > 8
