@@ -98,3 +98,52 @@ def test_equal_strings_have_equal_anchors(monkeypatch, block):
                 assert 0 <= x - p <= 34
                 assert named.setdefault(text[p:p + 50], (x - p, k)) == (x - p, k)
     assert len(named) == len({text[i:i + 50] for i in range(len(text) - 49)})
+
+
+def test_passes(spark, monkeypatch):
+    rows = [r for r in table() if r[0] not in (303, 304)]
+    for name, value in (("SENT_BYTES", 2000), ("MOST_HELD", 100), ("BLOCK", 500), ("LEAST_SHARDS", 7)):
+        monkeypatch.setattr(S, name, value)
+    taken = []
+    before = S._stretches
+    monkeypatch.setattr(S, "_stretches", lambda *a: taken.append(a) or before(*a))
+    monkeypatch.setattr(S, "_passes", lambda *_: (3, 10))
+    assert found(S.remove_repeats(documents(spark, rows))) == plain(rows)
+    assert len(taken) == 3
+
+
+def test_a_pass_sends_less_than_the_text(spark, monkeypatch):
+    """Every text stands three times, in different tasks: together the stretches are several times the texts."""
+    texts = [" ".join(words(400, 1000 + i)) for i in range(100)]
+    rows = [[(1000 * c + i, t) for i, t in enumerate(texts)] for c in range(3)]
+    df = documents(spark, rows[0]).coalesce(1).union(documents(spark, rows[1]).coalesce(1)).union(documents(spark, rows[2]).coalesce(1))
+    before, sent = S._stretches, []
+
+    def watched(*a):
+        out = before(*a)
+        sent.append(sum(len(v) for r in out.collect() for v in r if isinstance(v, (bytes, bytearray))))
+        return out
+
+    monkeypatch.setattr(S, "_stretches", watched)
+    assert found(S.remove_repeats(df)) == plain([r for part in rows for r in part])
+    assert max(sent) < 3 * sum(map(len, texts))
+
+
+def test_no_shuffle_files_are_left(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        blocks = disk.getAllBlocks()
+        return {b for b in (blocks.apply(i).name() for i in range(blocks.size())) if b.startswith("shuffle_")}
+
+    old = shuffles()
+    out = S.remove_repeats(documents(spark, [r for r in table() if r[0] not in (303, 304)]))
+    assert not shuffles() - old
+    assert out.count() == len(table()) - 2
+
+
+@pytest.mark.parametrize("keys, held, total", [(0, 0, 0), (1, 2, 60), (7 << 20, 15 << 20, 864 << 20), (576 << 20, 576 << 20, 10368 << 20)])
+def test_number_of_passes(keys, held, total):
+    passes, deals = S._passes(keys, held, total, 50)
+    assert 1 <= passes <= 8 and deals >= passes
+    assert held * S.STRETCH_BYTES <= passes * S.MOST_SENT * max(1, total) or total < 1000
